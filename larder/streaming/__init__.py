@@ -1,0 +1 @@
+"""Left empty on purpose: the jobs this package re-expresses are all batch jobs."""
