@@ -83,10 +83,10 @@ def distinct_approx(spark, sf_dir):
 
 @query("collect_members", f"""
 WITH {RESTAURANTS}, numbered AS (
-  SELECT cuisine_type, name, ROW_NUMBER() OVER (PARTITION BY cuisine_type ORDER BY name, restaurant_id) - 1 AS at
+  SELECT cuisine_type, name, ROW_NUMBER() OVER (PARTITION BY cuisine_type ORDER BY name, restaurant_id) - 1 AS seat
   FROM restaurants)
-SELECT cuisine_type, at // 1000 AS chunk, STRING_AGG(name, '|' ORDER BY at) AS members, COUNT(*) AS member_count
-FROM numbered GROUP BY cuisine_type, at // 1000""")
+SELECT cuisine_type, CAST((seat - seat % 1000) / 1000 AS BIGINT) AS chunk, STRING_AGG(name, '|' ORDER BY seat) AS members, COUNT(*) AS member_count
+FROM numbered GROUP BY 1, 2""")
 def collect_members(spark, sf_dir):
     collected = members(restaurants(spark, sf_dir), "cuisine_type", "name", "restaurant_id")
     return collected.select(

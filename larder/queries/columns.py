@@ -14,7 +14,9 @@ from ..functions.columns import (
 )
 from ..operators.joins import equi_join, join_dimension
 from ..plans.jobs import rating_job
-from .registry import PRICE_LABEL, RESTAURANTS, TICKETS, USERS, query, restaurants, sql_money, table, tickets, users
+from .registry import (
+    PRICE_LABEL, RESTAURANTS, TICKETS, USERS, query, restaurants, sql_money, sql_money_avg, table, tickets, users,
+)
 
 
 @query("select_filter_sort", f"""
@@ -142,9 +144,9 @@ def sql_param_postprocess(spark, sf_dir, threshold: float = 20_000_000.0):
 @query("expr_projection_agg", f"""
 WITH {RESTAURANTS}, shaped AS (
   SELECT average_rating, {PRICE_LABEL} AS rating_label,
-         ROUND(average_rating / monthly_orders, 2) AS rating_per_order,
+         FLOOR((2 * ROUND(average_rating * 100) + monthly_orders) / (2 * monthly_orders)) / 100 AS rating_per_order,
          UPPER(LEFT(name, 1)) || LOWER(SUBSTRING(name, 2)) AS capitalized FROM restaurants)
-SELECT rating_label, COUNT(*) AS total, ROUND(AVG(rating_per_order), 4) AS avg_per_order,
+SELECT rating_label, COUNT(*) AS total, {sql_money_avg("rating_per_order", 4)} AS avg_per_order,
        MIN(capitalized) AS first_name FROM shaped GROUP BY rating_label""")
 def expr_projection_agg(spark, sf_dir):
     shaped = restaurants(spark, sf_dir).select(
@@ -152,12 +154,12 @@ def expr_projection_agg(spark, sf_dir):
             "CASE WHEN average_rating >= 975 THEN 'Excellent' WHEN average_rating >= 950 THEN 'Good' "
             "ELSE 'Average' END AS rating_label"
         ),
-        F.expr("ROUND(try_divide(average_rating, monthly_orders), 2) AS rating_per_order"),
+        F.expr("ROUND(try_divide(CAST(average_rating AS DECIMAL(12,2)), monthly_orders), 2) AS rating_per_order"),
         sentence_case(F.col("name")).alias("capitalized"),
     )
     return shaped.groupBy("rating_label").agg(
         F.expr("COUNT(*) AS total"),
-        F.expr("ROUND(AVG(rating_per_order), 4) AS avg_per_order"),
+        F.expr("ROUND(CAST(SUM(rating_per_order) AS DOUBLE) / COUNT(*), 4) AS avg_per_order"),
         F.expr("MIN(capitalized) AS first_name"),
     )
 

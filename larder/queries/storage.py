@@ -145,9 +145,12 @@ def file_sizing(spark, sf_dir):
     base = scratch_path(spark, "files")
     few = write_sink(spread_by(lines, "restaurant_id", partitions=8), "parquet", f"{base}/few", files=2)
     capped = write_sink(lines, "parquet", f"{base}/capped", max_records=1000)
-    files = read_source(spark, "parquet", few).agg(F.count_distinct(F.input_file_name()).alias("n")).first()["n"]
-    per_file = read_source(spark, "parquet", capped).groupBy(F.input_file_name().alias("file")).count()
-    return per_file.agg(
+    sizes = {
+        name: read_source(spark, "parquet", path).select(F.input_file_name().alias("file")).groupBy("file").count()
+        for name, path in (("few", few), ("capped", capped))
+    }
+    files = sizes["few"].count()
+    return sizes["capped"].agg(
         F.lit(files).cast("bigint").alias("coalesced_files"),
         F.sum("count").alias("rows"),
         (F.max("count") <= 1000).alias("records_bounded"),
