@@ -5,14 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import money_avg
 from .windows import MAX_GROUP_ROWS, is_small, as_names, running, number_rows, with_group_stats
 
 
 def kpi_by(df: DataFrame, key: str, value: Column, *, total="total", mean="avg_rating", best="best_rating") -> DataFrame:
-    """Rows, rounded mean and best value per group, best mean first; ties by key."""
+    """Rows, mean and best value per group, best mean first; ties by key.
+
+    The value has two decimals at most, so its mean can be exact before it is rounded.
+    """
     return (
         df.groupBy(key)
-        .agg(F.count("*").alias(total), F.round(F.avg(value).cast("double"), 2).alias(mean), F.max(value).alias(best))
+        .agg(F.count("*").alias(total), money_avg(value).alias(mean), F.max(value).alias(best))
         .orderBy(F.col(mean).desc(), key)
     )
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..fixed_values import CUISINE_DEFAULT, FILL_DEFAULTS, RATING_REST, RATING_STEPS
 from ..functions.columns import (
-    clamp, clean_phone, ladder, money, money_avg, normalized, root_score,
+    clamp, clean_phone, ladder, money_avg, money_total, normalized, root_score,
 )
 from ..operators.aggregates import kpi_by, summarise
 from ..operators.joins import equi_join, fits_broadcast
@@ -45,10 +45,10 @@ def order_metrics(orders: DataFrame, restaurants: DataFrame, by=("cuisine_type",
     slim = restaurants.select("restaurant_id", *by)
     if fits_broadcast(slim):
         joined = orders.select("restaurant_id", "amount").join(F.broadcast(slim), "restaurant_id")
-        revenue, rows = F.sum(money(F.col("amount"))), F.count("*")
+        revenue, rows = money_total(F.col("amount")), F.count("*")
     else:
         reduced = orders.groupBy("restaurant_id").agg(
-            F.sum(money(F.col("amount"))).alias("revenue"), F.count("*").alias("rows")
+            money_total(F.col("amount")).alias("revenue"), F.count("*").alias("rows")
         )
         joined = equi_join(reduced, slim, "restaurant_id")
         revenue, rows = F.sum("revenue"), F.sum("rows")
@@ -63,7 +63,7 @@ def order_metrics(orders: DataFrame, restaurants: DataFrame, by=("cuisine_type",
 def orders_per_restaurant(restaurants: DataFrame, orders: DataFrame) -> DataFrame:
     """Every restaurant with its order count and revenue; none gives 0 and null."""
     reduced = orders.groupBy("restaurant_id").agg(
-        F.count("order_id").alias("order_count"), F.sum(money(F.col("amount"))).alias("revenue")
+        F.count("order_id").alias("order_count"), money_total(F.col("amount")).alias("revenue")
     )
     joined = equi_join(restaurants, reduced, "restaurant_id", "left")
     return joined.withColumn("order_count", F.coalesce("order_count", F.lit(0)))

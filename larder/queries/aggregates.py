@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..fixed_values import ALL_LABEL, GRAND_TOTAL_LABEL, PRICE_STEPS, RATING_REST
-from ..functions.columns import ladder, money_avg, money_sum
+from ..functions.columns import ladder, money_avg, money_sum, money_total
 from ..operators.aggregates import (
     describe, exact_percentiles, kpi_by, members, pivot_mean, share_of_total, subtotals, summarise,
 )
@@ -195,7 +195,7 @@ SELECT CASE WHEN GROUPING(cuisine_type) = 1 THEN '** GRAND TOTAL **' ELSE cuisin
 def rollup_single(spark, sf_dir):
     places = restaurants(spark, sf_dir).select("restaurant_id", "cuisine_type", "average_rating")
     per = tickets(spark, sf_dir).groupBy("restaurant_id").agg(
-        F.count("order_id").alias("orders"), F.sum(F.col("amount").cast("decimal(12,2)")).alias("revenue")
+        F.count("order_id").alias("orders"), money_total(F.col("amount")).alias("revenue")
     )
     joined = join_dimension(places, per, "restaurant_id", "left").withColumn("orders", F.coalesce("orders", F.lit(0)))
     return subtotals(

@@ -9,7 +9,7 @@ from ..fixed_values import (
     TIER_REST, WEEKDAYS,
 )
 from ..functions.columns import (
-    clamp, clean_phone, date_parts, every_salt, ladder, log_score, lookup, money_avg, money_sum, normalized,
+    clamp, clean_phone, date_parts, every_salt, ladder, log_score, lookup, money_avg, money_sum, money_total, normalized,
     parse_timestamp, random_salt, ratio, root_score, sentence_case, stable_salt, unit_scale,
 )
 from ..operators.joins import equi_join, join_dimension
@@ -126,7 +126,7 @@ def sql_param_postprocess(spark, sf_dir, threshold: float = 20_000_000.0):
     """SQL for the join and grouping, then a column that depends on a Python value."""
     places = restaurants(spark, sf_dir)
     per_restaurant = tickets(spark, sf_dir).groupBy("restaurant_id").agg(
-        F.count("order_id").alias("orders"), F.sum(F.col("amount").cast("decimal(12,2)")).alias("revenue")
+        F.count("order_id").alias("orders"), money_total(F.col("amount")).alias("revenue")
     )
     grouped = spark.sql(
         """SELECT r.cuisine_type, r.city, COALESCE(SUM(o.orders), 0) AS total_orders,

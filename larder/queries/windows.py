@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.columns import money, money_sum
+from ..functions.columns import money, money_sum, money_total
 from ..operators.windows import (
     change_from_previous, latest_per_key, neighbours, ntile, number_rows, percent_rank, rank_rows, rolling_mean,
     running_total, top_n, with_group_stats,
@@ -109,7 +109,7 @@ def monthly_running_mom(spark, sf_dir):
     months = (
         tickets(spark, sf_dir)
         .groupBy(F.year("order_date").alias("year"), F.month("order_date").alias("month"))
-        .agg(F.count("*").alias("order_count"), F.sum(money(F.col("amount"))).alias("revenue"))
+        .agg(F.count("*").alias("order_count"), money_total(F.col("amount")).alias("revenue"))
     )
     order = ["year", "month"]
     trend = running_total(months, [], order, F.col("revenue"), "cumulative_revenue", limit=None)

@@ -24,6 +24,9 @@ RUNTIME_CONF = {
 BYTES_PER_SHUFFLE_PARTITION = 64 << 20
 MOST_SHUFFLE_PARTITIONS = 20_000
 
+# Sources without statistics (rows of this process, JDBC tables) claim about this much.
+UNKNOWN_BYTES = 1 << 60
+
 
 def build_session(app_name: str, master: str | None = None, **conf: str) -> SparkSession:
     """Start (or join) a session with the settings this package expects.
@@ -54,9 +57,13 @@ def size_shuffle(spark: SparkSession, *frames: DataFrame) -> int:
     """Set the shuffle width from the size of the inputs.
 
     The default of 200 would make partitions of half a terabyte on 100 TB; AQE
-    merges small partitions but never splits an aggregation's large ones.
+    merges small partitions but never splits an aggregation's large ones. Frames of
+    unknown size leave the width as it is.
     """
-    wanted = -(-sum(planned_bytes(f) for f in frames) // BYTES_PER_SHUFFLE_PARTITION)
+    sizes = [planned_bytes(f) for f in frames]
+    if max(sizes) >= UNKNOWN_BYTES:
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = -(-sum(sizes) // BYTES_PER_SHUFFLE_PARTITION)
     width = min(max(wanted, spark.sparkContext.defaultParallelism), MOST_SHUFFLE_PARTITIONS)
     spark.conf.set("spark.sql.shuffle.partitions", str(width))
     return width
