@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import money_avg
-from .windows import MAX_GROUP_ROWS, is_small, as_names, running, number_rows, with_group_stats
+from ..session import stash
+from .windows import MAX_GROUP_ROWS, as_names, number_rows, running, with_group_stats
 
 
 def kpi_by(df: DataFrame, key: str, value: Column, *, total="total", mean="avg_rating", best="best_rating") -> DataFrame:
@@ -86,17 +87,17 @@ def exact_percentiles(df: DataFrame, by, value: str, points: dict[str, float], *
                       limit: int | None = MAX_GROUP_ROWS, slices: int | None = None) -> DataFrame:
     """Interpolated percentiles per group, as ``PERCENTILE`` computes them.
 
-    ``percentile`` keeps one counter per distinct value of a group in a single task. In
-    large groups the values are counted first, the counts run up across slices, and the
-    two order statistics around each point picked out by conditional maxima.
+    ``percentile`` keeps a counter per distinct value of a group in one task's memory. Here
+    the values are counted first (with map-side combine), the counts run up in value order,
+    over slices where a group has many values, and the two order statistics around each
+    point are picked out by conditional maxima.
     """
     by = as_names(by)
     present = df.select(*by, value).filter(F.col(value).isNotNull())
-    if is_small(present, by, limit):
-        return present.groupBy(*by).agg(*[F.percentile(value, p).alias(n) for n, p in points.items()])
-    counted = present.groupBy(*by, value).agg(F.count("*").alias("_rows"))
+    # Written, as three steps read it: the input itself is scanned once.
+    counted = stash(present.groupBy(*by, value).agg(F.count("*").alias("_rows")), "values")
     placed = running(counted, by, [value], {"_through": F.col("_rows")}, limit, slices)
-    placed = with_group_stats(placed, by, {"_size": F.sum("_rows")})
+    placed = with_group_stats(placed, by, {"_size": F.max("_through")})
 
     def at(place: Column) -> Column:
         return F.max(F.when((place < F.col("_through")) & (place >= F.col("_through") - F.col("_rows")), F.col(value)))

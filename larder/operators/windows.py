@@ -123,9 +123,8 @@ def rank_rows(df: DataFrame, by, order_by, *, rank: str | None = None, dense_ran
         return df.withColumns({n: kinds[n]().over(window).cast("bigint") for n in wanted})
     keys = [*by, *[n for n in _order_names(order_by) if n not in by]]
     values = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
-    places = running(
-        values, by, order_by, {"_through": F.col("_rows"), "_place": F.lit(1).cast("bigint")}, limit, slices
-    )
+    counts = {"_through": F.col("_rows"), "_place": F.lit(1).cast("bigint")}
+    places = running(stash(values, "values"), by, order_by, counts, limit, slices)
     formulas = {rank: F.col("_through") - F.col("_rows") + 1, dense_rank: F.col("_place")}
     places = places.select(*keys, *[formulas[n].alias(n) for n in wanted])
     return join_dimension(df, places, keys, null_safe=True)
@@ -139,7 +138,7 @@ def with_group_stats(df: DataFrame, by, stats: dict[str, Column]) -> DataFrame:
     by = as_names(by)
     totals = df.groupBy(*by).agg(*[value.alias(name) for name, value in stats.items()])
     if by:
-        return join_dimension(df, totals, by, null_safe=True)
+        return join_dimension(df, stash(totals, "group-stats"), by, null_safe=True)
     row, types = totals.first(), dict(totals.dtypes)
     return df.withColumns({name: F.lit(row[name]).cast(types[name]) for name in stats})
 
@@ -191,7 +190,7 @@ def top_n(df: DataFrame, by, order_by, n: int, name: str = "rank", method: str =
     before = F.sum("_rows").over(_so_far(window)) - F.col("_rows")
     place = before + 1 if method == "rank" else F.col("_place")
     best = best.withColumn(name, place.cast("bigint")).filter(F.col(name) <= n).select(*keys, name)
-    return join_dimension(df, best, keys, null_safe=True)
+    return join_dimension(df, stash(best, "best"), keys, null_safe=True)
 
 
 def latest_per_key(df: DataFrame, keys, order_by) -> DataFrame:
@@ -217,7 +216,7 @@ def running_total(df: DataFrame, by, order_by, value: Column, name: str, *, ties
         return df.withColumn(name, F.sum(value).over(window))
     keys = [*by, *[c for c in _order_names(order_by) if c not in by]]
     totals = df.groupBy(*keys).agg(F.sum(value).alias("_value"))
-    totals = running(totals, by, order_by, {name: F.col("_value")}, limit, slices).drop("_value")
+    totals = running(stash(totals, "values"), by, order_by, {name: F.col("_value")}, limit, slices).drop("_value")
     return join_dimension(df, totals, keys, null_safe=True)
 
 

@@ -11,6 +11,7 @@ from ..operators.aggregates import (
 )
 from ..operators.joins import join_dimension
 from ..operators.windows import rank_rows, with_group_stats
+from ..session import stash
 from .registry import PRICE_LABEL, RESTAURANTS, TICKETS, query, restaurants, sql_money, sql_money_avg, tickets
 
 @query("global_counts", f"""
@@ -339,4 +340,4 @@ def global_revenue_rank(spark, sf_dir):
         flags={"cuisine_type": "is_cuisine_total", "city": "is_city_total"},
     )
     detail = rolled.filter("is_cuisine_total = 0 AND is_city_total = 0").drop("is_cuisine_total", "is_city_total")
-    return rank_rows(detail, [], "revenue desc", rank="revenue_rank")
+    return rank_rows(stash(detail, "detail"), [], "revenue desc", rank="revenue_rank")

@@ -78,6 +78,7 @@ def ps_merge_rank_shift(spark, sf_dir):
     counts = to_pandas_api(tickets(spark, sf_dir)).groupby("restaurant_id").size().reset_index(name="orders")
     frame = natively(
         merge(counts, places, "restaurant_id"),
+        stash,
         lambda df: rank_rows(df, "cuisine_type", "orders desc", rank="orders_rank"),
         lambda df: neighbours(df, "cuisine_type", ["orders desc", "restaurant_id"], {"shifted": ("orders", -1)}),
     )
