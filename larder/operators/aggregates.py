@@ -60,7 +60,7 @@ def pivot_mean(df: DataFrame, row_key: str, column_key: str, value: Column, head
 
 def share_of_total(df: DataFrame, key: str, *, count: str = "total", share: str = "pct", digits: int = 1) -> DataFrame:
     """Rows per value and their percentage of all rows."""
-    counts = df.groupBy(key).agg(F.count("*").alias(count))
+    counts = stash(df.groupBy(key).agg(F.count("*").alias(count)), "counts")
     sized = with_group_stats(counts, [], {"_all": F.sum(count)})
     percent = F.round(F.lit(100.0) * F.col(count) / F.col("_all"), digits)
     return sized.withColumn(share, percent).drop("_all")

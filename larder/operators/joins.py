@@ -89,7 +89,7 @@ def key_counts(df: DataFrame, keys) -> DataFrame:
 def skew_report(df: DataFrame, keys, top: int = 20) -> DataFrame:
     """The heaviest keys with their share of all rows and their weight against the median key."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    counts = key_counts(df, keys)
+    counts = stash(key_counts(df, keys), "key-counts")
     totals = counts.agg(F.sum("rows").alias("total"), F.percentile_approx("rows", 0.5).alias("median")).first()
     return (
         counts.withColumn("share", F.round(F.col("rows") / F.lit(totals["total"] or 1), 6))
@@ -101,7 +101,7 @@ def skew_report(df: DataFrame, keys, top: int = 20) -> DataFrame:
 
 def hot_keys(df: DataFrame, keys, share: float) -> DataFrame:
     """Keys holding more than ``share`` of all rows: at most ``1 / share`` of them."""
-    counts = key_counts(df, list(keys))
+    counts = stash(key_counts(df, list(keys)), "key-counts")
     total = counts.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("n")).first()["n"]
     return counts.filter(F.col("rows") > F.lit(total * share)).drop("rows")
 

@@ -9,7 +9,11 @@ from pyspark.sql import DataFrame
 
 
 def spread_by(df: DataFrame, *keys: str, partitions: int | None = None) -> DataFrame:
-    """Hash-partition by key for later joins and groupings on the same key."""
+    """Hash-partition by key for later joins and groupings on the same key.
+
+    All rows of a key go to one task: use it where keys are even, as after a grouping,
+    and :func:`even_files` where they may not be.
+    """
     return df.repartition(partitions, *keys) if partitions else df.repartition(*keys)
 
 

@@ -72,10 +72,12 @@ def running(df: DataFrame, by, order_by, sums: dict[str, Column], limit, slices=
 
 
 def _running_in_slices(df, by, order_by, sums, slices) -> DataFrame:
+    slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     borders = [F.col(c) for c in by] + _order_columns(order_by)
-    ranged = df.repartitionByRange(slices, *borders) if slices else df.repartitionByRange(*borders)
     inputs = {f"_in_{name}": value for name, value in sums.items()}
-    marked = ranged.withColumns({_SLICE: F.spark_partition_id(), **inputs})
+    marked = df.repartitionByRange(slices, *borders).withColumns({_SLICE: F.spark_partition_id(), **inputs})
+    # One task per slice; hashing the slice numbers would put several into some tasks.
+    marked = marked.repartitionById(slices, F.col(_SLICE))
     inside = _so_far(_window([_SLICE, *by], order_by))
     # Written once: a range exchange that runs again may draw other borders.
     rows = stash(marked.withColumns({name: F.sum(f"_in_{name}").over(inside) for name in sums}), "slices")

@@ -18,7 +18,6 @@ from ..functions.columns import (
 from ..operators.aggregates import kpi_by, summarise
 from ..operators.joins import equi_join, fits_broadcast
 from ..operators.quality import counting, enforce, min_rows, no_nulls, required_columns, split_null_keys
-from ..operators.tuning import kept
 from ..operators.windows import with_group_stats
 from ..sources.catalog import create_database, create_table
 from ..sources.readers import read_source
@@ -133,8 +132,10 @@ def guarded_job(restaurants: DataFrame, location: str, *, steps=RATING_STEPS, le
 def medallion_by_path(restaurants: DataFrame, base: str, steps=RATING_STEPS) -> DataFrame:
     """bronze as received (three formats), silver labelled and partitioned, gold KPIs."""
     spark = restaurants.sparkSession
-    bronze = deliver_formats(restaurants, f"{base}/bronze", ("parquet", "json", "orc"))
-    received = read_source(spark, "parquet", bronze["parquet"], schema=restaurants.schema)
+    bronze = write_sink(restaurants, "parquet", f"{base}/bronze/parquet")
+    received = read_source(spark, "parquet", bronze, schema=restaurants.schema)
+    for kind in ("json", "orc"):  # from the stored rows: the source is read once, nothing is cached
+        write_sink(received, kind, f"{base}/bronze/{kind}")
     silver = write_sink(rate(received, steps), "parquet", f"{base}/silver", partition_by=["cuisine_type"])
     labelled = read_source(spark, "parquet", silver).select(*received.columns, "rating_category")
     gold = write_sink(
@@ -195,22 +196,21 @@ def analytics_delivery(restaurants: DataFrame, base: str) -> dict[str, str]:
     """Score every restaurant, summarise per cuisine, deliver both to their readers."""
     score = root_score(F.col("average_rating"), F.col("monthly_orders"), 100)
     scored = restaurants.withColumn("popularity_score", score)
-    with kept(scored) as held:
-        summary = summarise(
-            held,
-            "cuisine_type",
-            avg_rating=money_avg(F.col("average_rating")),
-            total_reviews=F.sum("monthly_orders"),
-            avg_popularity=F.round(F.avg("popularity_score"), 4),
-            restaurant_count=F.count("name"),
-        ).orderBy(F.col("avg_popularity").desc(), "cuisine_type")
-        return {
-            "detail": write_sink(
-                held, "parquet", f"{base}/detail", partition_by=["city", "cuisine_type"], compression="gzip"
-            ),
-            "zstd": write_sink(held, "parquet", f"{base}/zstd", compression="zstd"),
-            **deliver_formats(summary, f"{base}/summary", ("csv", "json", "parquet")),
-        }
+    summary = summarise(
+        scored,
+        "cuisine_type",
+        avg_rating=money_avg(F.col("average_rating")),
+        total_reviews=F.sum("monthly_orders"),
+        avg_popularity=F.round(F.avg("popularity_score"), 4),
+        restaurant_count=F.count("name"),
+    ).orderBy(F.col("avg_popularity").desc(), "cuisine_type")
+    return {
+        "detail": write_sink(
+            scored, "parquet", f"{base}/detail", partition_by=["city", "cuisine_type"], compression="gzip"
+        ),
+        "zstd": write_sink(scored, "parquet", f"{base}/zstd", compression="zstd"),
+        **deliver_formats(summary, f"{base}/summary", ("csv", "json", "parquet")),
+    }
 
 
 def score_against_group(restaurants: DataFrame) -> DataFrame:

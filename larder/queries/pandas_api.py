@@ -127,18 +127,16 @@ WITH {RESTAURANTS}, {TICKETS}
 SELECT city, COUNT(*) AS orders, {sql_money("amount")} AS revenue
 FROM tickets JOIN restaurants USING (restaurant_id) WHERE amount > 50000 GROUP BY city""")
 def ps_roundtrip(spark, sf_dir):
-    """pandas-style filter, a native join and grouping, then back; cached, spread and gathered."""
+    """pandas-style filter, a native join and grouping, then back; the report is cached and gathered."""
     places = to_pandas_api(restaurants(spark, sf_dir))[["restaurant_id", "city"]]
     lines = to_pandas_api(tickets(spark, sf_dir))
     joined = merge(lines[lines["amount"] > 50000], places, "restaurant_id")
-    with cached(spread(joined, 8)) as held:
-        grouped = natively(
-            held,
-            lambda df: df.groupBy("city").agg(
-                F.count("*").alias("orders"), money_sum(F.col("amount")).alias("revenue")
-            ),
-        )
-        return stash(to_native(gather(grouped, 2)))
+    grouped = natively(
+        joined,
+        lambda df: df.groupBy("city").agg(F.count("*").alias("orders"), money_sum(F.col("amount")).alias("revenue")),
+    )
+    with cached(spread(grouped, 4)) as held:
+        return stash(to_native(gather(held, 2)))
 
 
 @query("ps_fused_export", f"""

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..errors import WriteError
 from ..functions.columns import money_sum
-from ..operators.joins import equi_join
+from ..operators.joins import equi_join, hot_keys, salted_join
 from ..operators.tuning import fewer_partitions, kept, spread_by
 from ..plans.jobs import kpi_job
 from ..session import scratch_path, stash, union_all
@@ -137,23 +137,21 @@ def multi_frame_delivery(spark, sf_dir):
 
 
 @query("file_sizing", f"""
-WITH {TICKETS}
-SELECT CAST(2 AS BIGINT) AS coalesced_files, COUNT(*) AS rows, true AS records_bounded FROM tickets""")
-def file_sizing(spark, sf_dir):
-    """Few files for a small result; bounded rows per file for a large one."""
-    lines = tickets(spark, sf_dir)
-    base = scratch_path(spark, "files")
-    few = write_sink(spread_by(lines, "restaurant_id", partitions=8), "parquet", f"{base}/few", files=2)
-    capped = write_sink(lines, "parquet", f"{base}/capped", max_records=1000)
+WITH {TICKETS} SELECT COUNT(*) AS rows, true AS few_files, true AS records_bounded FROM tickets""")
+def file_sizing(spark, sf_dir, most: int = 5_000_000):
+    """Few files for a small report; a bounded number of rows per file for a large frame."""
+    base, lines = scratch_path(spark, "files"), tickets(spark, sf_dir)
+    report = lines.groupBy(F.year("order_date").alias("year")).agg(F.count("*").alias("orders"))
+    few = write_sink(report, "parquet", f"{base}/few", files=2)
+    capped = write_sink(lines, "parquet", f"{base}/capped", max_records=most)
     sizes = {
         name: read_source(spark, "parquet", path).select(F.input_file_name().alias("file")).groupBy("file").count()
         for name, path in (("few", few), ("capped", capped))
     }
-    files = sizes["few"].count()
     return sizes["capped"].agg(
-        F.lit(files).cast("bigint").alias("coalesced_files"),
         F.sum("count").alias("rows"),
-        (F.max("count") <= 1000).alias("records_bounded"),
+        F.lit(sizes["few"].count() <= 2).alias("few_files"),
+        (F.max("count") <= most).alias("records_bounded"),
     )
 
 
@@ -249,13 +247,20 @@ WITH {RESTAURANTS}, {TICKETS}
 SELECT cuisine_type, COUNT(*) AS orders, {sql_money("amount")} AS revenue
 FROM tickets JOIN restaurants USING (restaurant_id) GROUP BY cuisine_type""")
 def bucketed_join(spark, sf_dir):
-    """Both tables stored by hash of the key: the join shuffles neither."""
-    database = _database(spark)
+    """Both tables stored by hash of the key: the join shuffles neither.
+
+    A key heavier than a bucket would make one task read it all; then the join is salted.
+    """
     places = restaurants(spark, sf_dir).select("restaurant_id", "cuisine_type")
     lines = tickets(spark, sf_dir).select("restaurant_id", "amount")
-    left = create_bucketed_table(lines, database, "tickets", "restaurant_id", 8)
-    right = create_bucketed_table(places, database, "restaurants", "restaurant_id", 8)
-    joined = equi_join(spark.table(left), spark.table(right).hint("merge"), "restaurant_id")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if hot_keys(lines, ["restaurant_id"], 1 / max(buckets, 2)).isEmpty():
+        database = _database(spark)
+        left = create_bucketed_table(lines, database, "tickets", "restaurant_id", buckets)
+        right = create_bucketed_table(places, database, "restaurants", "restaurant_id", buckets)
+        joined = equi_join(spark.table(left), spark.table(right).hint("merge"), "restaurant_id")
+    else:
+        joined = salted_join(lines, places, "restaurant_id")
     grouped = joined.groupBy("cuisine_type")
     return grouped.agg(F.count("*").alias("orders"), money_sum(F.col("amount")).alias("revenue"))
 
@@ -267,10 +272,9 @@ def bucketed_join(spark, sf_dir):
 WITH {TICKETS}
 SELECT restaurant_id, COUNT(*) AS orders, (SELECT COUNT(*) FROM tickets) AS all_orders FROM tickets GROUP BY 1""")
 def repartition_cache(spark, sf_dir):
-    """A frame hashed by key and held for two actions; the grouping needs no second shuffle."""
-    spread = spread_by(tickets(spark, sf_dir).select("restaurant_id"), "restaurant_id")
-    with kept(spread) as held:
-        everything = held.count()
-        counted = held.groupBy("restaurant_id").agg(F.count("*").alias("orders"))
-        result = stash(fewer_partitions(counted, 2), "counted")
+    """Counts per key, hashed by that key and held for two actions."""
+    counts = tickets(spark, sf_dir).groupBy("restaurant_id").agg(F.count("*").alias("orders"))
+    with kept(spread_by(counts, "restaurant_id")) as held:
+        everything = held.agg(F.sum("orders").alias("n")).first()["n"]
+        result = stash(fewer_partitions(held, 2), "counted")
     return result.withColumn("all_orders", F.lit(everything).cast("bigint"))

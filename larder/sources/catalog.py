@@ -22,7 +22,10 @@ def create_table(df: DataFrame, database: str, name: str, partition_by=()) -> st
 
 
 def create_bucketed_table(df: DataFrame, database: str, name: str, key: str, buckets: int) -> str:
-    """Rows stored by hash of the key: joins on it need no shuffle afterwards."""
+    """Rows stored by hash of the key: joins on it need no shuffle afterwards.
+
+    One task later reads a whole bucket, so check the key for skew first.
+    """
     table = f"{database}.{name}"
     df.write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key).saveAsTable(table)
     return table

@@ -59,7 +59,11 @@ def export_partitions(df: DataFrame, location: str, partition_by) -> str:
 
 
 def deliver_formats(df: DataFrame, base: str, formats) -> dict[str, str]:
-    """The same result in several formats, computed once."""
+    """The same result in several formats, computed once.
+
+    Holds the result while it is written, so it is meant for reports. A large data set is
+    better written as Parquet first and converted from there.
+    """
     with kept(df) as held:
         return {kind: write_sink(held, kind, f"{base}/{kind}") for kind in formats}
 

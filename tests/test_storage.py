@@ -178,3 +178,12 @@ def test_jdbc_writes():
     )
     writers.write_sink(df, "jdbc", "t", url="jdbc:x", mode="append")
     df.write.jdbc.assert_called_with("jdbc:x", "t", mode="append", properties={})
+
+
+def test_rows_per_file_and_number_of_files(spark, folder):
+    df = spark.range(2500).repartition(5)
+    capped = writers.write_sink(df, "parquet", f"{folder}/capped", max_records=100)
+    sizes = spark.read.parquet(capped).groupBy(F.input_file_name().alias("f")).count()
+    assert sizes.agg(F.max("count")).first()[0] == 100 and sizes.count() == 25
+    few = writers.write_sink(df, "parquet", f"{folder}/few", files=2)
+    assert len(spark.read.parquet(few).inputFiles()) == 2

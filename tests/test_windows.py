@@ -160,3 +160,12 @@ def test_slices_carry_at_most_one_row_each(data, monkeypatch):
     monkeypatch.setattr(w, "equi_join", spy)
     w.number_rows(data, "g", ["v", "id"], **HOT).count()
     assert copied and copied[0] <= 7
+
+
+def test_each_slice_has_a_task_of_its_own(data, monkeypatch):
+    plans = []
+    original = w.stash
+    monkeypatch.setattr(w, "stash", lambda df, name: plans.append(executed_plan(df)) or original(df, name))
+    w.number_rows(data, "g", ["v", "id"], **HOT).count()
+    above_the_input = plans[0].split("InMemoryTableScan")[0]
+    assert above_the_input.count("Exchange") == 2 and "shufflepartitionidpassthrough" in above_the_input
