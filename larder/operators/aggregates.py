@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions.columns import money_avg
 from ..session import stash
-from .windows import MAX_GROUP_ROWS, as_names, number_rows, running, with_group_stats
+from .windows import MAX_GROUP_ROWS, as_names, is_small, number_rows, running, with_group_stats
 
 
 def kpi_by(df: DataFrame, key: str, value: Column, *, total="total", mean="avg_rating", best="best_rating") -> DataFrame:
@@ -96,8 +97,13 @@ def exact_percentiles(df: DataFrame, by, value: str, points: dict[str, float], *
     present = df.select(*by, value).filter(F.col(value).isNotNull())
     # Written, as three steps read it: the input itself is scanned once.
     counted = stash(present.groupBy(*by, value).agg(F.count("*").alias("_rows")), "values")
-    placed = running(counted, by, [value], {"_through": F.col("_rows")}, limit, slices)
-    placed = with_group_stats(placed, by, {"_size": F.max("_through")})
+    if is_small(counted, by, limit):
+        group = Window.partitionBy(*by)
+        through = group.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        placed = counted.withColumns({"_through": F.sum("_rows").over(through), "_size": F.sum("_rows").over(group)})
+    else:
+        placed = running(counted, by, [value], {"_through": F.col("_rows")}, limit, slices)
+        placed = with_group_stats(placed, by, {"_size": F.max("_through")})
 
     def at(place: Column) -> Column:
         return F.max(F.when((place < F.col("_through")) & (place >= F.col("_through") - F.col("_rows")), F.col(value)))
