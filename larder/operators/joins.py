@@ -100,40 +100,45 @@ def skew_report(df: DataFrame, keys, top: int = 20) -> DataFrame:
 
 
 def hot_keys(df: DataFrame, keys, share: float) -> DataFrame:
-    """Keys holding more than ``share`` of all rows: at most ``1 / share`` of them."""
+    """Keys holding more than ``share`` of all rows, at most ``1 / share`` of them, and
+    the share of each."""
     counts = stash(key_counts(df, list(keys)), "key-counts")
     total = counts.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("n")).first()["n"]
-    return counts.filter(F.col("rows") > F.lit(total * share)).drop("rows")
+    weighed = counts.withColumn("share", F.col("rows") / F.lit(max(total, 1)))
+    return weighed.filter(F.col("share") > share).drop("rows")
 
 
 def _mark_hot(side: DataFrame, keys: list[str], hot: DataFrame) -> DataFrame:
-    marks = hot.toDF(*[f"_hot_{i}" for i in range(len(keys))]).withColumn("_hot", F.lit(True))
+    marks = hot.toDF(*[f"_hot_{i}" for i in range(len(keys))], "_buckets")
     match = reduce(lambda x, y: x & y, (F.col(k).eqNullSafe(F.col(f"_hot_{i}")) for i, k in enumerate(keys)))
     # At most 1/share rows, so this copy is bounded whatever the size of the fact.
     return side.join(F.broadcast(marks), match, "left").drop(*[f"_hot_{i}" for i in range(len(keys))])
 
 
-def salted_join(fact: DataFrame, dim: DataFrame, on, how: str = "inner", *, salts: int = 32,
+def salted_join(fact: DataFrame, dim: DataFrame, on, how: str = "inner", *, salts: int | None = None,
                 share: float | None = None, spread_by=None, null_safe: bool = False) -> DataFrame:
-    """Shuffle join that spreads the hot keys of ``fact`` over ``salts`` buckets.
-
-    Only the rows of ``dim`` under a hot key are copied, once per bucket. The bucket
-    comes from the row's content (``spread_by``, default all columns), so a task that
-    runs again sends its rows to the same place; exact copies of one row stay together
-    and are left to AQE's skew split. ``how`` keeps the fact side: inner, left,
-    left_semi or left_anti.
+    """Shuffle join that spreads the hot keys of ``fact`` over buckets.
+
+    A key gets four buckets for every even partition its rows would fill (or ``salts``),
+    and the rows of ``dim`` under that key, of which there should be few, are copied once
+    per bucket; all other rows stay single. The bucket comes from the row's content
+    (``spread_by``, default all columns), so a task that runs again sends its rows to the
+    same place; exact copies of one row stay together and are left to AQE's skew split.
+    ``how`` keeps the fact side: inner, left, left_semi or left_anti.
     """
     if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
         raise ValueError(f"salting copies the right side, which a {how} join would repeat")
     pairs = _pairs(on)
-    if share is None:  # a key is hot when it outweighs half of an even partition
-        share = 0.5 / max(int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2)
-    hot = stash(hot_keys(fact, [a for a, _ in pairs], share), "hot-keys")
-    spread = stable_salt(salts, *(spread_by or fact.columns))
+    width = max(int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2)
+    # By default a key is hot when it outweighs half of an even partition.
+    hot = hot_keys(fact, [a for a, _ in pairs], 0.5 / width if share is None else share)
+    buckets = F.lit(salts) if salts else F.ceil(F.col("share") * width * 4)
+    hot = stash(hot.withColumn("share", buckets.cast("int")), "hot-keys")
+    spread = F.pmod(F.xxhash64(*(spread_by or fact.columns)), F.col("_buckets")).cast("int")
     left = _mark_hot(fact, [a for a, _ in pairs], hot)
-    left = left.withColumn("_salt", F.when(F.col("_hot"), spread).otherwise(F.lit(0))).drop("_hot")
-    buckets = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    right = _mark_hot(dim, [b for _, b in pairs], hot).withColumn("_salt_right", F.explode(buckets)).drop("_hot")
+    left = left.withColumn("_salt", F.coalesce(spread, F.lit(0))).drop("_buckets")
+    copies = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_buckets"), F.lit(1)) - 1))
+    right = _mark_hot(dim, [b for _, b in pairs], hot).withColumn("_salt_right", copies).drop("_buckets")
     return equi_join(left, right, [*pairs, ("_salt", "_salt_right")], how, null_safe).drop("_salt", "_salt_right")
 
 

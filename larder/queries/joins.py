@@ -118,7 +118,7 @@ def _by_cuisine(joined):
 def salted_join_query(spark, sf_dir):
     """Only keys above their share are salted."""
     places = restaurants(spark, sf_dir).select("restaurant_id", "cuisine_type")
-    return _by_cuisine(salted_join(tickets(spark, sf_dir), places, "restaurant_id", salts=8, share=0.0007))
+    return _by_cuisine(salted_join(tickets(spark, sf_dir), places, "restaurant_id", share=0.0007))
 
 
 @query("salted_join_all", _BY_CUISINE)

@@ -50,10 +50,23 @@ def test_salting_spreads_the_hot_key(skewed):
 
 
 def test_hot_keys_are_bounded(skewed):
-    assert rows(j.hot_keys(skewed, ["k"], 0.2)) == [(1,)]
+    assert rows(j.hot_keys(skewed, ["k"], 0.2), "k") == [(1,)]
     assert j.hot_keys(skewed, ["k"], 0.01).count() <= 100
 
 
+def test_buckets_grow_with_the_weight_of_the_key(spark, skewed, dims, monkeypatch):
+    kept = []
+    monkeypatch.setattr(j, "stash", lambda df, name: kept.append((name, df)) or df)
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        assert rows(j.salted_join(skewed, dims, "k")) == rows(skewed.join(dims, "k"))
+        hot = dict(rows(dict(kept)["hot-keys"]))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    weight = skewed.filter("k = 1").count() / skewed.count()
+    assert hot[1] == -(-weight * 40 * 4 // 1) and all(n < hot[1] / 5 for k, n in hot.items() if k != 1)
+
+
 def test_join_kinds_that_would_repeat_rows_are_refused(skewed, dims):
     with pytest.raises(ValueError):
         j.salted_join(skewed, dims, "k", "full")
