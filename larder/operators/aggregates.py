@@ -102,7 +102,7 @@ def exact_percentiles(df: DataFrame, by, value: str, points: dict[str, float], *
         through = group.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         placed = counted.withColumns({"_through": F.sum("_rows").over(through), "_size": F.sum("_rows").over(group)})
     else:
-        placed = running(counted, by, [value], {"_through": F.col("_rows")}, limit, slices)
+        placed = running(counted, by, [value], {"_through": F.col("_rows")}, limit, slices, unique=True)
         placed = with_group_stats(placed, by, {"_size": F.max("_through")})
 
     def at(place: Column) -> Column:

@@ -24,6 +24,7 @@ from .joins import equi_join, join_dimension
 MAX_GROUP_ROWS = 1_000_000
 
 _SLICE = "_slice"
+_COPY = "_copy"
 
 
 def as_names(columns) -> list[str]:
@@ -62,23 +63,32 @@ def is_small(df: DataFrame, keys, limit: int | None) -> bool:
 # --- running sums: the one primitive that crosses slices -----------------------
 
 
-def running(df: DataFrame, by, order_by, sums: dict[str, Column], limit, slices=None) -> DataFrame:
-    """Add running sums. The order has to be unique within a group."""
+def running(df: DataFrame, by, order_by, sums: dict[str, Column], limit, slices=None, *, unique=False) -> DataFrame:
+    """Add running sums, row by row in the given order.
+
+    Rows of equal order stand in any order, as in SQL. ``unique`` says there are none.
+    """
     by = as_names(by)
     if is_small(df, by, limit):
         window = _so_far(_window(by, order_by))
         return df.withColumns({name: F.sum(value).over(window) for name, value in sums.items()})
-    return _running_in_slices(df, by, order_by, sums, slices)
+    return _running_in_slices(df, by, order_by, sums, slices, unique)
 
 
-def _running_in_slices(df, by, order_by, sums, slices) -> DataFrame:
+def _running_in_slices(df, by, order_by, sums, slices, unique=False) -> DataFrame:
+    columns, order = df.columns, as_names(order_by)
+    if not unique:
+        # Copies of one row would all fall into one slice. A number of their own, written
+        # down so that it is the same on every attempt, lets borders run between them.
+        df = stash(df.withColumn(_COPY, F.monotonically_increasing_id()), "numbered")
+        order = [*order, _COPY]
     slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    borders = [F.col(c) for c in by] + _order_columns(order_by)
+    borders = [F.col(c) for c in by] + _order_columns(order)
     inputs = {f"_in_{name}": value for name, value in sums.items()}
     marked = df.repartitionByRange(slices, *borders).withColumns({_SLICE: F.spark_partition_id(), **inputs})
     # One task per slice; hashing the slice numbers would put several into some tasks.
     marked = marked.repartitionById(slices, F.col(_SLICE))
-    inside = _so_far(_window([_SLICE, *by], order_by))
+    inside = _so_far(_window([_SLICE, *by], order))
     # Written once: a range exchange that runs again may draw other borders.
     rows = stash(marked.withColumns({name: F.sum(f"_in_{name}").over(inside) for name in sums}), "slices")
 
@@ -98,7 +108,7 @@ def _running_in_slices(df, by, order_by, sums, slices) -> DataFrame:
     for name in sums:
         inner, carry = F.col(name), F.col(f"_carry_{name}")
         totals[name] = F.coalesce(inner + carry, inner, carry).cast(types[name])
-    return joined.withColumns(totals).select(*df.columns, *sums)
+    return joined.withColumns(totals).select(*columns, *sums)
 
 
 def _number_in_slices(df, by, order_by, name, slices) -> DataFrame:
@@ -110,7 +120,7 @@ def _number_in_slices(df, by, order_by, name, slices) -> DataFrame:
 
 def number_rows(df: DataFrame, by, order_by, name: str = "row_number", *,
                 limit: int | None = MAX_GROUP_ROWS, slices: int | None = None) -> DataFrame:
-    """ROW_NUMBER. ``order_by`` has to be unique within a group."""
+    """ROW_NUMBER; rows of equal order are numbered in any order."""
     return running(df, by, order_by, {name: F.lit(1).cast("bigint")}, limit, slices)
 
 
@@ -126,7 +136,7 @@ def rank_rows(df: DataFrame, by, order_by, *, rank: str | None = None, dense_ran
     keys = [*by, *[n for n in _order_names(order_by) if n not in by]]
     values = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
     counts = {"_through": F.col("_rows"), "_place": F.lit(1).cast("bigint")}
-    places = running(stash(values, "values"), by, order_by, counts, limit, slices)
+    places = running(stash(values, "values"), by, order_by, counts, limit, slices, unique=True)
     formulas = {rank: F.col("_through") - F.col("_rows") + 1, dense_rank: F.col("_place")}
     places = places.select(*keys, *[formulas[n].alias(n) for n in wanted])
     return join_dimension(df, places, keys, null_safe=True)
@@ -207,8 +217,8 @@ def running_total(df: DataFrame, by, order_by, value: Column, name: str, *, ties
                   limit: int | None = MAX_GROUP_ROWS, slices: int | None = None) -> DataFrame:
     """Running sum with an explicit frame.
 
-    ``ties="rows"`` adds row by row and needs a unique order; ``ties="range"`` gives rows
-    of equal order the same total, which is SQL's default frame.
+    ``ties="rows"`` adds row by row; ``ties="range"`` gives rows of equal order the same
+    total, which is SQL's default frame.
     """
     if ties == "rows":
         return running(df, by, order_by, {name: value}, limit, slices)
@@ -218,7 +228,8 @@ def running_total(df: DataFrame, by, order_by, value: Column, name: str, *, ties
         return df.withColumn(name, F.sum(value).over(window))
     keys = [*by, *[c for c in _order_names(order_by) if c not in by]]
     totals = df.groupBy(*keys).agg(F.sum(value).alias("_value"))
-    totals = running(stash(totals, "values"), by, order_by, {name: F.col("_value")}, limit, slices).drop("_value")
+    values, parts = stash(totals, "values"), {name: F.col("_value")}
+    totals = running(values, by, order_by, parts, limit, slices, unique=True).drop("_value")
     return join_dimension(df, totals, keys, null_safe=True)
 
 

@@ -167,5 +167,17 @@ def test_each_slice_has_a_task_of_its_own(data, monkeypatch):
     original = w.stash
     monkeypatch.setattr(w, "stash", lambda df, name: plans.append(executed_plan(df)) or original(df, name))
     w.number_rows(data, "g", ["v", "id"], **HOT).count()
-    above_the_input = plans[0].split("InMemoryTableScan")[0]
-    assert above_the_input.count("Exchange") == 2 and "shufflepartitionidpassthrough" in above_the_input
+    assert plans[-1].count("Exchange") == 2 and "shufflepartitionidpassthrough" in plans[-1]
+
+
+def test_copies_of_one_row_are_spread(spark, monkeypatch):
+    """A third of all rows are the same row; no slice may hold them all."""
+    df = spark.createDataFrame([("a", i) for i in range(600)] + [("a", 7)] * 300, "g string, v int").repartition(4)
+    stashed = {}
+    original = w.stash
+    monkeypatch.setattr(w, "stash", lambda df, name: stashed.setdefault(name, original(df, name)))
+    numbered = w.number_rows(df, "g", "v", limit=50, slices=9)
+    assert sorted(r["row_number"] for r in numbered.collect()) == list(range(1, 901))
+    assert rows(numbered, "g", "v") == rows(df)
+    slices = [r["count"] for r in stashed["slices"].groupBy("_slice").count().collect()]
+    assert len(slices) == 9 and max(slices) < 200
