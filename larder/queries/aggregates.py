@@ -49,6 +49,17 @@ def grouped_kpi(spark, sf_dir):
     return kpi_by(restaurants(spark, sf_dir), "cuisine_type", F.col("average_rating"))
 
 
+@query("filter_group_mean", f"""
+WITH {RESTAURANTS}
+SELECT cuisine_type, {sql_money_avg("average_rating")} AS avg_rating, COUNT(*) AS total FROM restaurants
+WHERE average_rating > 940 GROUP BY cuisine_type ORDER BY avg_rating DESC, cuisine_type""")
+def filter_group_mean(spark, sf_dir):
+    """Filter, group, mean, sort: the question whose timings are on record for the original."""
+    grouped = restaurants(spark, sf_dir).filter(F.col("average_rating") > 940).groupBy("cuisine_type")
+    means = grouped.agg(money_avg(F.col("average_rating")).alias("avg_rating"), F.count("*").alias("total"))
+    return means.orderBy(F.col("avg_rating").desc(), "cuisine_type")
+
+
 @query("agg_dict", f"""
 WITH {RESTAURANTS}
 SELECT city, CAST(SUM(monthly_orders) AS BIGINT) AS total_orders, MAX(average_rating) AS best, COUNT(name) AS names

@@ -352,6 +352,7 @@ def salted_counts(spark, sf_dir):
 
 @query("random_salt_spread", f"WITH {TICKETS} SELECT CAST(8 AS BIGINT) AS buckets, COUNT(*) AS orders FROM tickets")
 def random_salt_spread(spark, sf_dir):
+    """A seeded salt over a file scan repeats when a task does; counts only, no rows travel by it."""
     salted = tickets(spark, sf_dir).groupBy(random_salt(8, seed=42).alias("salt")).agg(F.count("*").alias("rows"))
     return salted.agg(F.count("*").alias("buckets"), F.sum("rows").alias("orders"))
 
