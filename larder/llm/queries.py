@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import minhash
+import public_tokenizers
+
+from . import minhash, packing, toxicity
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,9 +37,9 @@ SQL_LOWER = "translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdef
     sets AS (SELECT doc_id, list_distinct(CASE WHEN len(w) < 2 THEN w
                ELSE list_transform(range(1, len(w)), i -> w[i] || ' ' || w[i + 1]) END) AS s FROM words),
     items AS (SELECT doc_id, len(s) AS n, unnest(s) AS item FROM sets),
-    shared AS (SELECT a.doc_id AS a, b.doc_id AS b, COUNT(*) AS both, MIN(a.n) AS n, MIN(b.n) AS m
+    shared AS (SELECT a.doc_id AS a, b.doc_id AS b, COUNT(*) AS common, MIN(a.n) AS n, MIN(b.n) AS m
                FROM items a JOIN items b ON a.item = b.item AND a.doc_id <> b.doc_id GROUP BY 1, 2),
-    links AS (SELECT a, b FROM shared WHERE 100 * both >= 80 * (n + m - both)),
+    links AS (SELECT a, b FROM shared WHERE 100 * common >= 80 * (n + m - common)),
     reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
     least AS (SELECT a, MIN(b) AS b FROM reach GROUP BY a)
     SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, LEAST(doc_id, COALESCE(b, doc_id)) AS component_id,
@@ -47,3 +49,16 @@ SQL_LOWER = "translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdef
 def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents by two-word shingles."""
     return minhash.near_duplicates(read(spark, sf_dir, "documents"), words=2, percent=80)
+
+
+@query("op2_toxicity")
+def toxic_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; no SQL, as the scores are learnt."""
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    return toxicity.scored(docs, labels).select("doc_id", "held_out", "score", "predicted")
+
+
+@query("op4_packing")
+def packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 2048 ids; no SQL, as it cannot tokenize."""
+    return packing.packed(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
