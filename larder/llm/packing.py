@@ -96,10 +96,7 @@ def column_generation(
     inverse = np.diag(1 / patterns.diagonal())
     wanted = demand[classes] + np.random.default_rng(11).uniform(0.05, 0.25, m)
     used = inverse @ wanted
-    for turn in range(most_rounds):
-        if turn % 500 == 499:  # against rounding errors of the updates
-            inverse = np.linalg.inv(patterns.T)
-            used = np.maximum(inverse @ wanted, 0)
+    for _ in range(most_rounds):
         duals = inverse.sum(axis=0)
         prices = np.zeros(size)
         prices[classes] = duals
