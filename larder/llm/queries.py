@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 
-from . import minhash, packing, toxicity
+from . import minhash, packing, quality, toxicity
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,7 +26,7 @@ def query(name: str, check: str | None = None):
 
 
 # Words of a text in DuckDB: everything between runs of the six ASCII white-space characters.
-SQL_WORDS = "list_filter(string_split_regex({}, '[\\x20\\x09-\\x0D]+'), x -> x <> '')"
+SQL_WORDS = "list_filter(string_split_regex({}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
 SQL_LOWER = "translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
@@ -35,7 +35,7 @@ SQL_LOWER = "translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdef
     f"""
     WITH RECURSIVE words AS (SELECT doc_id, {SQL_WORDS.format(SQL_LOWER)} AS w FROM documents),
     sets AS (SELECT doc_id, list_distinct(CASE WHEN len(w) < 2 THEN w
-               ELSE list_transform(range(1, len(w)), i -> w[i] || ' ' || w[i + 1]) END) AS s FROM words),
+               ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS s FROM words),
     items AS (SELECT doc_id, len(s) AS n, unnest(s) AS item FROM sets),
     shared AS (SELECT a.doc_id AS a, b.doc_id AS b, COUNT(*) AS common, MIN(a.n) AS n, MIN(b.n) AS m
                FROM items a JOIN items b ON a.item = b.item AND a.doc_id <> b.doc_id GROUP BY 1, 2),
@@ -62,3 +62,42 @@ def toxic_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 2048 ids; no SQL, as it cannot tokenize."""
     return packing.packed(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query(
+    "op6_quality",
+    r"""
+    WITH base AS (SELECT doc_id, COALESCE(text, '') AS text FROM documents),
+    words AS (SELECT doc_id, text, list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+                list_filter(string_split(text, chr(10)), lambda x: regexp_replace(x, '[\x20\x09-\x0D]+', '', 'g') <> '') AS lines
+              FROM base),
+    windows AS (SELECT doc_id, i, list_aggregate(w[i:i + 7], 'string_agg', ' ') AS t
+                FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM words WHERE len(w) >= 8)),
+    twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, COUNT(*) OVER (PARTITION BY doc_id, t) AS c FROM windows) WHERE c > 1),
+    covered AS (SELECT doc_id, COUNT(DISTINCT k) AS n FROM (SELECT doc_id, unnest(range(i, i + 8)) AS k FROM twice)
+                GROUP BY doc_id),
+    judged AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS place FROM words),
+    firsts AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY doc_id, line ORDER BY place) AS nth,
+                 length(regexp_replace(line, '[\x20\x09-\x0D]+', '', 'g')) AS chars FROM judged),
+    lost AS (SELECT doc_id, SUM(chars) AS lost FROM firsts
+             WHERE nth > 1 OR NOT regexp_matches(line, ENDS) OR regexp_matches(lower(line), FURNITURE)
+                OR 10 * (length(line) - length(translate(line, '#*$%&|<>', ''))) > length(line)
+             GROUP BY doc_id),
+    figures AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+                  CAST(length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
+                  CAST(length(text) - length(translate(text, '#*$%&|<>', '')) AS BIGINT) AS n_symbols,
+                  CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+                  CAST(COALESCE(n, 0) AS BIGINT) AS n_repeat_words, COALESCE(lost, 0) AS lost
+                FROM words LEFT JOIN covered USING (doc_id) LEFT JOIN lost USING (doc_id))
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+      n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+      NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND 100 * lost <= 50 * word_chars AS kept
+    FROM figures""".replace("ENDS", r"""'[.!?:;\x{2026}\x{3002}\x{ff01}\x{ff1f}\x{061f}\x{06d4}\x{0964}][\]"'')}\x{00bb}\x{201d}\x{2019}]*[ \t\x0b\f\r]*$'""")
+    .replace("FURNITURE", "'" + "|".join(quality.FURNITURE) + "'"),
+)
+def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality figures and verdicts of every document."""
+    judged = quality.cleaned(read(spark, sf_dir, "documents"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
