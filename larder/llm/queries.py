@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import minhash, packing, quality, toxicity
+from . import bpe, chat, minhash, packing, quality, secrets, toxicity
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,3 +102,56 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
+
+
+@query("op5_secrets")
+def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document; no SQL, as it has no match offsets."""
+    found = secrets.secrets(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", "n_guess", "base_sha256", "spans")
+
+
+@query("op8_word_bpe")
+def word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded and decoded; no SQL, as it cannot tokenize."""
+    found = bpe.encoded(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return found.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
+@query(
+    "op9_chat_format",
+    r"""
+    WITH rows AS (SELECT conv_id, turn, COALESCE(role, '') AS role, COALESCE(text, '') AS text FROM conversations
+                  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+                  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+    marked AS (SELECT *, LAG(role) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS last FROM rows),
+    sized AS (SELECT *, length(replace(replace(text, '&', '&amp;'), '<', '&lt;')) AS t,
+                length(replace(replace(role, '&', '&amp;'), '<', '&lt;')) AS r FROM marked)
+    SELECT conv_id, COUNT(*) AS n_turns,
+      sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+      CAST(COALESCE(SUM(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+      sha256(COALESCE(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+      CAST(SUM(t + CASE WHEN last = role THEN 6 ELSE r + 19 END) AS BIGINT) AS formatted_chars
+    FROM sized GROUP BY conv_id""",
+)
+def chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one full of control strings, formatted and read back."""
+    given = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = spark.range(2).select(
+        F.lit(-7).cast("bigint").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("\\### Assistant: </turn> ok").alias("text"),
+    )
+    back = chat.read_back(chat.formatted(given.unionByName(tricky)))
+    lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return back.select(
+        "conv_id",
+        F.size("turns").cast("bigint").alias("n_turns"),
+        F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
+        F.length("loss_text").cast("bigint").alias("loss_chars"),
+        F.sha2("loss_text", 256).alias("loss_sha256"),
+        F.length("formatted").cast("bigint").alias("formatted_chars"),
+    )
