@@ -59,47 +59,45 @@ def line_stays(line: Column) -> Column:
     return line.rlike(ENDS) & ~line.rlike(furniture) & (10 * symbols <= F.length(line))
 
 
-def cleaned(docs: DataFrame, most_lost: int = 50) -> DataFrame:
-    """``docs`` with the base figures, ``base_failed``, ``kept`` and ``clean_text``.
+def pinned(df: DataFrame, prefix: str, columns: dict[str, Column], dropped: tuple[str, ...] = ()) -> DataFrame:
+    """Add columns that are computed once for each row.
 
-    Each step reads the arrays of the step before more than once, so that the optimizer keeps
-    them as columns instead of computing them again for every element.
+    A projection may be merged into later ones, and a filter pushed below it, which repeats what it
+    computes for each element of a later lambda. Neither crosses the explosion of one element.
     """
+    one = F.explode(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))).alias(f"{prefix}one")
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in dropped]
+    rows = df.select(*kept, one)
+    return rows.select(*kept, *[F.col(f"{prefix}one.`{name}`").alias(name) for name in columns])
+
+
+def cleaned(docs: DataFrame, most_lost: int = 50) -> DataFrame:
+    """``docs`` with the base figures, ``base_failed``, ``kept`` and ``clean_text``."""
     p = free_prefix(docs.columns)
-    text, words, lines, codes, windows, pairs, places = (
-        f"{p}{n}" for n in ("text", "words", "lines", "codes", "windows", "pairs", "places")
+    text, lines, filled, codes, windows, pairs, places, ordered, again = (
+        f"{p}{n}" for n in ("text", "lines", "filled", "codes", "windows", "pairs", "places", "ordered", "again")
     )
-    filled, ordered = f"{p}filled", f"{p}ordered"
     step = docs.withColumn(text, text_of())
-    step = step.withColumns(
-        {
-            words: F.filter(F.split(text, f"[{SPACES}]+"), lambda w: w != ""),
-            lines: F.split(text, "\n"),
-        }
-    )
-    step = step.withColumns(
-        {
-            f"{p}n": F.size(words),
-            codes: F.transform(words, lambda w: F.xxhash64(w)),
-            filled: F.filter(lines, lambda x: without(x, SPACES) != ""),
-            f"{p}lines_n": F.size(lines),
-        }
-    )
+    words = F.filter(F.split(text, f"[{SPACES}]+"), lambda w: w != "")
+    step = pinned(step, p, {codes: F.transform(words, lambda w: F.xxhash64(w)), lines: F.split(text, "\n")})
     none = F.array().cast("array<bigint>")
-    step = step.withColumns(
+    starts = F.sequence(F.lit(1), F.size(codes) - (WINDOW - 1))
+    hashed = F.transform(starts, lambda i: F.xxhash64(F.slice(codes, i, WINDOW)))
+    step = pinned(
+        step, p,
         {
-            windows: F.when(
-                F.size(codes) >= WINDOW,
-                F.transform(
-                    F.sequence(F.lit(1), F.size(codes) - (WINDOW - 1)), lambda i: F.xxhash64(F.slice(codes, i, WINDOW))
-                ),
-            ).otherwise(none),
-            f"{p}dups": F.size(filled) - F.size(F.array_distinct(filled)),
-        }
-    )
+            windows: F.when(F.size(codes) >= WINDOW, hashed).otherwise(none),
+            filled: F.filter(lines, lambda x: without(x, SPACES) != ""),
+            f"{p}n": F.size(codes),
+        },
+        (codes,),
+    )
     # Places in hash order show repeats as equal neighbours; sorted only where there are any.
     no_pairs = F.array().cast("array<struct<h:bigint,i:int>>")
-    step = step.withColumns(
+    dups = F.size(filled) - F.size(F.array_distinct(filled))
+    step = pinned(step, p, {f"{p}dups": dups}, (filled,))
+    step = pinned(
+        step, p,
         {
             pairs: F.when(
                 F.size(F.array_distinct(windows)) < F.size(windows),
@@ -109,66 +107,47 @@ def cleaned(docs: DataFrame, most_lost: int = 50) -> DataFrame:
                 F.col(f"{p}dups") > 0,
                 F.sort_array(F.transform(lines, lambda x, i: F.struct(F.xxhash64(x).alias("h"), i.alias("i")))),
             ).otherwise(no_pairs),
-        }
-    )
+        },
+        (windows,),
+    )
 
     def near(array: str, at: Column) -> Column:
         return F.get(array, at)["h"]
 
-    step = step.withColumns(
-        {
-            places: F.sort_array(
-                F.transform(
-                    F.filter(
-                        pairs,
-                        lambda x, k: x["h"].eqNullSafe(near(pairs, k - 1)) | x["h"].eqNullSafe(near(pairs, k + 1)),
-                    ),
-                    lambda x: x["i"],
-                )
-            ),
-            f"{p}again": F.transform(
-                F.sort_array(
-                    F.transform(
-                        ordered,
-                        lambda x, k: F.struct(x["i"].alias("i"), x["h"].eqNullSafe(near(ordered, k - 1)).alias("d")),
-                    )
-                ),
-                lambda x: x["d"],
-            ),
-            f"{p}pairs_n": F.size(pairs),
-            f"{p}ordered_n": F.size(ordered),
-        }
+    twice = F.filter(
+        pairs, lambda x, k: x["h"].eqNullSafe(near(pairs, k - 1)) | x["h"].eqNullSafe(near(pairs, k + 1))
     )
-    again = f"{p}again"
-    step = step.withColumns(
+    flags = F.transform(
+        ordered, lambda x, k: F.struct(x["i"].alias("i"), x["h"].eqNullSafe(near(ordered, k - 1)).alias("d"))
+    )
+    step = pinned(
+        step, p,
         {
-            f"{p}repeat": total(
-                F.transform(
-                    places,
-                    lambda x, k: F.least(F.lit(WINDOW), F.coalesce(F.get(places, k + 1) - x, F.lit(WINDOW))).cast("bigint"),
-                )
-            ),
-            f"{p}places_n": F.size(places),
-            f"{p}clean": F.array_join(
-                F.filter(
-                    lines,
-                    lambda x, k: (without(x, SPACES) == "")
-                    | (line_stays(x) & ~F.coalesce(F.get(again, k), F.lit(False))),
-                ),
-                "\n",
-            ),
-            f"{p}again_n": F.size(again),
-        }
+            places: F.sort_array(F.transform(twice, lambda x: x["i"])),
+            again: F.transform(F.sort_array(flags), lambda x: x["d"]),
+        },
+        (pairs, ordered),
+    )
+    covered = F.transform(
+        places, lambda x, k: F.least(F.lit(WINDOW), F.coalesce(F.get(F.col(places), k + 1) - x, F.lit(WINDOW))).cast("bigint")
+    )
+    staying = F.filter(
+        lines,
+        lambda x, k: (without(x, SPACES) == "") | (line_stays(x) & ~F.coalesce(F.get(F.col(again), k), F.lit(False))),
+    )
+    step = pinned(
+        step, p, {f"{p}repeat": total(covered), f"{p}clean": F.array_join(staying, "\n")}, (places, again, lines)
     )
     n, chars = F.col(f"{p}n"), F.length(without(F.col(text), SPACES))
     left = F.length(without(F.col(f"{p}clean"), SPACES))
-    step = step.withColumns(
+    step = pinned(
+        step, p,
         {
             f"{p}failed": (n < 20) | (100 * F.col(f"{p}repeat") > 30 * n),
             f"{p}chars": chars,
             f"{p}lost": 100 * (chars - left) > most_lost * chars,
-        }
-    )
+        },
+    )
     failed = F.col(f"{p}failed")
     results = {
         "n_words": n.cast("bigint"),

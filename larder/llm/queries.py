@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import bpe, chat, minhash, packing, quality, secrets, toxicity
+from . import bpe, chat, fingerprints, minhash, packing, quality, secrets, token_counts, toxicity
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -155,3 +155,16 @@ def chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("loss_text", 256).alias("loss_sha256"),
         F.length("formatted").cast("bigint").alias("formatted_chars"),
     )
+
+
+@query("op10_fingerprints")
+def document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its text edited by the next; no SQL, as a walk is not one."""
+    return fingerprints.with_next(read(spark, sf_dir, "documents"))
+
+
+@query("op1_token_counts")
+def flat_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, found in flat token streams; no SQL, as it cannot tokenize."""
+    docs = read(spark, sf_dir, "documents")
+    return token_counts.token_counts(docs, public_tokenizers.path("byte_bpe_50k.json"), end=50256)
