@@ -93,7 +93,7 @@ def packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
       n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
       NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND 100 * lost <= 50 * word_chars AS kept
-    FROM figures""".replace("ENDS", r"""'[.!?:;\x{2026}\x{3002}\x{ff01}\x{ff1f}\x{061f}\x{06d4}\x{0964}][\]"'')}\x{00bb}\x{201d}\x{2019}]*[ \t\x0b\f\r]*$'""")
+    FROM figures""".replace("ENDS", r"""'[.!?:;\x{2026}\x{3002}\x{ff01}\x{ff1f}\x{061f}\x{06d4}\x{0964}][\]"'')}\x{00bb}\x{201d}\x{2019} \t\x0b\f\r]*$'""")
     .replace("FURNITURE", "'" + "|".join(quality.FURNITURE) + "'"),
 )
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
