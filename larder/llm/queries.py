@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import bpe, chat, fingerprints, minhash, packing, quality, secrets, token_counts, toxicity
+from . import bpe, chat, fingerprints, minhash, packing, pii, quality, secrets, token_counts, toxicity
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -168,3 +168,9 @@ def flat_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document, found in flat token streams; no SQL, as it cannot tokenize."""
     docs = read(spark, sf_dir, "documents")
     return token_counts.token_counts(docs, public_tokenizers.path("byte_bpe_50k.json"), end=50256)
+
+
+@query("op7_surrogates")
+def pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with personal data replaced; no SQL, as it cannot draw surrogates until none collide."""
+    return pii.anonymized(read(spark, sf_dir, "documents"), key="larder")
