@@ -4,12 +4,9 @@
 RATING_STEPS = [(4.5, "Excellent"), (4.0, "Good")]
 RATING_REST = "Average"
 
-GRADE_STEPS = [(4.5, "Excelente"), (4.0, "Muito Bom"), (3.5, "Bom")]
-GRADE_STEPS_WIDE = [(4.5, "Excelente"), (4.0, "Muito Bom"), (3.0, "Bom")]
 GRADE_REST = "Regular"
 GRADE_NULL = "Sem Avaliacao"
 
-TIER_STEPS = [(4.5, "Tier 1 - Star"), (4.0, "Tier 2 - Good")]
 TIER_REST = "Tier 3 - Standard"
 
 AMOUNT_STEPS = [(150.0, "High"), (75.0, "Medium")]
@@ -25,7 +22,6 @@ CUISINE_DEFAULT = "UNKNOWN"
 FILL_DEFAULTS = {"cuisine_type": "Unknown", "phone": "N/A"}
 
 ALL_LABEL = "** ALL **"
-TOTAL_LABEL = "** TOTAL **"
 GRAND_TOTAL_LABEL = "** GRAND TOTAL **"
 # ----------------------------------------------------------------------------
 

@@ -107,6 +107,17 @@ def money_avg(value: Column, digits: int = 2) -> Column:
     return F.round(money_sum(value) / F.nullif(F.count(value), F.lit(0)), digits)
 
 
+def steady_avg(value: Column, digits: int = 2) -> Column:
+    """Rounded mean that does not depend on the order of the rows, of values with up to ten decimals.
+
+    The sum is a wide decimal; a NaN makes the mean NaN, as in a plain mean.
+    """
+    number = value.cast("double")
+    total = F.sum(F.when(~F.isnan(number), number.cast("decimal(28,10)"))).cast("double")
+    mean = F.round(total / F.nullif(F.count(value), F.lit(0)), digits)
+    return F.when(F.bool_or(F.isnan(number)), F.lit(float("nan"))).otherwise(mean)
+
+
 # --- dates --------------------------------------------------------------------
 
 

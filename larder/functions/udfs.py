@@ -35,10 +35,13 @@ def register_sql_function(spark: SparkSession, name: str, function, returns: str
 
 def create_sql_ladder(spark: SparkSession, name: str, steps, rest: str) -> str:
     """The same rule as a SQL function: callable by name, yet inlined by Catalyst."""
-    cases = " ".join(f"WHEN value >= {float(bound)!r}D THEN '{label}'" for bound, label in steps)
+    def quoted(label: str) -> str:
+        return "'" + label.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    cases = " ".join(f"WHEN value >= {float(bound)!r}D THEN {quoted(label)}" for bound, label in steps)
     spark.sql(
         f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(value DOUBLE) RETURNS STRING "
-        f"RETURN CASE {cases} ELSE '{rest}' END"
+        f"RETURN CASE {cases} ELSE {quoted(rest)} END"
     )
     return name
 

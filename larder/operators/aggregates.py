@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.columns import money_avg
+from ..functions.columns import steady_avg
 from ..session import stash
 from .windows import MAX_GROUP_ROWS, as_names, is_small, number_rows, running, with_group_stats
 
@@ -14,11 +14,10 @@ from .windows import MAX_GROUP_ROWS, as_names, is_small, number_rows, running, w
 def kpi_by(df: DataFrame, key: str, value: Column, *, total="total", mean="avg_rating", best="best_rating") -> DataFrame:
     """Rows, mean and best value per group, best mean first; ties by key.
 
-    The value has two decimals at most, so its mean can be exact before it is rounded.
     """
     return (
         df.groupBy(key)
-        .agg(F.count("*").alias(total), money_avg(value).alias(mean), F.max(value).alias(best))
+        .agg(F.count("*").alias(total), steady_avg(value).alias(mean), F.max(value).alias(best))
         .orderBy(F.col(mean).desc(), key)
     )
 
@@ -67,7 +66,7 @@ def share_of_total(df: DataFrame, key: str, *, count: str = "total", share: str
     return sized.withColumn(share, percent).drop("_all")
 
 
-def members(df: DataFrame, by, member: str, unique_by: str, *, chunk: int = 1000,
+def members(df: DataFrame, by, member: str, unique_by: str, *, chunk: int,
             name: str = "members") -> DataFrame:
     """COLLECT_LIST of a group's values in order, ``chunk`` values per row.
 

@@ -13,6 +13,11 @@ from ..session import stash
 # A side is copied to every executor only when its measured payload is at most this.
 BROADCAST_BYTES = 64 << 20
 
+_KEEPS_FACT = ("inner", "left", "left_outer", "leftouter", "left_semi", "leftsemi", "semi", "left_anti", "leftanti", "anti")
+
+# Keys lighter than this are never listed as hot, so the list stays short enough to copy.
+LEAST_SHARE = 1e-6
+
 _FIXED_WIDTH = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "float": 4, "date": 4}
 
 
@@ -44,19 +49,30 @@ def equi_join(left: DataFrame, right: DataFrame, on, how: str = "inner", null_sa
     """Join on ``"key"``, ``("left_key", "right_key")`` or a list of these.
 
     Keys of the same name appear once in the result; of different names, both do.
-    ``null_safe`` lets two nulls match, as they do in a GROUP BY.
+    ``null_safe`` lets two nulls match, as they do in a GROUP BY. The columns are those of
+    ``left`` in their order, then those of ``right`` without the shared keys, for every ``how``.
     """
     pairs = _pairs(on)
     shared = [b for a, b in pairs if a == b]
     if len(shared) == len(pairs) and not null_safe:
-        return left.join(right, shared, how)
+        joined = left.join(right, shared, how)
+        rest = [c for c in left.columns if c not in shared]
+        front = [shared.index(c) if c in shared else len(shared) + rest.index(c) for c in left.columns]
+        order = [*front, *range(len(front), len(joined.columns))]
+        names = [f"_{i}" for i in range(len(joined.columns))]
+        placed = joined.toDF(*names).select(*[names[i] for i in order])
+        return placed.toDF(*[joined.columns[i] for i in order])
     # Fresh names keep the two sides apart when one is derived from the other.
     right = right.withColumnsRenamed({name: f"_right_{name}" for name in shared})
     tests = []
     for a, b in pairs:
         mine, other = F.col(a), F.col(f"_right_{b}" if a == b else b)
         tests.append(mine.eqNullSafe(other) if null_safe else mine == other)
-    return left.join(right, reduce(lambda x, y: x & y, tests), how).drop(*[f"_right_{n}" for n in shared])
+    joined = left.join(right, reduce(lambda x, y: x & y, tests), how)
+    if shared and how in ("right", "right_outer", "full", "outer", "full_outer", "fullouter", "rightouter"):
+        # A row of the right side alone still has its keys.
+        joined = joined.withColumns({n: F.coalesce(F.col(n), F.col(f"_right_{n}")) for n in shared})
+    return joined.drop(*[f"_right_{n}" for n in shared])
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
@@ -64,8 +80,12 @@ def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
     """Join a large frame with one that is usually small.
 
     Copies ``dim`` to the executors when its measured size allows, so the fact is not
-    shuffled at all; otherwise shuffles both with the hot keys of the fact salted.
+    shuffled at all; otherwise shuffles both with the hot keys of the fact salted. Right and
+    full joins keep rows of ``dim`` that no row of the fact has, which copies would repeat: they
+    are shuffled and left to AQE's skew split. Columns and rows are the same on every path.
     """
+    if how not in _KEEPS_FACT:
+        return equi_join(fact, dim, on, how, null_safe)
     if fits_broadcast(dim, limit):
         return equi_join(fact, F.broadcast(dim), on, how, null_safe)
     return salted_join(fact, dim, on, how, null_safe=null_safe)
@@ -74,11 +94,12 @@ def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
 def hinted_join(fact: DataFrame, dim: DataFrame, on, strategy: str, how: str = "inner") -> DataFrame:
     """Force ``broadcast``, ``merge`` or ``shuffle_hash``.
 
-    ``broadcast`` and ``shuffle_hash`` hold a whole side (or a whole partition of it) in
-    memory, so they apply only to a side of proven size; a larger one is merge-joined.
+    ``broadcast`` holds a whole side in memory and ``shuffle_hash`` a partition of it, so a side
+    that is too large for the strategy is refused, not joined in another way.
     """
-    if strategy in ("broadcast", "shuffle_hash") and not fits_broadcast(dim):
-        strategy = "merge"
+    parts = {"broadcast": 1, "shuffle_hash": int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))}
+    if strategy in parts and not fits_broadcast(dim, BROADCAST_BYTES * parts[strategy]):
+        raise ValueError(f"the side is too large for {strategy}; use merge")
     return equi_join(fact, dim.hint(strategy), on, how)
 
 
@@ -86,26 +107,32 @@ def key_counts(df: DataFrame, keys) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("rows"))
 
 
-def skew_report(df: DataFrame, keys, top: int = 20) -> DataFrame:
-    """The heaviest keys with their share of all rows and their weight against the median key."""
+def skew_report(df: DataFrame, keys, top: int | None = None) -> DataFrame:
+    """All keys (or the ``top`` heaviest) with their share of all rows and their weight against the
+    median key, heaviest first."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     counts = stash(key_counts(df, keys), "key-counts")
     totals = counts.agg(F.sum("rows").alias("total"), F.percentile_approx("rows", 0.5).alias("median")).first()
-    return (
+    report = (
         counts.withColumn("share", F.round(F.col("rows") / F.lit(totals["total"] or 1), 6))
         .withColumn("times_median", F.round(F.col("rows") / F.lit(totals["median"] or 1), 6))
         .orderBy(F.col("rows").desc(), *keys)
-        .limit(top)
     )
+    return report if top is None else report.limit(top)
 
 
 def hot_keys(df: DataFrame, keys, share: float) -> DataFrame:
     """Keys holding more than ``share`` of all rows, at most ``1 / share`` of them, and
     the share of each."""
-    counts = stash(key_counts(df, list(keys)), "key-counts")
-    total = counts.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("n")).first()["n"]
-    weighed = counts.withColumn("share", F.col("rows") / F.lit(max(total, 1)))
-    return weighed.filter(F.col("share") > share).drop("rows")
+    if not share >= LEAST_SHARE:
+        raise ValueError(f"a share below {LEAST_SHARE} would make the list of hot keys too long to copy")
+    keys = list(keys)
+    # Counts are combined before the shuffle and filtered right after it: only hot keys are kept.
+    counts = key_counts(df, keys)
+    total = df.agg(F.count("*").alias("n")).first()["n"]
+    return counts.filter(F.col("rows") > share * max(total, 1)).select(
+        *keys, (F.col("rows") / F.lit(max(total, 1))).alias("share")
+    )
 
 
 def _mark_hot(side: DataFrame, keys: list[str], hot: DataFrame) -> DataFrame:
@@ -126,7 +153,7 @@ def salted_join(fact: DataFrame, dim: DataFrame, on, how: str = "inner", *, salt
     same place; exact copies of one row stay together and are left to AQE's skew split.
     ``how`` keeps the fact side: inner, left, left_semi or left_anti.
     """
-    if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
+    if how not in _KEEPS_FACT:
         raise ValueError(f"salting copies the right side, which a {how} join would repeat")
     pairs = _pairs(on)
     width = max(int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2)

@@ -26,6 +26,8 @@ def even_files(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def fewer_partitions(df: DataFrame, partitions: int) -> DataFrame:
+    """Merge partitions without a shuffle: for frames that are already computed and small, as the
+    step above runs in as few tasks."""
     return df.coalesce(partitions)
 
 

@@ -183,6 +183,10 @@ def ntile(df: DataFrame, by, order_by, tiles: int, name: str = "ntile", *,
 # --- the first rows of a group ---------------------------------------------------
 
 
+# Up to this many rows, Spark itself keeps only the first rows of a group in each map task.
+GROUP_LIMIT = 1000
+
+
 def top_n(df: DataFrame, by, order_by, n: int, name: str = "rank", method: str = "row_number", *,
           limit: int | None = MAX_GROUP_ROWS) -> DataFrame:
     """Rows whose place in their group is at most ``n``.
@@ -192,14 +196,22 @@ def top_n(df: DataFrame, by, order_by, n: int, name: str = "rank", method: str =
     rows; in large groups the winning *values* are found and joined back instead.
     """
     by, function = as_names(by), {"row_number": F.row_number, "rank": F.rank, "dense_rank": F.dense_rank}[method]
-    if method == "row_number" or is_small(df, by, limit):
+    if method == "row_number" and n <= GROUP_LIMIT or is_small(df, by, limit):
         placed = df.withColumn(name, function().over(_window(by, order_by))).filter(F.col(name) <= n)
         return placed.withColumn(name, F.col(name).cast("bigint"))
+    if method == "row_number":
+        return _number_in_slices(df, by, order_by, name, None).filter(F.col(name) <= n)
     keys = [*by, *[c for c in _order_names(order_by) if c not in by]]
     values = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
-    window = _window(by, order_by)
-    best = values.withColumn("_place", F.row_number().over(window)).filter(F.col("_place") <= n)
-    before = F.sum("_rows").over(_so_far(window)) - F.col("_rows")
+    if n > GROUP_LIMIT:
+        values = stash(values, "values")
+        best = _number_in_slices(values, by, order_by, "_place", None).filter(F.col("_place") <= n)
+        best = running(best, by, order_by, {"_through": F.col("_rows")}, limit, None, unique=True)
+        before = F.col("_through") - F.col("_rows")
+    else:
+        window = _window(by, order_by)
+        best = values.withColumn("_place", F.row_number().over(window)).filter(F.col("_place") <= n)
+        before = F.sum("_rows").over(_so_far(window)) - F.col("_rows")
     place = before + 1 if method == "rank" else F.col("_place")
     best = best.withColumn(name, place.cast("bigint")).filter(F.col(name) <= n).select(*keys, name)
     return join_dimension(df, stash(best, "best"), keys, null_safe=True)
@@ -238,8 +250,8 @@ def _with_neighbours(df, by, order_by, before: int, after: int, columns, limit,
     by = as_names(by)
     if is_small(df, by, limit):
         return df.withColumns(columns(_window(by, order_by)))
-    if max(before, after) >= limit:
-        raise ValueError(f"a frame of {max(before, after)} rows does not fit groups of {limit}")
+    # A block holds the widest frame, so a row never needs more than its neighbour blocks.
+    limit = max(limit, before + 1, after + 1)
     # Cut each group into blocks of exactly `limit` rows and lend every block the last
     # `before` rows of the one ahead of it and the first `after` of the one behind it.
     numbered = _number_in_slices(df, by, order_by, "_rn", slices)

@@ -35,8 +35,11 @@ def from_local(spark: SparkSession, local: pd.DataFrame) -> ps.DataFrame:
 
 
 def to_local(frame: ps.DataFrame, limit: int) -> pd.DataFrame:
-    """A bounded number of rows on the driver; there is no unbounded form."""
-    return to_native(frame).limit(limit).toPandas()
+    """All rows on the driver, at most ``limit`` of them; a larger frame is refused."""
+    rows = to_native(frame).limit(limit + 1).toPandas()
+    if len(rows) > limit:
+        raise ValueError(f"the frame has over {limit} rows")
+    return rows
 
 
 def read_json_lines(spark: SparkSession, location: str, schema) -> ps.DataFrame:
@@ -71,7 +74,7 @@ def spread(frame: ps.DataFrame, partitions: int) -> ps.DataFrame:
 
 
 def gather(frame: ps.DataFrame, partitions: int) -> ps.DataFrame:
-    return natively(frame, lambda df: df.coalesce(partitions))
+    return natively(frame, lambda df: df.repartition(partitions))
 
 
 def assemble_features(df: DataFrame, columns, name: str = "features") -> DataFrame:

@@ -100,7 +100,7 @@ WITH {RESTAURANTS}, numbered AS (
 SELECT cuisine_type, CAST((seat - seat % 1000) / 1000 AS BIGINT) AS chunk, STRING_AGG(name, '|' ORDER BY seat) AS members, COUNT(*) AS member_count
 FROM numbered GROUP BY 1, 2""")
 def collect_members(spark, sf_dir):
-    collected = members(restaurants(spark, sf_dir), "cuisine_type", "name", "restaurant_id")
+    collected = members(restaurants(spark, sf_dir), "cuisine_type", "name", "restaurant_id", chunk=1000)
     return collected.select(
         "cuisine_type",
         "chunk",
@@ -259,7 +259,7 @@ def grouping_sets_report(spark, sf_dir):
     )
 
 
-_HEADINGS = ["ECONOMY", "LARGE", "MEDIUM", "PROMO"]
+_HEADINGS = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 
 
 @query("pivot_avg", f"""
@@ -275,14 +275,13 @@ def pivot_avg(spark, sf_dir):
 
 @query("pivot_top", f"""
 WITH {RESTAURANTS}
-SELECT monthly_orders, ROUND(AVG(CASE WHEN city = 'ECONOMY' THEN average_rating END), 2) AS economy,
-       ROUND(AVG(CASE WHEN city = 'PROMO' THEN average_rating END), 2) AS promo
+SELECT monthly_orders, {", ".join(
+    f"ROUND(AVG(CASE WHEN city = '{h}' THEN average_rating END), 2) AS {h.lower()}" for h in _HEADINGS)}
 FROM restaurants GROUP BY monthly_orders ORDER BY economy DESC NULLS LAST, monthly_orders LIMIT 10""")
 def pivot_top(spark, sf_dir):
     """Pivot, null placement and limit together: a top-k of the pivoted rows."""
-    headings = ["ECONOMY", "PROMO"]
-    pivoted = pivot_mean(restaurants(spark, sf_dir), "monthly_orders", "city", F.col("average_rating"), headings)
-    named = pivoted.withColumnsRenamed({h: h.lower() for h in headings})
+    pivoted = pivot_mean(restaurants(spark, sf_dir), "monthly_orders", "city", F.col("average_rating"), _HEADINGS)
+    named = pivoted.withColumnsRenamed({h: h.lower() for h in _HEADINGS})
     return named.orderBy(F.col("economy").desc_nulls_last(), "monthly_orders").limit(10)
 
 

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from ..errors import WriteError
 from ..functions.columns import money_sum
-from ..operators.joins import equi_join, hot_keys, salted_join
-from ..operators.tuning import fewer_partitions, kept, spread_by
+from ..operators.joins import equi_join
+from ..operators.tuning import kept, spread_by
 from ..plans.jobs import kpi_job
 from ..session import scratch_path, stash, union_all
 from ..sources.catalog import (
@@ -138,11 +138,12 @@ def multi_frame_delivery(spark, sf_dir):
 
 @query("file_sizing", f"""
 WITH {TICKETS} SELECT COUNT(*) AS rows, true AS few_files, true AS records_bounded FROM tickets""")
-def file_sizing(spark, sf_dir, most: int = 5_000_000):
+def file_sizing(spark, sf_dir, share: int = 7):
     """Few files for a small report; a bounded number of rows per file for a large frame."""
     base, lines = scratch_path(spark, "files"), tickets(spark, sf_dir)
     report = lines.groupBy(F.year("order_date").alias("year")).agg(F.count("*").alias("orders"))
     few = write_sink(report, "parquet", f"{base}/few", files=2)
+    most = lines.count() // share + 1
     capped = write_sink(lines, "parquet", f"{base}/capped", max_records=most)
     sizes = {
         name: read_source(spark, "parquet", path).select(F.input_file_name().alias("file")).groupBy("file").count()
@@ -151,7 +152,7 @@ def file_sizing(spark, sf_dir, most: int = 5_000_000):
     return sizes["capped"].agg(
         F.sum("count").alias("rows"),
         F.lit(sizes["few"].count() <= 2).alias("few_files"),
-        (F.max("count") <= most).alias("records_bounded"),
+        ((F.max("count") <= most) & (F.count("*") >= share)).alias("records_bounded"),
     )
 
 
@@ -166,10 +167,10 @@ def kpi_delivery(spark, sf_dir):
 # --- catalog ---------------------------------------------------------------------
 
 
-@query("catalog_ctas", f"WITH {RESTAURANTS} SELECT * FROM restaurants WHERE average_rating > 930")
+@query("catalog_ctas", f"WITH {RESTAURANTS} SELECT * FROM restaurants")
 def catalog_ctas(spark, sf_dir):
     created = create_table(restaurants(spark, sf_dir), _database(spark), "restaurants")
-    return read_source(spark, "table", created).filter(F.col("average_rating") > 930)
+    return read_source(spark, "table", created)
 
 
 @query("catalog_partitioned", f"""
@@ -247,20 +248,14 @@ WITH {RESTAURANTS}, {TICKETS}
 SELECT cuisine_type, COUNT(*) AS orders, {sql_money("amount")} AS revenue
 FROM tickets JOIN restaurants USING (restaurant_id) GROUP BY cuisine_type""")
 def bucketed_join(spark, sf_dir):
-    """Both tables stored by hash of the key: the join shuffles neither.
-
-    A key heavier than a bucket would make one task read it all; then the join is salted.
-    """
+    """Both tables stored by hash of the key: the join shuffles neither. Meant for even keys."""
     places = restaurants(spark, sf_dir).select("restaurant_id", "cuisine_type")
     lines = tickets(spark, sf_dir).select("restaurant_id", "amount")
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if hot_keys(lines, ["restaurant_id"], 1 / max(buckets, 2)).isEmpty():
-        database = _database(spark)
-        left = create_bucketed_table(lines, database, "tickets", "restaurant_id", buckets)
-        right = create_bucketed_table(places, database, "restaurants", "restaurant_id", buckets)
-        joined = equi_join(spark.table(left), spark.table(right).hint("merge"), "restaurant_id")
-    else:
-        joined = salted_join(lines, places, "restaurant_id")
+    database = _database(spark)
+    left = create_bucketed_table(lines, database, "tickets", "restaurant_id", buckets)
+    right = create_bucketed_table(places, database, "restaurants", "restaurant_id", buckets)
+    joined = equi_join(spark.table(left), spark.table(right).hint("merge"), "restaurant_id")
     grouped = joined.groupBy("cuisine_type")
     return grouped.agg(F.count("*").alias("orders"), money_sum(F.col("amount")).alias("revenue"))
 
@@ -276,5 +271,5 @@ def repartition_cache(spark, sf_dir):
     counts = tickets(spark, sf_dir).groupBy("restaurant_id").agg(F.count("*").alias("orders"))
     with kept(spread_by(counts, "restaurant_id")) as held:
         everything = held.agg(F.sum("orders").alias("n")).first()["n"]
-        result = stash(fewer_partitions(held, 2), "counted")
+        result = stash(held, "counted")
     return result.withColumn("all_orders", F.lit(everything).cast("bigint"))

@@ -27,7 +27,8 @@ def create_bucketed_table(df: DataFrame, database: str, name: str, key: str, buc
     One task later reads a whole bucket, so check the key for skew first.
     """
     table = f"{database}.{name}"
-    df.write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+    # One task for each bucket, so there is one file for each.
+    df.repartition(buckets, key).write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key).saveAsTable(table)
     return table
 
 

@@ -12,9 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 def value_predicates(column: str, values, *, rest: bool = True) -> list[str]:
     """One disjoint WHERE clause per value, plus one for all other rows and nulls.
 
-    Overlapping predicates would read a row twice, missing ones not at all.
+    Null values are skipped, as the last clause has them. Overlapping predicates would read a row twice, missing ones not at all.
     """
-    quoted = [f"'{v.replace(chr(39), chr(39) * 2)}'" if isinstance(v, str) else str(v) for v in dict.fromkeys(values)]
+    quoted = [f"'{v.replace(chr(39), chr(39) * 2)}'" if isinstance(v, str) else str(v) for v in dict.fromkeys(values) if v is not None]
     clauses = [f"{column} = {q}" for q in quoted]
     if rest:
         clauses.append(f"{column} IS NULL OR {column} NOT IN ({', '.join(quoted)})")
@@ -59,5 +59,5 @@ def write_table(df: DataFrame, url: str, table: str, *, mode: str = "append", pr
     ``overwrite``, or a staging table, where the job may run again.
     """
     if connections:
-        df = df.coalesce(connections)
+        df = df.repartition(connections)
     df.write.jdbc(url, table, mode=mode, properties=bulk_properties(properties) if bulk else properties or {})

@@ -19,7 +19,7 @@ def write_sink(df: DataFrame, kind: str, location: str, *, mode: str = "overwrit
 
     ``partition_by`` makes one directory per value; rows are first rebalanced by those
     columns, so each value gets few files and a heavy value still several writers.
-    ``files`` caps the number of files of a result known to be small.
+    ``files`` caps the number of files of a result known to be small; what computes it keeps its own tasks.
     """
     if kind == "jdbc":
         from .jdbc import write_table
@@ -37,7 +37,7 @@ def write_sink(df: DataFrame, kind: str, location: str, *, mode: str = "overwrit
     if max_records:
         options["maxRecordsPerFile"] = max_records
     if files:
-        df = df.coalesce(files)
+        df = df.repartition(files)
     elif partition_by:
         df = even_files(df, *partition_by)
     writer = df.write.mode(mode).options(**options)

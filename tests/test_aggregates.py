@@ -97,3 +97,9 @@ def test_summarise_names_every_column(restaurants):
 def test_money_average_of_nothing_is_null(spark):
     df = spark.createDataFrame([(None,)], "x double")
     assert df.agg(money_avg(F.col("x")).alias("m")).first()["m"] is None
+
+
+def test_means_of_more_than_two_decimals(spark):
+    df = spark.createDataFrame([("a", 0.004), ("a", 0.004), ("a", 0.014), ("b", float("nan")), ("c", None)], "g string, r double")
+    out = {r["g"]: r["avg_rating"] for r in a.kpi_by(df, "g", F.col("r")).collect()}
+    assert out["a"] == 0.01 and out["b"] != out["b"] and out["c"] is None

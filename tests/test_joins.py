@@ -79,6 +79,34 @@ def test_a_measured_small_side_is_broadcast_and_a_large_one_is_not(skewed, dims)
     assert "_salt" in executed_plan(large)
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "right", "full", "left_semi", "left_anti"])
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_a_join_has_one_result_whatever_the_size(skewed, dims, how, null_safe):
+    fact = skewed.select("id", "v", "k")
+    small = j.join_dimension(fact, dims, "k", how, null_safe=null_safe)
+    large = j.join_dimension(fact, dims, "k", how, limit=0, null_safe=null_safe)
+    assert small.columns == large.columns == ["id", "v", "k"] + ([] if "_" in how else ["label"])
+    assert small.dtypes == large.dtypes
+    assert rows(small) == rows(large)
+    if not null_safe:
+        assert rows(small) == rows(fact.join(dims, "k", how).select(small.columns))
+
+
+def test_a_strategy_is_obeyed_or_refused(skewed, dims, monkeypatch):
+    monkeypatch.setattr(j, "BROADCAST_BYTES", 10)
+    for strategy in ("broadcast", "shuffle_hash"):
+        with pytest.raises(ValueError):
+            j.hinted_join(skewed, dims, "k", strategy)
+    assert rows(j.hinted_join(skewed, dims, "k", "merge")) == rows(j.equi_join(skewed, dims, "k"))
+
+
+def test_hot_keys_are_found_without_writing_all_keys(skewed):
+    hot = j.hot_keys(skewed, ["k"], 0.2)
+    assert [r["k"] for r in hot.collect()] == [1]
+    with pytest.raises(ValueError):
+        j.hot_keys(skewed, ["k"], 0.0)
+
+
 def test_measured_bytes(spark):
     df = spark.createDataFrame([("é" * 10, 1, None), (None, 2, [1, 2])], "s string, n bigint, a array<int>")
     empty = df.limit(0)
@@ -100,6 +128,8 @@ def test_sql_hint_names_the_alias(spark, skewed, dims):
     sql = "SELECT /*+ {hint} */ f.k FROM {{f}} f JOIN {{d}} d ON f.k = d.k"
     by_alias = spark.sql(sql.format(hint="MERGE(d)"), f=skewed, d=dims)
     assert "SortMergeJoin" in executed_plan(by_alias)
+    by_alias = spark.sql(sql.format(hint="BROADCAST(d)"), f=skewed, d=dims)
+    assert "BroadcastHashJoin" in executed_plan(by_alias)
 
 
 def test_null_safe_join_keeps_null_groups(skewed, dims):
@@ -127,3 +157,4 @@ def test_rows_without_match(skewed, dims):
 def test_skew_report(skewed):
     report = j.skew_report(skewed, "k", top=3).collect()
     assert report[0]["k"] == 1 and report[0]["share"] > 0.33 and report[0]["times_median"] > 5 and len(report) == 3
+    assert j.skew_report(skewed, "k").count() == skewed.select("k").distinct().count()

@@ -23,8 +23,10 @@ def test_index_is_distributed(frame):
 
 
 def test_local_frames_are_bounded(frame):
-    local = p.to_local(frame, 3)
-    assert isinstance(local, pd.DataFrame) and len(local) == 3
+    local = p.to_local(frame, 8)
+    assert isinstance(local, pd.DataFrame) and len(local) == 8
+    with pytest.raises(ValueError):
+        p.to_local(frame, 3)
 
 
 def test_merge_is_a_native_join(frame, orders):

@@ -171,8 +171,8 @@ def test_jdbc_writes():
     jdbc.write_table(df, "jdbc:x", "t", mode="overwrite")
     df.write.jdbc.assert_called_with("jdbc:x", "t", mode="overwrite", properties={})
     jdbc.write_table(df, "jdbc:x", "t", bulk=True, connections=4, properties={"user": "u"})
-    df.coalesce.assert_called_with(4)
-    df.coalesce().write.jdbc.assert_called_with(
+    df.repartition.assert_called_with(4)
+    df.repartition().write.jdbc.assert_called_with(
         "jdbc:x", "t", mode="append",
         properties={"user": "u", "batchsize": "10000", "reWriteBatchedInserts": "true"},
     )

@@ -101,9 +101,22 @@ def test_rolling_mean_waits_for_enough_rows(spark):
     assert [r["m"] for r in rolled.collect()] == [None, None, 2.0, 3.0]
 
 
-def test_a_frame_larger_than_a_block_is_refused(data):
-    with pytest.raises(ValueError):
-        w.neighbours(data, "g", ["v", "id"], {"p": ("x", -30)}, **HOT)
+def test_a_frame_larger_than_a_block_widens_the_blocks(data):
+    for steps in ({"p": ("x", -30)}, {"p": ("x", -45), "n": ("x", 70)}):
+        wide = w.neighbours(data, "g", ["v", "id"], steps, **HOT)
+        assert rows(wide) == rows(w.neighbours(data, "g", ["v", "id"], steps, limit=None))
+    mean = w.rolling_mean(data, "g", ["v", "id"], F.col("x"), 50, "m", **HOT)
+    assert rows(mean) == rows(w.rolling_mean(data, "g", ["v", "id"], F.col("x"), 50, "m", limit=None))
+
+
+@pytest.mark.parametrize("method", ["row_number", "rank", "dense_rank"])
+def test_top_n_beyond_the_group_limit_is_sliced(data, method):
+    sliced = w.top_n(data, "g", ["v", "id"], 5000, method=method, limit=20)
+    plain = w.top_n(data, "g", ["v", "id"], 5000, method=method, limit=None)
+    assert rows(sliced, "id", "rank") == rows(plain, "id", "rank")
+    # The threshold itself, on small data.
+    few = w.top_n(data, "g", ["v", "id"], 25, method=method, limit=20)
+    assert rows(few, "id", "rank") == rows(plain.filter("rank <= 25"), "id", "rank")
 
 
 @pytest.mark.parametrize("method", ["row_number", "rank", "dense_rank"])
