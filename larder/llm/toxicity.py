@@ -126,7 +126,7 @@ def fit(
 
 def train(
     docs: DataFrame, labels: DataFrame, usable: Column, bits: int = 22, factors: int = 4, epochs: int = 12,
-    rate: float = 0.1, decay: float = 0.2, least_g: float = 20.0, most_labelled: int = 20_000, most_terms: int = 5_000,
+    rate: float = 0.1, decay: float = 0.2, least_g: float = 10.0, most_labelled: int = 20_000, most_terms: int = 5_000,
 ) -> Model:
     """Learn from the rows of ``labels (doc_id, toxic)`` for which ``usable`` (of doc_id) holds."""
     picked = labels.where(usable & F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
