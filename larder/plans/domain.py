@@ -46,6 +46,6 @@ def drivers_from(supplier: DataFrame) -> DataFrame:
 
 
 def phone_of(area, number):
-    """A written phone number, as the tables hold none: ``+(07) 4463-123``."""
+    """A written phone number, as the tables hold none: ``+(07) 3127-123``."""
     area, number = area.cast("string"), number.cast("string")
-    return F.concat(F.lit("+("), F.lpad(area, 2, "0"), F.lit(") 4463-"), number)
+    return F.concat(F.lit("+("), F.lpad(area, 2, "0"), F.lit(") 3127-"), number)

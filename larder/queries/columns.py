@@ -196,11 +196,11 @@ def transform_chain(spark, sf_dir):
 
 
 @query("regex_clean", rf"""
-WITH {USERS}, dirty AS (SELECT user_id, NULLIF(phone_number, '+(19) 4463-1') AS phone FROM users)
+WITH {USERS}, dirty AS (SELECT user_id, NULLIF(phone_number, '+(19) 3127-1') AS phone FROM users)
 SELECT user_id, REGEXP_REPLACE(phone, '[()\-+]', '', 'g') AS with_spaces,
        REGEXP_REPLACE(phone, '[()\s\-]', '', 'g') AS without_spaces FROM dirty""")
 def regex_clean(spark, sf_dir):
-    phone = F.nullif(F.col("phone_number"), F.lit("+(19) 4463-1"))
+    phone = F.nullif(F.col("phone_number"), F.lit("+(19) 3127-1"))
     return users(spark, sf_dir).select(
         "user_id",
         clean_phone(phone).alias("with_spaces"),

@@ -21,7 +21,7 @@ def _with_phone(places):
     return places.withColumn("phone", phone_of(F.col("monthly_orders"), F.col("restaurant_id")))
 
 
-_PHONE = "'+(' || LPAD(CAST(monthly_orders AS VARCHAR), 2, '0') || ') 4463-' || CAST(restaurant_id AS VARCHAR)"
+_PHONE = "'+(' || LPAD(CAST(monthly_orders AS VARCHAR), 2, '0') || ') 3127-' || CAST(restaurant_id AS VARCHAR)"
 
 
 @query("e2e_metrics", f"""

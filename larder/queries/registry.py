@@ -62,7 +62,7 @@ TICKETS = """tickets AS (
   SELECT l_orderkey AS order_id, l_linenumber AS line, l_partkey AS restaurant_id, l_suppkey AS driver_id,
          l_extendedprice AS amount, l_shipdate AS order_date FROM lineitem)"""
 
-PHONE = "'+(' || LPAD(CAST(c_nationkey AS VARCHAR), 2, '0') || ') 4463-' || CAST(c_custkey AS VARCHAR)"
+PHONE = "'+(' || LPAD(CAST(c_nationkey AS VARCHAR), 2, '0') || ') 3127-' || CAST(c_custkey AS VARCHAR)"
 
 USERS = f"""users AS (
   SELECT c_custkey AS user_id, LOWER(c_mktsegment) || '@' || CAST(c_custkey AS VARCHAR) AS email,

@@ -10,17 +10,17 @@ from larder.sources.readers import read_source
 from .conftest import rows
 
 METRICS = [
-    ("American", "Curitiba", 33.4, 1, 33.4), ("American", "Sao Paulo", 99.8, 2, 49.9),
-    ("Indian", "Rio", 62.7, 1, 62.7), ("Italian", "Curitiba", 78.6, 1, 78.6),
-    ("Italian", "Sao Paulo", 223.4, 3, 74.47), ("Japanese", "Rio", 147.3, 2, 73.65),
-    ("Japanese", "Sao Paulo", 95.1, 1, 95.1), ("Mexican", "Rio", 41.2, 1, 41.2),
+    ("Diner", "Oslo", 35.2, 1, 35.2), ("Diner", "Porto", 88.3, 2, 44.15),
+    ("Greek", "Oslo", 114.4, 2, 57.2), ("Greek", "Porto", 132.0, 2, 66.0),
+    ("Persian", "Lagos", 84.15, 1, 84.15), ("Peruvian", "Lagos", 47.5, 1, 47.5),
+    ("Thai", "Lagos", 149.9, 2, 74.95), ("Thai", "Porto", 66.05, 1, 66.05),
 ]
 
 
 @pytest.fixture(scope="module")
 def users(spark):
     return spark.createDataFrame(
-        [(1, "a@x", "(51) 4463-9821"), (2, "b@x", "+55 11 9999-1234"), (3, "c@x", None)],
+        [(1, "a@x", "(20) 3127-5540"), (2, "b@x", "+44 20 7946-0018"), (3, "c@x", None)],
         "user_id bigint, email string, phone_number string",
     )
 
@@ -31,13 +31,13 @@ def test_order_metrics(restaurants, orders, small, monkeypatch):
     metrics = jobs.order_metrics(orders.filter("order_id <= 12"), restaurants)
     assert rows(metrics) == METRICS
     best = metrics.first()
-    assert (best["cuisine_type"], best["total_revenue"]) == ("Italian", 223.4)
+    assert (best["cuisine_type"], best["total_revenue"]) == ("Thai", 149.9)
 
 
 def test_end_to_end(users, restaurants, orders, folder):
     paths = jobs.end_to_end_job(users, restaurants, orders.filter("order_id <= 12"), folder)
     read = {name: read_source(users.sparkSession, "parquet", path) for name, path in paths.items()}
-    assert rows(read["users"], "phone_number") == [("51 44639821",), ("55 11 99991234",), (None,)]
+    assert rows(read["users"], "phone_number") == [("20 31275540",), ("44 20 79460018",), (None,)]
     assert rows(read["order_metrics"]) == [(c.upper(), *rest) for c, *rest in METRICS]
     labels = dict(rows(read["restaurants"], "restaurant_id", "rating_category"))
     assert [labels[i] for i in range(1, 9)] == [
@@ -55,7 +55,7 @@ def test_end_to_end_stops_at_the_gate(users, restaurants, orders, folder):
 
 
 def test_run_job_counts_its_source(restaurants):
-    result, seen = jobs.run_job(restaurants, [lambda df: df.filter("city = 'Rio'"), jobs.rate])
+    result, seen = jobs.run_job(restaurants, [lambda df: df.filter("city = 'Lagos'"), jobs.rate])
     assert result.count() == 3 and seen.get["rows"] == 8
 
 
@@ -76,7 +76,7 @@ def test_guarded_job(spark, restaurants, folder):
         "average_rating", F.when(F.col("restaurant_id") != 6, F.lit("(11) 9-9")).alias("phone"),
     )
     kpi = read_source(spark, "parquet", jobs.guarded_job(dirty, f"{folder}/kpi"))
-    assert ("Unknown", 1, 4.1, 4.1) in rows(kpi)
+    assert ("Unknown", 1, 4.2, 4.2) in rows(kpi)
     with pytest.raises(SchemaError, match="phone"):
         jobs.guarded_job(dirty.drop("phone"), f"{folder}/kpi")
     with pytest.raises(QualityError, match="min_rows"):
@@ -85,41 +85,41 @@ def test_guarded_job(spark, restaurants, folder):
 
 def test_medallion_by_path(restaurants, folder):
     gold = jobs.medallion_by_path(restaurants, folder)
-    assert [r["cuisine_type"] for r in gold.collect()] == ["Indian", "Italian", "Japanese", "Mexican", "American"]
+    assert [r["cuisine_type"] for r in gold.collect()] == ["Greek", "Persian", "Thai", "Peruvian", "Diner"]
 
 
 def test_medallion_by_table(restaurants, folder):
     steps = [(4.5, "top"), (4.0, "good")]
-    gold = jobs.medallion_by_table(restaurants, "larder_test", folder, 4.0, 4.8, steps, "rest")
-    assert dict(rows(gold, "restaurant_id", "validated_rating"))[3] == 4.8
+    gold = jobs.medallion_by_table(restaurants, "larder_test", folder, 4.0, 4.75, steps, "rest")
+    assert dict(rows(gold, "restaurant_id", "validated_rating"))[3] == 4.75
     assert rows(gold.groupBy("category").count()) == [("good", 4), ("top", 4)]
 
 
 def test_score_against_group(restaurants):
     compared = {r["name"]: r for r in jobs.score_against_group(restaurants).collect()}
-    assert compared["Curry Club"]["diff_from_avg"] == 0.0
-    assert compared["Pizza Palace"]["popularity_score"] == 4.93
+    assert compared["Saffron Yard"]["diff_from_avg"] == 0.0
+    assert compared["Olive Court"]["popularity_score"] == 5.34
 
 
 def test_sql_modules(restaurants, orders):
     out = sql_modules.run_modules(restaurants, orders)
     assert rows(out["label_shares"]) == [("Average", 2, 25.0), ("Excellent", 4, 50.0), ("Good", 2, 25.0)]
     assert [tuple(r) for r in out["monthly_trend"].collect()] == [
-        (2024, 1, 6, 469.0, 78.17, 469.0, 0.0), (2024, 2, 5, 250.9, 50.18, 719.9, -218.1),
-        (2024, 3, 4, 280.3, 70.08, 1000.2, 29.4),
+        (2023, 1, 5, 314.9, 62.98, 314.9, 0.0), (2023, 2, 5, 284.15, 56.83, 599.05, -30.75),
+        (2023, 3, 5, 317.8, 63.56, 916.85, 33.65),
     ]
     assert [tuple(r) for r in out["weekday_pattern"].collect()] == [
-        (1, "Sun", 1, 88.0), (2, "Mon", 3, 132.9), (3, "Tue", 2, 128.5), (4, "Wed", 3, 190.2), (5, "Thu", 1, 92.3),
-        (6, "Fri", 3, 211.0), (7, "Sat", 2, 157.3),
+        (2, "Mon", 1, 61.2), (3, "Tue", 4, 268.45), (4, "Wed", 3, 203.15), (5, "Thu", 3, 157.05),
+        (6, "Fri", 3, 191.8), (7, "Sat", 1, 35.2),
     ]
     report = [(r["cuisine_type"], r["city"], r["total_revenue"], r["revenue_rank"]) for r in out["revenue_report"].collect()]
-    assert report[0] == ("ITALIAN", "Sao Paulo", 223.4, 1) and report[1] == ("JAPANESE", "Rio", 219.8, 2)
+    assert report[0] == ("GREEK", "Porto", 184.45, 1) and report[1] == ("PERSIAN", "Lagos", 162.05, 2)
     assert [r[3] for r in report] == list(range(1, 9))
     totals = {r["cuisine_type"]: r for r in out["cuisine_totals"].collect()}
-    assert totals["** GRAND TOTAL **"]["total_revenue"] == 1000.2 and totals["ITALIAN"]["avg_rating"] == 4.6
+    assert totals["** GRAND TOTAL **"]["total_revenue"] == 916.85 and totals["GREEK"]["avg_rating"] == 4.65
     assert out["cuisine_totals"].collect()[-1]["cuisine_type"] == "** GRAND TOTAL **"
     leaders = rows(out["best_per_cuisine"], "name", "rank_in_cuisine")
-    assert ("Sushi Star", 1) in leaders and ("Ramen Road", 2) in leaders and len(leaders) == 8
+    assert ("Koi Pond", 1) in leaders and ("Basil Lane", 2) in leaders and len(leaders) == 8
 
 
 def test_restaurants_without_orders_count_zero(restaurants, orders):

@@ -150,9 +150,9 @@ def test_group_stats(data, by):
 
 
 def test_change_from_previous_starts_at_zero(spark):
-    df = spark.createDataFrame([(1, 469.0), (2, 250.9), (3, 280.3)], "m int, t double")
+    df = spark.createDataFrame([(1, 310.5), (2, 125.25), (3, 200.0)], "m int, t double")
     changed = w.change_from_previous(df, [], "m", "t", "c").orderBy("m")
-    assert [r["c"] for r in changed.collect()] == [0.0, -218.1, 29.4]
+    assert [r["c"] for r in changed.collect()] == [0.0, -185.25, 74.75]
 
 
 def test_empty_frames(data):
