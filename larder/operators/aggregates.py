@@ -140,3 +140,13 @@ def with_one_row(left: DataFrame, single: DataFrame) -> DataFrame:
     """Put the columns of a one-row frame (a total) beside another frame's rows."""
     row, types = single.first(), dict(single.dtypes)
     return left.withColumns({name: F.lit(row[name]).cast(kind) for name, kind in types.items()})
+
+
+def approximate_beside_exact(df: DataFrame, column: str, deviation: float) -> DataFrame:
+    """``column, exact, within``: whether the approximate distinct count is at most three standard
+    deviations from the exact one, which is counted from the distinct values."""
+    exact = df.select(column).where(F.col(column).isNotNull()).distinct().agg(F.count("*").alias("exact"))
+    rough = df.agg(F.approx_count_distinct(column, deviation).alias("rough"))
+    return with_one_row(exact, rough).select(
+        F.lit(column).alias("column"), "exact", (F.abs(F.col("rough") - F.col("exact")) <= 3 * deviation * F.col("exact")).alias("within")
+    )

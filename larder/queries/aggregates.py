@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 from ..fixed_values import ALL_LABEL, GRAND_TOTAL_LABEL, PRICE_STEPS, RATING_REST
 from ..functions.columns import ladder, money_avg, money_sum, money_total
 from ..operators.aggregates import (
-    describe, exact_percentiles, kpi_by, members, pivot_mean, share_of_total, subtotals, summarise,
+    approximate_beside_exact, describe, exact_percentiles, kpi_by, members, pivot_mean, share_of_total, subtotals, summarise,
 )
 from ..operators.joins import join_dimension
 from ..operators.windows import rank_rows, with_group_stats
-from ..session import stash
+from ..session import stash, union_all
 from .registry import PRICE_LABEL, RESTAURANTS, TICKETS, query, restaurants, sql_money, sql_money_avg, tickets
 
 @query("global_counts", f"""
@@ -85,12 +85,14 @@ def distinct_values(spark, sf_dir):
     )
 
 
-@query("distinct_approx")
+@query("distinct_approx", f"""
+WITH {TICKETS}
+SELECT 'order_id' AS "column", COUNT(DISTINCT order_id) AS exact, true AS within FROM tickets UNION ALL
+SELECT 'restaurant_id', COUNT(DISTINCT restaurant_id), true FROM tickets""")
 def distinct_approx(spark, sf_dir):
-    return tickets(spark, sf_dir).agg(
-        F.approx_count_distinct("order_id", 0.01).alias("orders"),
-        F.approx_count_distinct("restaurant_id", 0.01).alias("restaurants"),
-    )
+    """Approximate counts beside exact ones; at most three standard errors apart."""
+    lines = tickets(spark, sf_dir)
+    return union_all([approximate_beside_exact(lines, c, 0.01) for c in ("order_id", "restaurant_id")])
 
 
 @query("collect_members", f"""

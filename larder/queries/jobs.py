@@ -10,7 +10,7 @@ from ..fixed_values import PRICE_STEPS
 from ..functions.columns import clean_phone
 from ..plans import jobs, sql_modules
 from ..plans.domain import phone_of
-from ..session import scratch_path, union_all
+from ..session import scratch_path, stash, union_all
 from ..sources.readers import read_source
 from .registry import (
     PRICE_LABEL, RESTAURANTS, TICKETS, USERS, query, restaurants, sql_money, sql_money_avg, tickets, users,
@@ -239,10 +239,11 @@ def sql_job_row_counts(spark, sf_dir):
 
 
 @query("observed_job", f"""
-WITH {USERS} SELECT user_id, REGEXP_REPLACE(phone_number, '[()\\-+]', '', 'g') AS phone_number FROM users""")
+WITH {USERS} SELECT user_id, REGEXP_REPLACE(phone_number, '[()\\-+]', '', 'g') AS phone_number,
+       COUNT(*) OVER () AS source_rows FROM users""")
 def observed_job(spark, sf_dir):
     """The template: a source, steps, and its row count taken on the way."""
-    result, _ = jobs.run_job(
+    result, seen = jobs.run_job(
         users(spark, sf_dir),
         [
             lambda df: df.withColumn("phone_number", clean_phone(F.col("phone_number"))),
@@ -250,4 +251,5 @@ def observed_job(spark, sf_dir):
         ],
         name="users",
     )
-    return result
+    result = stash(result, "observed")  # the count is known once the rows have passed
+    return result.withColumn("source_rows", F.lit(seen.get["rows"]).cast("bigint"))

@@ -65,9 +65,20 @@ def profile_query(spark, sf_dir):
     return profile(_dirty(spark, sf_dir).drop("average_rating")).drop("approx_distinct")
 
 
-@query("profile_distinct")
+_PROFILED = ["order_id", "line", "restaurant_id", "driver_id", "amount", "order_date"]
+
+
+@query("profile_distinct", f"WITH {TICKETS} " + " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", COUNT(DISTINCT {c}) AS exact, true AS within FROM tickets""" for c in _PROFILED))
 def profile_distinct(spark, sf_dir):
-    return profile(tickets(spark, sf_dir)).select("column", "approx_distinct")
+    """The profile's approximate distinct counts beside exact ones; its standard error is 5 %."""
+    lines = tickets(spark, sf_dir)
+    rough = profile(lines).select("column", "approx_distinct")
+    exact = union_all(
+        [lines.select(c).distinct().agg(F.lit(c).alias("column"), F.count(c).alias("exact")) for c in _PROFILED]
+    )
+    within = F.abs(F.col("approx_distinct") - F.col("exact")) <= 0.15 * F.col("exact")
+    return exact.join(rough, "column").select("column", "exact", within.alias("within"))
 
 
 @query("quality_gate", f"""

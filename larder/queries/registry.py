@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,6 +12,8 @@ from ..session import prepare, size_shuffle
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
+# The tables of the query that is being built.
+_loaded: list[DataFrame] = []
 
 
 def query(name: str, check: str | None = None):
@@ -19,7 +22,13 @@ def query(name: str, check: str | None = None):
     def register(function):
         if name in QUERIES:
             raise ValueError(f"query {name} is registered twice")
-        QUERIES[name] = function
+
+        @wraps(function)
+        def alone(spark, sf_dir, *more, **named):
+            _loaded.clear()
+            return function(spark, sf_dir, *more, **named)
+
+        QUERIES[name] = alone
         if check is not None:
             CHECKS[name] = " ".join(check.split())
         return function
@@ -28,10 +37,11 @@ def query(name: str, check: str | None = None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One input table; also sizes the shuffle for it."""
+    """One input table; also sizes the shuffle for all tables the query has loaded so far."""
     prepare(spark)
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    size_shuffle(spark, df)
+    _loaded.append(df)
+    size_shuffle(spark, *_loaded)
     return df
 
 
@@ -48,7 +58,6 @@ def drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fact. Load it after the dimensions, so that it sizes the shuffle."""
     return domain.tickets_from(table(spark, sf_dir, "lineitem"))
 
 

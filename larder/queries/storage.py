@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import functions as F
 
@@ -21,9 +22,14 @@ from ..sources.writers import deliver_formats, deliver_frames, export_partitions
 from .registry import RESTAURANTS, TICKETS, query, restaurants, sql_money, tickets
 
 
-def _database(spark) -> str:
-    """A database of its own in the shared folder, so runs do not meet."""
-    return create_database(spark, f"larder_{uuid.uuid4().hex[:12]}", scratch_path(spark, "database"))
+@contextmanager
+def _database(spark):
+    """A database of its own in the shared folder, so runs do not meet; dropped with its tables."""
+    name = create_database(spark, f"larder_{uuid.uuid4().hex[:12]}", scratch_path(spark, "database"))
+    try:
+        yield name
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
 
 
 def _round_trip(kind):
@@ -53,6 +59,20 @@ def roundtrip_partitioned(spark, sf_dir):
     return read_in_order(spark, path, dated.schema).filter((F.col("year") == 1998) & (F.col("month") == 1))
 
 
+@query("roundtrip_partitioned_all", f"""
+WITH {TICKETS}
+SELECT CAST(YEAR(order_date) AS INTEGER) AS year, CAST(MONTH(order_date) AS INTEGER) AS month, COUNT(*) AS orders,
+       {sql_money("amount")} AS revenue FROM tickets GROUP BY 1, 2""")
+def roundtrip_partitioned_all(spark, sf_dir):
+    """Every directory of the partitioned write, read back."""
+    dated = tickets(spark, sf_dir).select(
+        "order_id", "line", "amount", F.year("order_date").alias("year"), F.month("order_date").alias("month")
+    )
+    path = write_sink(dated, "parquet", f"{scratch_path(spark, 'dated')}/tickets", partition_by=["year", "month"])
+    grouped = read_in_order(spark, path, dated.schema).groupBy("year", "month")
+    return grouped.agg(F.count("*").alias("orders"), money_sum(F.col("amount")).alias("revenue"))
+
+
 @query("incremental_partitions", f"""
 WITH {TICKETS}
 SELECT CAST(YEAR(order_date) AS INTEGER) AS year, COUNT(*) AS orders,
@@ -169,33 +189,37 @@ def kpi_delivery(spark, sf_dir):
 
 @query("catalog_ctas", f"WITH {RESTAURANTS} SELECT * FROM restaurants")
 def catalog_ctas(spark, sf_dir):
-    created = create_table(restaurants(spark, sf_dir), _database(spark), "restaurants")
-    return read_source(spark, "table", created)
+    with _database(spark) as database:
+        created = create_table(restaurants(spark, sf_dir), database, "restaurants")
+        return stash(read_source(spark, "table", created))
 
 
 @query("catalog_partitioned", f"""
 WITH {RESTAURANTS} SELECT DISTINCT 'city=' || city AS "partition" FROM restaurants""")
 def catalog_partitioned(spark, sf_dir):
-    created = create_table(restaurants(spark, sf_dir), _database(spark), "restaurants", partition_by=["city"])
-    return list_partitions(spark, created)
+    with _database(spark) as database:
+        created = create_table(restaurants(spark, sf_dir), database, "restaurants", partition_by=["city"])
+        return stash(list_partitions(spark, created))
 
 
 @query("catalog_partition_scan", f"""
 WITH {RESTAURANTS} SELECT restaurant_id, name, city FROM restaurants WHERE city = 'MEDIUM'""")
 def catalog_partition_scan(spark, sf_dir):
-    created = create_table(restaurants(spark, sf_dir), _database(spark), "restaurants", partition_by=["city"])
-    return spark.table(created).filter(F.col("city") == "MEDIUM").select("restaurant_id", "name", "city")
+    with _database(spark) as database:
+        created = create_table(restaurants(spark, sf_dir), database, "restaurants", partition_by=["city"])
+        return stash(spark.table(created).filter(F.col("city") == "MEDIUM").select("restaurant_id", "name", "city"))
 
 
 @query("catalog_list", """
 WITH tables(table_name) AS (VALUES ('restaurants'), ('restaurants_by_city'))
 SELECT table_name, false AS temporary FROM tables WHERE (SELECT COUNT(*) FROM part) > 0""")
 def catalog_list(spark, sf_dir):
-    database, places = _database(spark), restaurants(spark, sf_dir)
-    create_table(places, database, "restaurants")
-    create_table(places, database, "restaurants_by_city", partition_by=["city"])
-    listed = list_tables(spark, database).filter(F.col("namespace") == database)
-    return listed.select(F.col("tableName").alias("table_name"), F.col("isTemporary").alias("temporary"))
+    places = restaurants(spark, sf_dir)
+    with _database(spark) as database:
+        create_table(places, database, "restaurants")
+        create_table(places, database, "restaurants_by_city", partition_by=["city"])
+        listed = list_tables(spark, database).filter(F.col("namespace") == database)
+        return stash(listed.select(F.col("tableName").alias("table_name"), F.col("isTemporary").alias("temporary")))
 
 
 @query("views", f"""
@@ -213,11 +237,11 @@ WITH {TICKETS}
 SELECT CAST(YEAR(order_date) AS INTEGER) AS year, COUNT(*) AS orders FROM tickets GROUP BY 1""")
 def permanent_view(spark, sf_dir):
     """Stored in the catalog over a stored table, so other sessions can read it."""
-    database = _database(spark)
-    source = create_table(tickets(spark, sf_dir).select("order_id", "order_date"), database, "tickets")
-    name = f"{database}.tickets_with_time"
-    create_view(spark, name, f"SELECT *, YEAR(order_date) AS year FROM {source}", temporary=False)
-    return spark.sql(f"SELECT year, COUNT(*) AS orders FROM {name} GROUP BY year")
+    with _database(spark) as database:
+        source = create_table(tickets(spark, sf_dir).select("order_id", "order_date"), database, "tickets")
+        name = f"{database}.tickets_with_time"
+        create_view(spark, name, f"SELECT *, YEAR(order_date) AS year FROM {source}", temporary=False)
+        return stash(spark.sql(f"SELECT year, COUNT(*) AS orders FROM {name} GROUP BY year"))
 
 
 @query("global_view", f"WITH {RESTAURANTS} SELECT cuisine_type, COUNT(*) AS total FROM restaurants GROUP BY cuisine_type")
@@ -252,12 +276,12 @@ def bucketed_join(spark, sf_dir):
     places = restaurants(spark, sf_dir).select("restaurant_id", "cuisine_type")
     lines = tickets(spark, sf_dir).select("restaurant_id", "amount")
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    database = _database(spark)
-    left = create_bucketed_table(lines, database, "tickets", "restaurant_id", buckets)
-    right = create_bucketed_table(places, database, "restaurants", "restaurant_id", buckets)
-    joined = equi_join(spark.table(left), spark.table(right).hint("merge"), "restaurant_id")
-    grouped = joined.groupBy("cuisine_type")
-    return grouped.agg(F.count("*").alias("orders"), money_sum(F.col("amount")).alias("revenue"))
+    with _database(spark) as database:
+        left = create_bucketed_table(lines, database, "tickets", "restaurant_id", buckets)
+        right = create_bucketed_table(places, database, "restaurants", "restaurant_id", buckets)
+        joined = equi_join(spark.table(left), spark.table(right).hint("merge"), "restaurant_id")
+        grouped = joined.groupBy("cuisine_type")
+        return stash(grouped.agg(F.count("*").alias("orders"), money_sum(F.col("amount")).alias("revenue")))
 
 
 # --- physical tuning -------------------------------------------------------------

@@ -53,18 +53,18 @@ def planned_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def size_shuffle(spark: SparkSession, *frames: DataFrame) -> int:
+def size_shuffle(spark: SparkSession, *frames: DataFrame, most: int | None = None) -> int:
     """Set the shuffle width from the size of the inputs.
 
     The default of 200 would make partitions of half a terabyte on 100 TB; AQE
     merges small partitions but never splits an aggregation's large ones. Frames of
-    unknown size leave the width as it is.
+    unknown size leave the width as it is. ``most`` (default ``MOST_SHUFFLE_PARTITIONS``) bounds it.
     """
     sizes = [planned_bytes(f) for f in frames]
     if max(sizes) >= UNKNOWN_BYTES:
         return int(spark.conf.get("spark.sql.shuffle.partitions"))
     wanted = -(-sum(sizes) // BYTES_PER_SHUFFLE_PARTITION)
-    width = min(max(wanted, spark.sparkContext.defaultParallelism), MOST_SHUFFLE_PARTITIONS)
+    width = min(max(wanted, spark.sparkContext.defaultParallelism), most or MOST_SHUFFLE_PARTITIONS)
     spark.conf.set("spark.sql.shuffle.partitions", str(width))
     return width
 

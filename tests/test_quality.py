@@ -72,3 +72,11 @@ def test_observed_counts(people):
     frame, seen = q.counting(people.filter("id > 1"), "late")
     frame.collect()
     assert seen.get["rows"] == 2
+
+
+def test_schema_rules_read_no_rows(spark, small_dir):
+    from larder.operators.tuning import executed_plan
+
+    parts = spark.read.parquet(f"{small_dir}/part.parquet")
+    plan = executed_plan(q.check(parts, q.required_columns(parts, "p_name", "email")))
+    assert "FileScan" not in plan

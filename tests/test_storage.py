@@ -79,7 +79,7 @@ def test_catalog(spark, restaurants, folder):
     restaurants.limit(1).createOrReplaceTempView("places")  # must not shadow the table
     assert readers.read_source(spark, "table", table).count() == 8
     view = catalog.create_view(spark, f"{database}.good", f"SELECT * FROM {table} WHERE average_rating > 4.5", temporary=False)
-    assert spark.table(view).count() == 3
+    assert spark.table(view).count() == 4
     with catalog.cached_table(spark, "places") as cached:
         assert spark.catalog.isCached("places") and cached.count() == 1
     assert not spark.catalog.isCached("places")
@@ -187,3 +187,24 @@ def test_rows_per_file_and_number_of_files(spark, folder):
     assert sizes.agg(F.max("count")).first()[0] == 100 and sizes.count() == 25
     few = writers.write_sink(df, "parquet", f"{folder}/few", files=2)
     assert len(spark.read.parquet(few).inputFiles()) == 2
+
+
+def test_one_file_for_each_bucket(spark, orders, folder):
+    database = catalog.create_database(spark, "larder_bucket_files", f"{folder}/db")
+    table = catalog.create_bucketed_table(orders.repartition(6), database, "orders", "restaurant_id", 4)
+    files = spark.table(table).select(F.input_file_name()).distinct().count()
+    assert 0 < files <= 4
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
+def test_queries_leave_no_database(spark, small_dir):
+    from larder.queries import QUERIES
+
+    before = {r[0] for r in spark.sql("SHOW DATABASES").collect()}
+    for name in ("catalog_ctas", "catalog_partition_scan", "permanent_view", "bucketed_join"):
+        QUERIES[name](spark, small_dir).collect()
+    assert {r[0] for r in spark.sql("SHOW DATABASES").collect()} == before
+
+
+def test_null_values_of_predicates_are_skipped():
+    assert jdbc.value_predicates("c", ["a", None]) == ["c = 'a'", "c IS NULL OR c NOT IN ('a')"]
