@@ -25,13 +25,14 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Written, strings, text_of, written
-from .minhash import components, mixed
+from .minhash import components, family_links, mixed
 
 SAMPLES = 128
 LETTERS = 1024
@@ -233,32 +234,53 @@ def with_next(docs: DataFrame) -> DataFrame:
     return base.where("part is null").select(*COLUMNS).unionByName(edges.mapInArrow(finish, RESULT))
 
 
-def near_groups(prints: DataFrame, least: float = 0.8, bands: int = 24, width: int = 8) -> DataFrame:
+def near_groups(prints: DataFrame, least: float = 0.8, bands: int = 24, width: int = 4, small: int = 32) -> DataFrame:
     """``doc_id, group_id`` of ``prints (doc_id, fingerprint)``: the smallest doc_id reached by links.
 
-    Equal fingerprints collapse first. The other candidates are fingerprints that agree on all
-    ``width`` samples of one of ``bands`` bands of consecutive samples at fixed places; each meets
-    the bucket's smallest member and the one before it, so no bucket writes out all its pairs.
+    Equal fingerprints collapse first. Candidates agree on one of ``bands`` bands of ``width``
+    samples; a band's samples are drawn at places spread over the fingerprint, so one edit does not
+    spoil them all. Candidates are verified by the likeness of the whole fingerprints: all pairs
+    of a bucket of up to ``small``; in a larger one each member and the bucket's pivot, and what stays
+    outside the largest component against its whole family in blocks. Rows without a doc_id are in
+    no group.
     """
-    named = prints.where("doc_id is not null").groupBy("fingerprint").agg(F.min("doc_id").alias("node"))
-    own = Written(named, "prints")
-    sample = F.substring_index("fingerprint", ":", -1)
-    level = F.substring_index("fingerprint", ":", 1)
-    entries = own.frame.select("node", "fingerprint", F.posexplode(F.array(*[
-        F.concat(level, F.lit(":"), F.substring(sample, b * width + 1, width)) for b in range(bands)
-    ])).alias("band", "value"))
-    entries = entries.where(F.length("value") > width)
-    pivots = entries.groupBy("band", "value").agg(F.min("node").alias("pivot"), F.count("*").alias("n")).where("n > 1")
-    pairs = entries.join(pivots, ["band", "value"]).where("node != pivot").select("node", "fingerprint", "pivot").distinct()
-
-    @F.pandas_udf("double")
-    def like(one, two):
-        import pandas as pd
-
-        return pd.Series([likeness(a, b) for a, b in zip(one, two, strict=True)], dtype=float)
-
-    other = own.frame.select(F.col("node").alias("pivot"), F.col("fingerprint").alias("pivot_print"))
-    links = pairs.join(other, "pivot").where(like("fingerprint", "pivot_print") >= least)
-    found = components(links.select(F.col("node").alias("a"), F.col("pivot").alias("b")), "print-groups")
-    groups = own.frame.join(found, "node", "left").select("fingerprint", F.coalesce("component", "node").alias("group_id"))
-    return prints.join(groups, "fingerprint", "left").select("doc_id", "group_id")
+    own = Written(prints.where("doc_id is not null").groupBy("fingerprint").agg(F.min("doc_id").alias("node")), "prints")
+    sample, level = F.substring_index("fingerprint", ":", -1), F.substring_index("fingerprint", ":", 1)
+    places = np.random.default_rng(22).permuted(np.tile(np.arange(1, SAMPLES // 2 + 1), (bands, 1)), axis=1)[:, :width]
+    values = [
+        F.concat_ws(":", F.lit(b), level, *[F.substring(sample, int(p), 1) for p in sorted(row)])
+        for b, row in enumerate(places)
+    ]
+    short = F.length(sample) < SAMPLES // 2
+    whole = F.array(F.concat_ws(":", F.lit("short"), level, F.substring(sample, 1, 4)))
+    drawn = F.when(short, whole).otherwise(F.array(*values))
+    entries = own.frame.select("node", F.explode(F.transform(drawn, lambda v: F.xxhash64(v))).alias("bucket"))
+    entries = entries.repartition("bucket")
+    buckets = entries.groupBy("bucket").agg(
+        F.count("*").alias("members"), F.min(F.expr("node ^ bucket")).alias("pivot")
+    )
+    buckets = buckets.where("members > 1").select("bucket", "members", F.expr("pivot ^ bucket").alias("pivot"))
+    shared = Written(entries.join(buckets, "bucket"), "print-buckets")
+    few, many = shared.frame.where(F.col("members") <= small), shared.frame.where(F.col("members") > small)
+    other = few.select("bucket", F.col("node").alias("b"))
+    pairs = few.select("bucket", F.col("node").alias("a")).join(other, "bucket").where("a < b").select("a", "b")
+    crowds = many.where("node != pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
+    stars = crowds.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+    @F.pandas_udf("boolean")
+    def like(one: pd.Series, two: pd.Series) -> pd.Series:
+        return pd.Series([likeness(a, b) >= least for a, b in zip(one, two, strict=True)], dtype=bool)
+
+    def compare(left: list, right: list) -> np.ndarray:
+        return np.array([[likeness(a, b) >= least for b in right] for a in left])
+
+    items = own.frame.select(F.col("node").alias("doc_id"), F.col("fingerprint").alias("elements"))
+    one = items.select(F.col("doc_id").alias("a"), F.col("elements").alias("print_a"))
+    two = items.select(F.col("doc_id").alias("b"), F.col("elements").alias("print_b"))
+    met = pairs.unionByName(stars).distinct().join(one, "a").join(two, "b")
+    first = components(written(met.where(like("print_a", "print_b")).select("a", "b"), "print-links"), "print-groups")
+    more = written(family_links(crowds, first, items, compare), "print-family-links")
+    final = components(first.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more), "print-groups")
+    groups = own.frame.join(final, "node", "left").select("fingerprint", F.coalesce("component", "node").alias("group_id"))
+    found = prints.join(groups, "fingerprint", "left")
+    return found.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("group_id")).alias("group_id"))

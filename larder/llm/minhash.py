@@ -25,7 +25,7 @@ by their own text.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -222,10 +222,13 @@ def block_links(rest: list[np.ndarray], members: list[np.ndarray], percent: int)
     return 100 * both >= percent * union
 
 
-def family_links(crowds: DataFrame, component: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def family_links(
+    crowds: DataFrame, component: DataFrame, items: DataFrame, compare_blocks: Callable[[list, list], np.ndarray]
+) -> DataFrame:
     """Links of members of large buckets that lie outside their family's largest component.
 
-    ``crowds``: edges ``(a, b)`` from each member of a large bucket to the bucket's pivot.
+    ``crowds``: edges ``(a, b)`` from each member of a large bucket to the bucket's pivot. ``items
+    (doc_id, elements)`` holds what ``compare_blocks`` judges: all of one list against all of another.
     """
     family = components(crowds, "families").select("node", F.col("component").alias("family"))
     placed = written(
@@ -244,7 +247,7 @@ def family_links(crowds: DataFrame, component: DataFrame, sets: DataFrame, perce
         F.ceil(F.col("members") / BLOCK_MEMBERS).cast("int").alias("blocks"),
         F.ceil((F.col("members") - F.col("top.count")) / BLOCK_RESTS).cast("int").alias("rests"),
     )
-    own = sets.select(F.col("doc_id").alias("node"), "elements")
+    own = items.select(F.col("doc_id").alias("node"), "elements")
     met = placed.join(largest, "family").join(own, "node")
     place = F.abs(F.xxhash64("node"))
     members = met.select(
@@ -259,7 +262,7 @@ def family_links(crowds: DataFrame, component: DataFrame, sets: DataFrame, perce
     def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         found = []
         if len(left) and len(right):
-            hits = block_links(list(map(unpacked, left["elements"])), list(map(unpacked, right["elements_m"])), percent)
+            hits = compare_blocks(list(left["elements"]), list(right["elements_m"]))
             here, there = left["component"].to_numpy(), right["component_m"].to_numpy()
             for i, row in enumerate(hits):
                 # One link into each other component is enough for the components.
@@ -300,7 +303,11 @@ def near_duplicates(
     stars = crowds.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     links = written(verified(pairs.unionByName(stars).distinct(), sets, percent), "links")
     first = components(links, "components")
-    more = written(family_links(crowds, first, sets, percent), "family-links")
+
+    def compare_sets(left: list, right: list) -> np.ndarray:
+        return block_links(list(map(unpacked, left)), list(map(unpacked, right)), percent)
+
+    more = written(family_links(crowds, first, sets, compare_sets), "family-links")
     stars = first.select(F.col("node").alias("a"), F.col("component").alias("b"))
     final = components(stars.unionByName(more), "components")
     named = own.select("set_key", "node").join(final, "node", "left")

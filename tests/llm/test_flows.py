@@ -211,13 +211,30 @@ def test_fingerprints_of_odd_documents(odd_documents, no_documents):
     assert len(one) == 1 and one[0].near_next == 1.0
 
 
-def test_near_groups(spark):
+def test_near_groups_equal_brute_force(spark):
     draw = random.Random(7)
     base = "".join(draw.choice("abcdefghij ") for _ in range(2000))
-    texts = {1: base, 2: base, 3: base[:-5] + "xxxxx", 4: "".join(draw.sample(base, len(base))), 5: "", 6: ""}
-    prints = list(zip(texts, fingerprints.fingerprints(list(texts.values())), strict=True))
-    found = fingerprints.near_groups(spark.createDataFrame(prints, "doc_id bigint, fingerprint string"))
-    assert {r.doc_id: r.group_id for r in found.collect()} == {1: 1, 2: 1, 3: 1, 4: 4, 5: 5, 6: 5}
+    texts = {1: base, 2: base, 3: base[:-5] + "xxxxx", 4: "".join(draw.sample(base, len(base))), 5: "", 6: "", 7: "ab", 8: "ab c"}
+    for i in range(10, 60):  # a crowd around one text
+        at = draw.randrange(1000, 1990)
+        texts[i] = base[:at] + draw.choice("xyz") + base[at + draw.randrange(2) :]
+    prints = dict(zip(texts, fingerprints.fingerprints(list(texts.values())), strict=True))
+    root = {i: i for i in prints}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a in prints:
+        for b in prints:
+            if a < b and fingerprints.likeness(prints[a], prints[b]) >= 0.8:
+                root[max(find(a), find(b))] = min(find(a), find(b))
+    frame = spark.createDataFrame([*prints.items(), (None, "0:")], "doc_id bigint, fingerprint string")
+    for small in (2, 32):
+        found = {r.doc_id: r.group_id for r in fingerprints.near_groups(frame, small=small).collect()}
+        assert found.pop(None) is None and found == {i: find(i) for i in prints}
+    assert fingerprints.near_groups(frame.limit(0)).collect() == []
 
 
 # --- chat -------------------------------------------------------------------------------
