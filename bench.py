@@ -23,7 +23,8 @@ HEADLINE = [
     "top_rows_per_group", "dedup_latest", "rolling_mean", "group_avg_diff", "global_revenue_rank", "top_k",
     "quality_gate", "profile", "udf_scalar", "udf_pandas", "roundtrip_parquet", "roundtrip_csv",
     "roundtrip_partitioned", "bucketed_join", "ps_groupby_agg", "ps_merge_rank_shift", "e2e_metrics",
-    "medallion_paths", "sql_revenue_report", "sql_monthly_trend",
+    "medallion_paths", "sql_revenue_report", "sql_monthly_trend", "ps_filter_assign", "rating_bucket",
+    "repartition_cache",
 ]
 
 
