@@ -35,7 +35,8 @@ from .common import strings, text_of, with_results, written
 
 WORD = re.compile(r"[^\W\d_]+")
 PREFIXES = (4, 5, 6, 7, 8)
-MOST_WORDS_HELD = 300_000
+# Tokens that a worker remembers: with all their terms when learning, with few when scoring.
+MOST_LEARNT, MOST_SCORED = 30_000, 300_000
 
 
 def terms_of(token: str, bits: int) -> list[int]:
@@ -53,9 +54,10 @@ class Terms(dict):
     def __init__(self, bits: int, slots: dict[int, int] | None = None):
         super().__init__()
         self.bits, self.slots = bits, slots
+        self.most = MOST_LEARNT if slots is None else MOST_SCORED
 
     def __missing__(self, token: str) -> tuple[int, ...]:
-        if len(self) >= MOST_WORDS_HELD:
+        if len(self) >= self.most:
             self.clear()
         found = terms_of(token, self.bits)
         if self.slots is not None:
