@@ -41,6 +41,8 @@ MIX1 = np.uint64(0xBF58476D1CE4E5B9)
 MIX2 = np.uint64(0x94D049BB133111EB)
 ELEMENT_BYTES = 6
 MOST_WORDS_HELD = 500_000
+# Ids that may be copied to every executor: 8 MB of numbers.
+MOST_COPIED_IDS = 1_000_000
 
 
 class WordHashes(dict):
@@ -276,6 +278,15 @@ def family_links(
     return grouped.applyInPandas(compare, "a bigint, b bigint")
 
 
+def only_of(sets: DataFrame, pairs: DataFrame, most: int = MOST_COPIED_IDS) -> DataFrame:
+    """The sets that some pair names, picked before any shuffle if the list of ids is short enough to
+    copy; beyond that bound all sets go on, and the joins that follow pick the same ones."""
+    ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
+    if ids.count() > most:
+        return sets
+    return sets.join(F.broadcast(ids), "doc_id", "left_semi")
+
+
 def near_duplicates(
     docs: DataFrame, words: int = 5, percent: int = 80, bands: int = 32, rows: int = 4, small: int = 32
 ) -> DataFrame:
@@ -301,7 +312,9 @@ def near_duplicates(
     pairs = pairs.where(f"a < b and {percent} * greatest(n_a, n_b) <= 100 * least(n_a, n_b)").select("a", "b")
     crowds = many.where("node != pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
     stars = crowds.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    links = written(verified(pairs.unionByName(stars).distinct(), sets, percent), "links")
+    pairs = written(pairs.unionByName(stars).distinct(), "pairs")
+    sets = only_of(sets, pairs)
+    links = written(verified(pairs, sets, percent), "links")
     first = components(links, "components")
 
     def compare_sets(left: list, right: list) -> np.ndarray:

@@ -50,6 +50,16 @@ def test_components_equal_brute_force_in_small_and_large_buckets(spark):
         assert all(r.kept == (i == r.component_id) for i, r in found.items())
 
 
+def test_picking_sets_changes_nothing(spark):
+    texts = dict(enumerate(family(3, 20, 6), start=1))
+    sets = m.signed(spark.createDataFrame(list(texts.items()), "doc_id bigint, text string"), 2, 32, 4)
+    pairs = spark.createDataFrame([(a, b) for a in range(1, 11) for b in range(a + 1, 11)], "a bigint, b bigint")
+    picked = m.only_of(sets, pairs)
+    assert picked.count() == 10 and m.only_of(sets, pairs, most=3).count() == 20
+    every = m.verified(pairs, sets, 80)
+    assert every.exceptAll(m.verified(pairs, picked, 80)).isEmpty() and not every.isEmpty()
+
+
 def test_sketches_agree_as_often_as_sets_are_alike():
     random_ = np.random.default_rng(3)
     for n in (1, 3, 40, 1000):
