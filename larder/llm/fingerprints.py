@@ -9,8 +9,8 @@ a text takes the finest level at which about ``SAMPLES`` steps remain. It is wri
 four hashed bits for each sampled step. The likeness of two fingerprints is the share of equal
 samples at the coarser of their levels.
 
-Near texts share bands of sampled steps; each candidate is verified by the likeness of the whole
-fingerprints (``near_groups``).
+Near texts share bands of sampled steps, whatever their levels; each candidate is verified by the
+likeness of the whole fingerprints (``near_groups``).
 
 Defined cases: a null or empty text has an empty sample, which is like another empty one (1.0) and
 unlike any other (0.0); equal texts have equal fingerprints wherever they are computed; rows are
@@ -21,6 +21,7 @@ row is its own next document.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -32,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Written, strings, text_of, written
-from .minhash import components, family_links, mixed
+from .minhash import ODD, components, family_links, mixed
 
 SAMPLES = 128
 LETTERS = 1024
@@ -234,27 +235,69 @@ def with_next(docs: DataFrame) -> DataFrame:
     return base.where("part is null").select(*COLUMNS).unionByName(edges.mapInArrow(finish, RESULT))
 
 
-def near_groups(prints: DataFrame, least: float = 0.8, bands: int = 24, width: int = 4, small: int = 32) -> DataFrame:
-    """``doc_id, group_id`` of ``prints (doc_id, fingerprint)``: the smallest doc_id reached by links.
+@lru_cache(1024)
+def places(count: int, least: float, bands: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The bands of ``count`` samples: a number of each band that tells it from all others, and its places.
 
-    Equal fingerprints collapse first. Candidates agree on one of ``bands`` bands of ``width``
-    samples; a band's samples are drawn at places spread over the fingerprint, so one edit does not
-    spoil them all. Candidates are verified by the likeness of the whole fingerprints: all pairs
-    of a bucket of up to ``small``; in a larger one each member and the bucket's pivot, and what stays
-    outside the largest component against its whole family in blocks. Rows without a doc_id are in
-    no group.
+    Each head of the samples has a few bands of its own, dealt out of all its places, and a print takes
+    ``bands`` or more in all from its heads down to a little under ``least`` of it. So two prints
+    that are alike share the bands of every head that both fill, however much longer one of them is.
+    Bands of short heads are narrower, as many of their samples may differ. Empty places are ``count``.
+    """
+    lowest = 0.875 * least
+    salts, rows = [], []
+    for head in range(int(lowest * count) + 1, count + 1):
+        wide = min(width, max(1, head - int(head * (1 - least) / least)))
+        each, wanted = head // wide, math.ceil(bands / max(1.0, (1 - lowest) * head))
+        draw = np.random.default_rng((22, head))
+        dealt = [draw.permutation(head)[: each * wide].reshape(each, wide) for _ in range(-(-wanted // each))]
+        # Bands of the same places are the same band.
+        spots = np.unique(np.sort(np.concatenate(dealt)[:wanted], axis=1), axis=0)
+        rows.append(np.pad(spots, ((0, 0), (0, width - wide)), constant_values=count))
+        salts.append((head << 16) + np.arange(len(spots)))
+    return np.concatenate(salts).astype(np.uint64), np.concatenate(rows)
+
+
+def bucket_keys(fingerprint: str, least: float, bands: int, width: int) -> np.ndarray:
+    """The keys of a fingerprint's bands.
+
+    They are drawn at the coarsest level at which ``SAMPLES // 2`` samples are left, whatever the
+    fingerprint's own level; and at the next coarser one too, if a text that is ``least`` alike
+    could have as many samples there.
+    """
+    level = int(fingerprint.partition(":")[0])
+    values, found = at_level(fingerprint, level), []
+    while len(coarser := at_level(fingerprint, level + 1)) >= SAMPLES // 2:
+        level, values = level + 1, coarser
+    for at, seen in ((level, values), (level + 1, coarser)):
+        if not len(seen) or at > level and len(seen) < 0.9 * least * (SAMPLES // 2):
+            continue
+        salts, spots = places(len(seen), least, bands, width)
+        letters = np.append(seen, 0).astype(np.uint64)
+        keys = mixed(salts * ODD + np.uint64(at))
+        for column in letters[spots].T:
+            keys = mixed(keys * ODD + column)
+        found.append(keys)
+    return np.concatenate(found).view(np.int64) if found else np.zeros(0, np.int64)
+
+
+def near_groups(prints: DataFrame, least: float = 0.8, bands: int = 32, width: int = 7, small: int = 32) -> DataFrame:
+    """``prints (doc_id, fingerprint, ...)`` with ``group_id``: the smallest doc_id reached by links.
+
+    Equal fingerprints collapse first. Candidates agree on one of ``bands`` or more bands of ``width``
+    samples, which are drawn from the whole of a fingerprint and at a level that does not end at a
+    length (``bucket_keys``), so neither one edit nor a length boundary spoils them all.
+    Candidates are verified by the likeness of the whole fingerprints: all pairs of a bucket of up to
+    ``small``; in a larger one each member and the bucket's pivot, and what stays outside the
+    largest component against its whole family in blocks. Rows without a doc_id are in no group.
     """
     own = Written(prints.where("doc_id is not null").groupBy("fingerprint").agg(F.min("doc_id").alias("node")), "prints")
-    sample, level = F.substring_index("fingerprint", ":", -1), F.substring_index("fingerprint", ":", 1)
-    places = np.random.default_rng(22).permuted(np.tile(np.arange(1, SAMPLES // 2 + 1), (bands, 1)), axis=1)[:, :width]
-    values = [
-        F.concat_ws(":", F.lit(b), level, *[F.substring(sample, int(p), 1) for p in sorted(row)])
-        for b, row in enumerate(places)
-    ]
-    short = F.length(sample) < SAMPLES // 2
-    whole = F.array(F.concat_ws(":", F.lit("short"), level, F.substring(sample, 1, 4)))
-    drawn = F.when(short, whole).otherwise(F.array(*values))
-    entries = own.frame.select("node", F.explode(F.transform(drawn, lambda v: F.xxhash64(v))).alias("bucket"))
+
+    @F.pandas_udf("array<bigint>")
+    def drawn(values: pd.Series) -> pd.Series:
+        return pd.Series([bucket_keys(v, least, bands, width) for v in values], dtype=object)
+
+    entries = own.frame.select("node", F.explode(drawn("fingerprint")).alias("bucket"))
     entries = entries.repartition("bucket")
     buckets = entries.groupBy("bucket").agg(
         F.count("*").alias("members"), F.min(F.expr("node ^ bucket")).alias("pivot")
@@ -281,6 +324,9 @@ def near_groups(prints: DataFrame, least: float = 0.8, bands: int = 24, width: i
     first = components(written(met.where(like("print_a", "print_b")).select("a", "b"), "print-links"), "print-groups")
     more = written(family_links(crowds, first, items, compare), "print-family-links")
     final = components(first.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more), "print-groups")
-    groups = own.frame.join(final, "node", "left").select("fingerprint", F.coalesce("component", "node").alias("group_id"))
-    found = prints.join(groups, "fingerprint", "left")
-    return found.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("group_id")).alias("group_id"))
+    # A print of its own that is linked with nothing is its own group.
+    joined = own.frame.join(final, "node", "left").select("fingerprint", "node", F.coalesce("component", "node").alias("group_id"))
+    groups = written(joined, "print-group-ids")
+    found = prints.join(groups.select("fingerprint", "group_id"), "fingerprint", "left")
+    group = F.when(F.col("doc_id").isNotNull(), F.col("group_id")).alias("group_id")
+    return found.select(*[c for c in prints.columns if c != "group_id"], group)

@@ -159,8 +159,9 @@ def chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op10_fingerprints")
 def document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fingerprints of every document and of its text edited by the next; no SQL, as a walk is not one."""
-    return fingerprints.with_next(read(spark, sf_dir, "documents"))
+    """Fingerprints of every document and of its text edited by the next, and its group of near documents;
+    no SQL, as a walk is not one."""
+    return fingerprints.near_groups(fingerprints.with_next(read(spark, sf_dir, "documents")))
 
 
 @query("op1_token_counts")

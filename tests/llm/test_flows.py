@@ -237,6 +237,56 @@ def test_near_groups_equal_brute_force(spark):
     assert fingerprints.near_groups(frame.limit(0)).collect() == []
 
 
+def grouped_by_all_pairs(prints):
+    root = {i: i for i in prints}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a in prints:
+        for b in prints:
+            if a < b and fingerprints.likeness(prints[a], prints[b]) >= 0.8:
+                root[max(find(a), find(b))] = min(find(a), find(b))
+    return {i: find(i) for i in prints}
+
+
+def test_near_groups_see_edits_anywhere_and_across_levels(spark):
+    draw = random.Random(9)
+
+    def words(n):
+        return "".join(draw.choice("abcdefghij ") for _ in range(n))
+
+    texts = []
+    for _ in range(12):  # at the head, at the boundaries of levels, and of short texts
+        base = words(2000)
+        texts += [base, words(280) + base[280:], words(120) + base[150:]]
+        for edge in (128, 256, 1024):
+            base = words(edge)
+            texts += [base[:-1], base, base + "x"]
+        for n in (6, 9, 14, 25, 40):
+            base = words(n)
+            texts += [base, base[:-1] + "#", base + "#"]
+    prints = dict(enumerate(fingerprints.fingerprints(texts), 1))
+    # Samples changed at the head of a print, which no later place can tell.
+    for n in (5, 10, 23, 64, 130, 250):
+        for _ in range(6):
+            own = [draw.choice("0123456789abcdef") for _ in range(n)]
+            spoiled = [draw.choice("ghijk") if i < n * 3 // 20 or i == 0 else x for i, x in enumerate(own)]
+            for samples in (own, spoiled):
+                prints[len(prints) + 1] = f"{0 if n < 128 else 4}:" + "".join(samples)
+    expected = grouped_by_all_pairs(prints)
+    assert sum(i != g for i, g in expected.items()) > 120
+    frame = spark.createDataFrame([*prints.items()], "doc_id bigint, fingerprint string")
+    assert {r.doc_id: r.group_id for r in fingerprints.near_groups(frame).collect()} == expected
+
+
+def test_fingerprint_query_has_near_groups(spark, small_dir):
+    rows = queries.QUERIES["op10_fingerprints"](spark, small_dir).collect()
+    assert {r.doc_id: r.group_id for r in rows} == grouped_by_all_pairs({r.doc_id: r.fingerprint for r in rows})
+
+
 # --- chat -------------------------------------------------------------------------------
 
 
