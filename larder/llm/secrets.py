@@ -14,10 +14,9 @@ force, found by dynamic programming: ``best[j] = min over i of best[i] + cost(i,
 plus ``log10(k!)`` for the order of the ``k`` segments, as an attacker does not know it. The
 dictionary is the word list of a public vocabulary file, in the order of its ids.
 
-Defined cases: a null or empty text has no spans; values over ``MOST_SCORED`` characters are
-scored by their length alone (they are beyond guessing whatever they are made of, and the cost
-of brute force is their own upper bound); repeated rows are scanned alike; input columns named
-like a result are replaced.
+Defined cases: a null or empty text has no spans; values of any length are segmented, but not
+beyond the bound that decides; repeated rows are scanned alike; input columns named like a result
+are replaced.
 """
 
 from __future__ import annotations
@@ -50,7 +49,6 @@ CONTEXT = re.compile(
 )
 ROWS = ("`1234567890-=", "qwertyuiop[]\\", "asdfghjkl;'", "zxcvbnm,./", "1qaz2wsx3edc4rfv5tgb6yhn7ujm8ik9ol0p")
 SWAPS = str.maketrans("4@8310$57!", "aabeiosstl")
-MOST_SCORED = 100
 # Attempts to guess one character by brute force, as a power of ten.
 BRUTE = 1.0
 DATE = re.compile(
@@ -125,27 +123,33 @@ def segments(value: str, ranks: dict[str, int]) -> Iterator[tuple[int, int, floa
             start = i
 
 
-def guess_cost(value: str, ranks: dict[str, int]) -> float:
-    """Log10 of the attempts that the cheapest segmentation of a value takes."""
+def guess_cost(value: str, ranks: dict[str, int], most: float = math.inf) -> float:
+    """Log10 of the attempts that the cheapest segmentation of a value takes, or ``most`` if that is less.
+
+    What costs ``most`` on the way is not followed further, so a low bound keeps the work near linear.
+    """
     n = len(value)
-    if n > MOST_SCORED:
-        return n * BRUTE
     ending: list[list[tuple[int, float]]] = [[] for _ in range(n + 1)]
     for i, j, cost in segments(value, ranks):
-        ending[j].append((i, cost))
+        if cost < most:
+            ending[j].append((i, cost))
+    orders = [0.0]  # log10(k!)
     # best[j][k]: cheapest product for the first j characters in k segments.
     best: list[dict[int, float]] = [{0: 0.0}] + [{} for _ in range(n)]
-    brute: list[dict[int, float]] = [{} for _ in range(n + 1)]  # the last segment is brute force
+    brute: dict[int, float] = {}  # the last segment is brute force
     for j in range(1, n + 1):
+        if len(orders) <= j:
+            orders.append(orders[-1] + math.log10(j))
         options = [(k + 1, c + BRUTE) for k, c in best[j - 1].items()]
-        options_brute = options + [(k, c + BRUTE) for k, c in brute[j - 1].items()]
-        for k, cost in options_brute:
-            if cost < brute[j].get(k, math.inf):
-                brute[j][k] = cost
-        merged = dict(brute[j])
+        options += [(k, c + BRUTE) for k, c in brute.items()]
+        brute = {}
+        for k, cost in options:
+            if cost + orders[k] < min(most, brute.get(k, math.inf) + orders[k]):
+                brute[k] = cost
+        merged = dict(brute)
         for i, cost in ending[j]:
             for k, before in best[i].items():
-                if before + cost < merged.get(k + 1, math.inf):
+                if before + cost < merged.get(k + 1, math.inf) and before + cost + orders[k + 1] < most:
                     merged[k + 1] = before + cost
         # More segments than another way and no cheaper: never better later on.
         kept, low = {}, math.inf
@@ -153,7 +157,7 @@ def guess_cost(value: str, ranks: dict[str, int]) -> float:
             if merged[k] < low:
                 kept[k] = low = merged[k]
         best[j] = kept
-    return min(cost + math.log10(math.factorial(k)) for k, cost in best[n].items())
+    return min([cost + orders[k] for k, cost in best[n].items()], default=most)
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -168,7 +172,7 @@ def guess_spans(text: str, ranks: dict[str, int], least: float) -> list[tuple[in
     found = []
     for m in CONTEXT.finditer(text):
         value = m.group(1).rstrip(".!?)]}")
-        if len(value) >= 6 and guess_cost(value, ranks) >= least:
+        if len(value) >= 6 and guess_cost(value, ranks, least) >= least:
             found.append((m.start(1), 3, m.start(1) + len(value)))
     return found
 

@@ -117,6 +117,21 @@ def test_guess_cost_is_the_cheapest_segmentation():
         assert secrets.guess_cost(value, ranks) == pytest.approx(brute(value))
 
 
+def test_long_values_are_segmented():
+    ranks = secrets.dictionary(WORDS)
+    assert secrets.guess_cost("z" * 101, ranks) == pytest.approx(1 + np.log10(101))
+    for guessable in ("*" * 150, "-" * 101, "ab" * 3000, "pass" * 100):
+        assert secrets.guess_cost(guessable, ranks, 8.0) < 8
+        assert secrets.guess_spans(f"login: {guessable}", ranks, 8.0) == []
+    draw = random.Random(12)
+    for n in (101, 20_000):
+        value = "".join(draw.choice("bcdfghjkmpqrvwxzBCDFGHJKMPQRVWXZ234679") for _ in range(n))
+        assert secrets.guess_spans(f"pin: {value}", ranks, 8.0) == [(5, 3, 5 + n)]
+    for _ in range(300):  # a bound changes nothing below it
+        value = "".join(draw.choice(["pass", "qwer", "zz", "1990", "x", "K", "7"]) for _ in range(draw.randrange(1, 9)))
+        assert secrets.guess_cost(value, ranks, 8.0) == pytest.approx(min(8.0, secrets.guess_cost(value, ranks)))
+
+
 def test_secrets_of_odd_documents(odd_documents, no_documents):
     rows = {r.doc_id: r for r in secrets.secrets(odd_documents, WORDS).collect()}
     assert rows[5].n_assign == 1 and rows[5].n_guess == 1 and rows[5].spans.startswith("assign:21:")
