@@ -18,7 +18,7 @@ shingle; without words the set is empty and linked with nothing). Documents are
    largest component of their family are then compared with the whole family in blocks of
    bounded size, so no link is lost and no pairs are written out.
 
-Elements are 48-bit hashes of shingles. Rows without a doc_id are linked with nothing and kept.
+Elements are 64-bit hashes of shingles. Rows without a doc_id are linked with nothing and kept.
 Repeated rows get the same answer each; rows with equal ids and different texts are each judged
 by their own text.
 """
@@ -39,7 +39,7 @@ from .common import Written, strings, text_of, written
 ODD = np.uint64(0x9E3779B97F4A7C15)
 MIX1 = np.uint64(0xBF58476D1CE4E5B9)
 MIX2 = np.uint64(0x94D049BB133111EB)
-ELEMENT_BYTES = 6
+ELEMENT_BYTES = 8
 MOST_WORDS_HELD = 500_000
 # Ids that may be copied to every executor: 8 MB of numbers.
 MOST_COPIED_IDS = 1_000_000
@@ -63,7 +63,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 def shingle_set(text: str, words: int, hashes: WordHashes) -> np.ndarray:
-    """Sorted distinct 48-bit hashes of a text's shingles."""
+    """Sorted distinct 64-bit hashes of a text's shingles."""
     tokens = text.encode("utf-8", "surrogatepass").lower().split()
     ids = np.fromiter(map(hashes.__getitem__, tokens), np.uint64, len(tokens))
     if not len(ids):

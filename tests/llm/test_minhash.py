@@ -78,6 +78,12 @@ def test_packed_sets_and_blocks():
     assert hits.tolist() == [[True, True, True, False]] * 2
 
 
+def test_sets_keep_whole_hashes():
+    elements = np.array([2**63 + 5, 2**63 + 2**48 + 5, 2**64 - 1], np.uint64)
+    assert m.unpacked(m.packed(elements)).tolist() == elements.tolist()
+    assert m.shingle_set(" ".join(map(str, range(1000))), 1, m.WordHashes()).max() >= 2**48
+
+
 def test_odd_documents(odd_documents, no_documents):
     found = m.near_duplicates(odd_documents).collect()
     assert len(found) == odd_documents.count()
