@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import bpe, chat, fingerprints, minhash, packing, pii, quality, secrets, token_counts, toxicity
+from . import (
+    bpe, chat, fingerprints, minhash, packing, pii, quality, repair, secrets, token_counts, toxicity,
+)
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -175,3 +177,9 @@ def flat_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with personal data replaced; no SQL, as it cannot draw surrogates until none collide."""
     return pii.anonymized(read(spark, sf_dir, "documents"), key="larder")
+
+
+@query("op11_conversation_repair")
+def conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations damaged by a fixed rule and repaired at least cost."""
+    return repair.damaged_and_repaired(read(spark, sf_dir, "conversations"))
