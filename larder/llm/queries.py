@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from . import (
-    bpe, chat, fingerprints, minhash, packing, pii, quality, repair, secrets, token_counts, toxicity,
+    bpe, chat, fingerprints, minhash, packing, pii, quality, repair, secrets, token_counts, toxicity, vectors,
 )
 from .common import read
 
@@ -183,3 +183,24 @@ def pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations damaged by a fixed rule and repaired at least cost."""
     return repair.damaged_and_repaired(read(spark, sf_dir, "conversations"))
+
+
+@query(
+    "op12_near_vectors",
+    """
+    WITH RECURSIVE vectors AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+    able AS (SELECT * FROM vectors WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(e) > 0
+             AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+    links AS (SELECT DISTINCT a.vec_id AS a, b.vec_id AS b FROM able a JOIN able b
+              ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+              WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+    reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+    least AS (SELECT a, MIN(b) AS b FROM reach GROUP BY a),
+    degrees AS (SELECT a, COUNT(*) AS n FROM links GROUP BY a)
+    SELECT vec_id, COALESCE(n, 0) AS n_links, LEAST(vec_id, COALESCE(b, vec_id)) AS component_id,
+           COALESCE(LEAST(vec_id, COALESCE(b, vec_id)) = vec_id, TRUE) AS kept
+    FROM vectors LEFT JOIN least ON least.a = vec_id LEFT JOIN degrees ON degrees.a = vec_id""",
+)
+def near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all embeddings within their labels."""
+    return vectors.near_vectors(read(spark, sf_dir, "embeddings"), least=0.98)
