@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from . import (
-    bpe, chat, fingerprints, minhash, packing, pii, quality, repair, secrets, token_counts, toxicity, vectors,
+    bpe, chat, fingerprints, lexical, minhash, packing, pii, quality, repair, secrets, token_counts, toxicity, vectors,
 )
 from .common import read
 
@@ -204,3 +204,27 @@ def conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 def near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all embeddings within their labels."""
     return vectors.near_vectors(read(spark, sf_dir, "embeddings"), least=0.98)
+
+
+@query(
+    "op13_lexical_search",
+    r"""
+    WITH terms AS (SELECT doc_id, row, unnest(regexp_extract_all(t, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+                   FROM (SELECT doc_id, ROW_NUMBER() OVER () AS row, LOWERED AS t FROM documents)),
+    tfs AS (SELECT doc_id, row, term, COUNT(*) AS tf FROM terms GROUP BY ALL),
+    sizes AS (SELECT row, CAST(SUM(tf) AS BIGINT) AS n FROM tfs GROUP BY row),
+    totals AS (SELECT COUNT(*) AS docs, CAST(SUM(n) AS BIGINT) AS all_terms FROM sizes),
+    weights AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * COUNT(*) + 1))) AS BIGINT) AS w
+                FROM tfs, totals GROUP BY term, docs),
+    items AS (SELECT DISTINCT item_id, text, unnest(regexp_extract_all(LOWERED, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+              FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+    scores AS (SELECT item_id, text, doc_id, row, CAST(SUM(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // all_terms)))) AS BIGINT) AS score
+               FROM items JOIN tfs USING (term) JOIN weights USING (term) JOIN sizes USING (row), totals
+               GROUP BY item_id, text, doc_id, row),
+    places AS (SELECT item_id, doc_id, score, CAST(ROW_NUMBER() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id) AS INTEGER) AS rank
+               FROM scores WHERE score > 0)
+    SELECT item_id, rank, doc_id, score FROM places WHERE rank <= 50""".replace("LOWERED", SQL_LOWER),
+)
+def lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents for every benchmark item."""
+    return lexical.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), top=50)
