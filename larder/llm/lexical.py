@@ -5,14 +5,15 @@ document scores, for an item, the sum over the item's terms of the term's weight
 impact in the document (``Totals``).
 
 * **Index.** One pass over the texts gives each its sketch, the document frequency of every term, and the
-  totals. A sketch is two arrays of coordinates; each term is hashed to one coordinate of either, and a
+  totals. A sketch is ``ARRAYS`` arrays of coordinates; each term is hashed to one coordinate of each, and a
   coordinate keeps the greatest impact folded into it. Within one document the impact only rises with
   the term's frequency, so the frequency itself is kept, in one byte (255: that often or more), and is
-  turned into the impact once the corpus totals are known. Arrays have about four coordinates for each
-  distinct term of the text, so sketches grow with the texts and all bounds stay equally tight.
-* **Bounds.** Items go through in blocks of ``ITEMS`` against all sketches: the lesser of a term's two
+  turned into the impact once the corpus totals are known. Each array has ``LOAD`` to ``2 * LOAD`` coordinates
+  for each distinct term of the text, so sketches grow with the texts and all bounds stay equally tight: an
+  absent term meets taken coordinates in all arrays with a probability below 0.7 %.
+* **Bounds.** Items go through in blocks of ``ITEMS`` against all sketches: the least of a term's
   coordinates is never below its impact, so the weighted sum is an upper bound of the score.
-* **Rescoring.** The best ``top`` texts of each item by bound are scored exactly; the score of its
+* **Rescoring.** The best ``FIRST * top`` texts of each item by bound are scored exactly; the score of its
   ``top``-th document is a threshold. Texts are then rescored in the order of their bounds down to the
   threshold: all whose bound reaches it, and so every document that can be among the best.
 
@@ -39,13 +40,15 @@ from pyspark.sql import functions as F
 from ..operators.joins import join_dimension
 from ..operators.windows import top_n
 from .common import Written, strings, text_of, written
-from .minhash import WordHashes
+from .minhash import WordHashes, mixed
 
 TOP = 50
 # Items that are searched together; their distinct terms are sent to every task.
 ITEMS = 256
 # Coordinates of each array for a distinct term, and the least size of an array.
-LOAD, LEAST_SIZE = 4, 16
+ARRAYS, LOAD, LEAST_SIZE = 4, 3, 64
+# First candidates of an item, as a multiple of the documents wanted.
+FIRST = 4
 MOST = 255
 # Terms a task counts before it passes them on.
 MOST_TERMS_HELD = 500_000
@@ -66,19 +69,19 @@ def key_of(text: Column) -> list[Column]:
 
 
 def sketch_of(hashes: np.ndarray, counts: np.ndarray) -> bytes:
-    """The greatest count at each coordinate of both arrays."""
+    """The greatest count at each coordinate of all arrays."""
     size = LEAST_SIZE
     while size < LOAD * len(hashes):
         size *= 2
-    out = np.zeros(2 * size, np.uint8)
+    out = np.zeros(ARRAYS * size, np.uint8)
     counts = np.minimum(counts, MOST).astype(np.uint8)
-    for array in range(2):
+    for array in range(ARRAYS):
         np.maximum.at(out, coordinates(hashes, size, array), counts)
     return out.tobytes()
 
 
 def coordinates(hashes: np.ndarray, size: int, array: int) -> np.ndarray:
-    return ((hashes >> np.uint64(32 * array)) & np.uint64(size - 1)).astype(np.int64) + array * size
+    return (mixed(hashes + np.uint64(array)) & np.uint64(size - 1)).astype(np.int64) + array * size
 
 
 class Totals(NamedTuple):
@@ -170,13 +173,14 @@ def queries_of(texts: list[str], index: Index) -> Queries:
 
 def bounds(entries: list[bytes], lengths: np.ndarray, queries: Queries, totals: Totals) -> np.ndarray:
     """An upper bound of the score of each entry (rows) for each item (columns); whole numbers."""
-    sizes = np.array([len(e) // 2 for e in entries])
+    sizes = np.array([len(e) // ARRAYS for e in entries])
     out = np.zeros((len(entries), queries.weights.shape[1]))
     for size in np.unique(sizes):
         rows = np.flatnonzero(sizes == size)
         grid = np.frombuffer(b"".join([entries[i] for i in rows]), np.uint8).reshape(len(rows), -1)
-        either = [grid[:, coordinates(queries.hashes, int(size), array)] for array in range(2)]
-        least = np.minimum(*either)
+        least = grid[:, coordinates(queries.hashes, int(size), 0)]
+        for array in range(1, ARRAYS):
+            np.minimum(least, grid[:, coordinates(queries.hashes, int(size), array)], out=least)
         doc, term = np.nonzero(least)
         tf = least[doc, term].astype(np.int64)
         impacts = np.zeros(least.shape)
@@ -269,8 +273,8 @@ def ranked(scores: DataFrame, entries: DataFrame, top: int) -> DataFrame:
 def search_block(texts: list[str], index: Index, top: int) -> DataFrame:
     """``item`` (place in ``texts``), ``doc_id, score, rank``."""
     queries = queries_of(texts, index)
-    firsts = best_by_bound(index.entries, queries, index.totals, top)
-    firsts = top_n(written(firsts, "first-bounds").distinct(), "item", ["bound desc", *KEY], top, "nth")
+    firsts = best_by_bound(index.entries, queries, index.totals, FIRST * top)
+    firsts = top_n(written(firsts, "first-bounds").distinct(), "item", ["bound desc", *KEY], FIRST * top, "nth")
     first = ranked(exact(firsts, index.texts, queries, index.totals), index.entries, top)
     reached = first.where(F.col("rank") == top).select("item", "score").collect()
     thresholds = np.ones(len(texts))

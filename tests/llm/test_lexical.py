@@ -63,10 +63,10 @@ def test_ranking_equals_scores_of_all_pairs(spark, top):
 
 
 def test_bounds_are_never_below_scores():
-    draw = np.random.default_rng(3)
-    for distinct in (1, 5, 300):
+    draw, loose = np.random.default_rng(3), 0
+    for distinct in (1, 5, 20, 300, 5000):
         hashes = draw.integers(0, 2**63, distinct).astype(np.uint64)
-        counts = draw.integers(1, 400, distinct)
+        counts = draw.integers(1, 400 if distinct < 20 else 250, distinct)
         totals = x.Totals(10, 5000)
         weights = draw.integers(0, 9000, (distinct + 20, 4)).astype(float)
         every = np.concatenate([hashes, draw.integers(0, 2**63, 20).astype(np.uint64)])
@@ -74,8 +74,9 @@ def test_bounds_are_never_below_scores():
         bound = x.bounds([x.sketch_of(hashes, counts)], np.array([n]), x.Queries(every, weights, {}), totals)[0]
         score = totals.impact(counts, np.int64(n)) @ weights[:distinct]
         assert (bound >= score).all()
-        # Absent terms seldom meet two taken coordinates.
-        assert (bound <= score + 20 * 9000 * 10**6).all()
+        loose += distinct >= 20 and (bound > score).any()
+    # Absent terms seldom meet taken coordinates in all arrays.
+    assert loose <= 2
 
 
 def test_a_frequency_beyond_one_byte_is_still_bounded(spark):
