@@ -2,21 +2,28 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import every_salt, stable_salt
-from ..session import stash
+from ..session import UNKNOWN_BYTES, read_bytes, stash
 
-# A side is copied to every executor only when its measured payload is at most this.
+# A side is copied to every executor only when its payload is proven to be at most this.
 BROADCAST_BYTES = 64 << 20
+# A side is read to measure it only where its inputs hold at most so many times that limit.
+MEASURED_TIMES = 16
 
 _KEEPS_FACT = ("inner", "left", "left_outer", "leftouter", "left_semi", "leftsemi", "semi", "left_anti", "leftanti", "anti")
 
 # Keys lighter than this are never listed as hot, so the list stays short enough to copy.
-LEAST_SHARE = 1e-6
+LEAST_SHARE = 1e-5
+# Joins salt no key lighter than this; a task's summary of heavy keys is then a megabyte at most.
+LEAST_SALTED_SHARE = 1e-4
+# Keys that a summary tracks, as a multiple of those that can be hot: its error is then under a third of the share.
+TRACKED_TIMES = 8
 
 _FIXED_WIDTH = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "float": 4, "date": 4}
 
@@ -35,9 +42,30 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(F.coalesce(F.sum(width.cast("bigint")), F.lit(0)).alias("bytes")).first()["bytes"]
 
 
+def proven_bytes(df: DataFrame) -> int | None:
+    """A bound that needs no job: rows that Catalyst proves (a limit, a grouping without keys, rows of this
+    process) times the width of columns of fixed width. None where there is no such proof."""
+    rows = df._jdf.queryExecution().optimizedPlan().maxRows()
+    if rows.isEmpty() or any(kind.startswith(("string", "binary", "array", "map", "struct", "varchar", "char")) for _, kind in df.dtypes):
+        return None
+    return int(str(rows.get())) * (16 + sum(_FIXED_WIDTH.get(kind, 16 if kind.startswith("decimal") else 8) for _, kind in df.dtypes))
+
+
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
-    """Whether a frame is proven small enough to copy. ``limit=0`` answers no unread."""
-    return limit > 0 and measured_bytes(df) <= limit
+    """Whether a frame is proven small enough to copy.
+
+    Surely small (``proven_bytes``): yes, without a job. Surely large, as its inputs hold more than
+    ``MEASURED_TIMES`` the limit: no, without a job; if little of them is left after filters, AQE still sees that
+    at run time. Only what lies between is measured. ``limit=0`` answers no unread.
+    """
+    if limit <= 0:
+        return False
+    proven = proven_bytes(df)
+    if proven is not None and proven <= limit:
+        return True
+    if MEASURED_TIMES * limit < read_bytes(df) < UNKNOWN_BYTES:
+        return False
+    return measured_bytes(df) <= limit
 
 
 def _pairs(on) -> list[tuple[str, str]]:
@@ -79,7 +107,7 @@ def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
                    limit: int = BROADCAST_BYTES, null_safe: bool = False) -> DataFrame:
     """Join a large frame with one that is usually small.
 
-    Copies ``dim`` to the executors when its measured size allows, so the fact is not
+    Copies ``dim`` to the executors when its proven size allows (``fits_broadcast``), so the fact is not
     shuffled at all; otherwise shuffles both with the hot keys of the fact salted. Right and
     full joins keep rows of ``dim`` that no row of the fact has, which copies would repeat: they
     are shuffled and left to AQE's skew split. Columns and rows are the same on every path.
@@ -91,14 +119,19 @@ def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
     return salted_join(fact, dim, on, how, null_safe=null_safe)
 
 
-def hinted_join(fact: DataFrame, dim: DataFrame, on, strategy: str, how: str = "inner") -> DataFrame:
+def strategy_fits(dim: DataFrame, strategy: str) -> bool:
+    """``broadcast`` holds a whole side in memory and ``shuffle_hash`` a partition of it; ``merge`` spills."""
+    parts = {"broadcast": 1, "shuffle_hash": int(dim.sparkSession.conf.get("spark.sql.shuffle.partitions"))}
+    return strategy not in parts or fits_broadcast(dim, BROADCAST_BYTES * parts[strategy])
+
+
+def hinted_join(fact: DataFrame, dim: DataFrame, on, strategy: str, how: str = "inner", *, checked: bool = False) -> DataFrame:
     """Force ``broadcast``, ``merge`` or ``shuffle_hash``.
 
-    ``broadcast`` holds a whole side in memory and ``shuffle_hash`` a partition of it, so a side
-    that is too large for the strategy is refused, not joined in another way.
+    A side that is too large for the strategy (``strategy_fits``, unless ``checked`` before) is refused,
+    not joined in another way.
     """
-    parts = {"broadcast": 1, "shuffle_hash": int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))}
-    if strategy in parts and not fits_broadcast(dim, BROADCAST_BYTES * parts[strategy]):
+    if not checked and not strategy_fits(dim, strategy):
         raise ValueError(f"the side is too large for {strategy}; use merge")
     return equi_join(fact, dim.hint(strategy), on, how)
 
@@ -121,18 +154,38 @@ def skew_report(df: DataFrame, keys, top: int | None = None) -> DataFrame:
     return report if top is None else report.limit(top)
 
 
+def heavy_hashes(df: DataFrame, keys, share: float) -> tuple[list[int], int]:
+    """Hashes of all keys that may hold more than ``share`` of the rows, and the number of rows, in one pass.
+
+    Every task summarises its rows in a frequent-items sketch of bounded size. Sketches are merged in lanes
+    first, then all together, so no key is ever shuffled and no task merges all sketches of a large job.
+    """
+    tracked = math.ceil(TRACKED_TIMES / share)
+    # About as many tasks as a scan of the inputs takes.
+    lanes = max(1, math.isqrt(min(read_bytes(df), UNKNOWN_BYTES >> 20) >> 27))
+    hashed = df.select(F.xxhash64(*keys).alias("_hash"), F.pmod(F.spark_partition_id(), F.lit(lanes)).alias("_lane"))
+    lane = hashed.groupBy("_lane").agg(
+        F.expr(f"approx_top_k_accumulate(_hash, {tracked})").alias("_sketch"), F.count("*").alias("_rows")
+    )
+    # Grouped by nothing much, as the sketch of no rows at all cannot be merged.
+    merged = lane.groupBy(F.lit("all")).agg(F.expr(f"approx_top_k_combine(_sketch, {tracked})").alias("_sketch"), F.sum("_rows").alias("_rows"))
+    wanted = min(math.ceil(3 / share), tracked)
+    found = merged.select(F.expr(f"approx_top_k_estimate(_sketch, {wanted})").alias("top"), "_rows").first()
+    return ([item["item"] for item in found["top"]], found["_rows"]) if found else ([], 0)
+
+
 def hot_keys(df: DataFrame, keys, share: float) -> DataFrame:
     """Keys holding more than ``share`` of all rows, at most ``1 / share`` of them, and
-    the share of each."""
+    the share of each: found by a sketch, then counted exactly, without a shuffle of all keys."""
     if not share >= LEAST_SHARE:
         raise ValueError(f"a share below {LEAST_SHARE} would make the list of hot keys too long to copy")
     keys = list(keys)
-    # Counts are combined before the shuffle and filtered right after it: only hot keys are kept.
-    counts = key_counts(df, keys)
-    total = df.agg(F.count("*").alias("n")).first()["n"]
-    return counts.filter(F.col("rows") > share * max(total, 1)).select(
-        *keys, (F.col("rows") / F.lit(max(total, 1))).alias("share")
-    )
+    hashes, total = heavy_hashes(df, keys, share)
+    # At most 3/share numbers.
+    listed = F.broadcast(df.sparkSession.createDataFrame([(h,) for h in hashes], "_hash bigint"))
+    rows = df.select(*keys).withColumn("_hash", F.xxhash64(*keys)).join(listed, "_hash", "left_semi")
+    counts = key_counts(rows, keys).filter(F.col("rows") > share * max(total, 1))
+    return counts.select(*keys, (F.col("rows") / F.lit(max(total, 1))).alias("share"))
 
 
 def _mark_hot(side: DataFrame, keys: list[str], hot: DataFrame) -> DataFrame:
@@ -158,7 +211,7 @@ def salted_join(fact: DataFrame, dim: DataFrame, on, how: str = "inner", *, salt
     pairs = _pairs(on)
     width = max(int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2)
     # By default a key is hot when it outweighs half of an even partition.
-    hot = hot_keys(fact, [a for a, _ in pairs], 0.5 / width if share is None else share)
+    hot = hot_keys(fact, [a for a, _ in pairs], max(0.5 / width, LEAST_SALTED_SHARE) if share is None else share)
     buckets = F.lit(salts) if salts else F.ceil(F.col("share") * width * 4)
     hot = stash(hot.withColumn("share", buckets.cast("int")), "hot-keys")
     spread = F.pmod(F.xxhash64(*(spread_by or fact.columns)), F.col("_buckets")).cast("int")

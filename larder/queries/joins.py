@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import money, money_avg, money_sum
 from ..operators.joins import (
     aggregate_then_join, equi_join, hinted_join, join_dimension, rows_without_match, salted_join, salted_join_all,
-    skew_report,
+    skew_report, strategy_fits,
 )
 from ..operators.windows import rank_rows, with_group_stats
 from ..plans.jobs import order_metrics
@@ -79,25 +79,37 @@ WITH {RESTAURANTS}, {TICKETS}, one AS (
   FROM tickets t JOIN restaurants r ON t.restaurant_id = r.restaurant_id GROUP BY r.city)
 SELECT strategy, one.* FROM one, (VALUES ('broadcast'), ('merge'), ('shuffle_hash'), ('sql_merge'), ('sql_broadcast')) ways(strategy)""")
 def join_hints(spark, sf_dir):
-    """The same join by every physical strategy, and by a SQL hint that names the alias."""
+    """The same join by every physical strategy, and by a SQL hint that names the alias.
+
+    A strategy that the size of the side forbids gives one row without a city and without orders.
+    """
     places = restaurants(spark, sf_dir).select("restaurant_id", "city")
     lines = tickets(spark, sf_dir).select("restaurant_id", "amount")
-    joined = {s: hinted_join(lines, places, "restaurant_id", s) for s in ("broadcast", "merge", "shuffle_hash")}
-    for hint in ("MERGE", "BROADCAST"):
-        joined[f"sql_{hint.lower()}"] = spark.sql(
+
+    def by_sql(hint):
+        return spark.sql(
             f"SELECT /*+ {hint}(r) */ o.restaurant_id, o.amount, r.city "
             "FROM {lines} o JOIN {places} r ON o.restaurant_id = r.restaurant_id",
             lines=lines,
             places=places,
         )
-    return union_all(
-        [
-            df.groupBy("city")
-            .agg(F.count("*").alias("orders"), money_sum(F.col("amount")).alias("revenue"))
-            .withColumn("strategy", F.lit(name))
-            for name, df in joined.items()
-        ]
-    )
+
+    results = []
+    for name in ("broadcast", "merge", "shuffle_hash", "sql_merge", "sql_broadcast"):
+        strategy = name.removeprefix("sql_")
+        if not strategy_fits(places, strategy):
+            results.append(refused(spark, name))
+            continue
+        joined = by_sql(strategy.upper()) if name != strategy else hinted_join(lines, places, "restaurant_id", strategy, checked=True)
+        grouped = joined.groupBy("city")
+        totals = grouped.agg(F.count("*").alias("orders"), money_sum(F.col("amount")).alias("revenue"))
+        results.append(totals.withColumn("strategy", F.lit(name)))
+    return union_all(results)
+
+
+def refused(spark, strategy):
+    none = spark.range(1).select(F.lit(None).cast("string").alias("city"), F.lit(0).cast("bigint").alias("orders"))
+    return none.select("city", "orders", F.lit(None).cast("double").alias("revenue"), F.lit(strategy).alias("strategy"))
 
 
 _BY_CUISINE = f"""
@@ -136,10 +148,11 @@ def salted_join_all_query(spark, sf_dir):
 
 @query("skew_report", f"""
 WITH {TICKETS}, counts AS (SELECT restaurant_id, COUNT(*) AS rows FROM tickets GROUP BY restaurant_id)
-SELECT restaurant_id, rows, ROUND(rows / (SELECT SUM(rows) FROM counts), 6) AS share
+SELECT restaurant_id, rows, ROUND(rows / (SELECT SUM(rows) FROM counts), 6) AS share,
+       ROUND(rows / (SELECT quantile_disc(rows, 0.5) FROM counts), 6) AS times_median
 FROM counts""")
 def skew_report_query(spark, sf_dir):
-    return skew_report(tickets(spark, sf_dir), "restaurant_id").drop("times_median")
+    return skew_report(tickets(spark, sf_dir), "restaurant_id")
 
 
 @query("group_stats_join", f"""

@@ -53,6 +53,13 @@ def planned_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def read_bytes(df: DataFrame) -> int:
+    """What the inputs of a frame hold by Catalyst's statistics: the most that computing it reads."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = (int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    return sum(sizes)
+
+
 def size_shuffle(spark: SparkSession, *frames: DataFrame, most: int | None = None) -> int:
     """Set the shuffle width from the size of the inputs.
 

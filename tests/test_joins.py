@@ -107,6 +107,65 @@ def test_hot_keys_are_found_without_writing_all_keys(skewed):
         j.hot_keys(skewed, ["k"], 0.0)
 
 
+def test_hot_keys_of_any_kind(spark):
+    """Null, text and several columns as keys; the shares are exact."""
+    made = [(None, "x")] * 300 + [("é", None)] * 250 + [("b", "x")] * 200 + [(f"k{i}", "y") for i in range(250)]
+    df = spark.createDataFrame(made, "a string, b string").repartition(7)
+    assert rows(j.hot_keys(df, ["a", "b"], 0.15)) == [("b", "x", 0.2), ("é", None, 0.25), (None, "x", 0.3)]
+    assert rows(j.hot_keys(df, ["a"], 0.22)) == [("é", 0.25), (None, 0.3)]
+    assert j.hot_keys(df.limit(0), ["a"], 0.1).collect() == []
+
+
+@pytest.mark.parametrize("share, hot", [(0.8, [(7, 0.8)]), (0.0, [])])
+def test_hot_keys_among_very_many_light_ones(spark, share, hot):
+    """A key with four fifths of the rows is found, and 100,000 light ones give no candidate that stays."""
+    light = round(500_000 * (1 - share))
+    heavy = spark.range(500_000 - light).select(F.lit(7).cast("bigint").alias("k"))
+    many = spark.range(light).select((F.col("id") % 100_000 + 10).alias("k"))
+    df = heavy.unionAll(many).repartition(6)
+    assert rows(j.hot_keys(df, ["k"], 1e-3)) == hot
+    found = j.salted_join(df.withColumn("v", F.lit(1)), spark.range(200).withColumnRenamed("id", "k"), "k", share=1e-3)
+    assert found.count() == df.filter("k < 200").count()
+
+
+def test_hot_keys_shuffle_only_candidates(spark, skewed):
+    """All keys stay in their tasks: what is shuffled has passed the semi-join with the candidates."""
+    plan = executed_plan(j.hot_keys(skewed, ["k"], 0.2))
+    shuffle = plan.index("Exchange hashpartitioning(k")
+    assert "LeftSemi" in plan[shuffle:] and "LeftSemi" not in plan[:shuffle]
+
+
+def test_a_side_is_read_only_where_its_size_is_in_doubt(spark, skewed, dims, small_dir, monkeypatch):
+    files = spark.read.parquet(f"{small_dir}/part.parquet").select("p_partkey", "p_name")
+    assert 0 < j.read_bytes(files) < 1 << 20 and j.fits_broadcast(files)
+
+    def unwanted(df):
+        raise AssertionError("a job before the join")
+
+    monkeypatch.setattr(j, "measured_bytes", unwanted)
+    # Surely small: rows and widths are proven.
+    for small in (spark.range(1000), files.select("p_partkey").limit(50), files.agg(F.max("p_partkey"))):
+        assert j.fits_broadcast(small) and not j.fits_broadcast(small, 1)
+    # Surely large by the size of its files.
+    monkeypatch.setattr(j, "read_bytes", lambda df: 1 << 30 if "p_name" in df.columns else 1 << 10)
+    assert not j.fits_broadcast(files, (1 << 26) - 1)
+    large = j.join_dimension(files.withColumnRenamed("p_partkey", "k"), files, ("k", "p_partkey"), limit=1 << 20)
+    assert "_salt" in executed_plan(large)
+    # Between the two, it is measured.
+    with pytest.raises(AssertionError):
+        j.fits_broadcast(files, 1 << 27)
+
+
+def test_a_forbidden_strategy_gives_a_row(spark, small_dir, monkeypatch):
+    from larder.queries import QUERIES
+
+    monkeypatch.setattr(j, "BROADCAST_BYTES", 10)
+    found = {r["strategy"]: [] for r in QUERIES["join_hints"](spark, small_dir).select("strategy").collect()}
+    assert set(found) == {"broadcast", "merge", "shuffle_hash", "sql_merge", "sql_broadcast"}
+    counts = dict(rows(QUERIES["join_hints"](spark, small_dir).groupBy("strategy").agg(F.sum("orders").alias("n"))))
+    assert counts["broadcast"] == counts["sql_broadcast"] == counts["shuffle_hash"] == 0 < counts["merge"] == counts["sql_merge"]
+
+
 def test_measured_bytes(spark):
     df = spark.createDataFrame([("é" * 10, 1, None), (None, 2, [1, 2])], "s string, n bigint, a array<int>")
     empty = df.limit(0)
