@@ -9,11 +9,14 @@ slices of the same group contribute. That table has at most one row per slice.
 
 ``order_by`` holds column names, each optionally followed by ``desc`` or ``asc``.
 ``limit`` is the largest group one task may sort; ``None`` means the caller knows the
-groups to be small (calendar months, say) and skips the count.
+groups to be small (calendar months, say) and skips the count. Several functions over the same groups
+share one count by passing ``groups_of(df, by)`` as the ``limit``.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window, WindowSpec
@@ -56,7 +59,29 @@ def largest_group(df: DataFrame, keys) -> int:
     return counts.agg(F.coalesce(F.max("n"), F.lit(0)).alias("n")).first()["n"]
 
 
-def is_small(df: DataFrame, keys, limit: int | None) -> bool:
+@dataclass(frozen=True)
+class Groups:
+    """What is known of the groups of a frame: their keys, the rows of the largest, the most one task may sort."""
+
+    by: tuple[str, ...]
+    largest: int
+    limit: int
+
+    def holds(self, keys) -> bool:
+        """Groups by more keys are parts of these, so no larger."""
+        if not set(self.by) <= set(as_names(keys)):
+            raise ValueError(f"groups by {', '.join(self.by) or 'nothing'} say nothing of groups by {keys}")
+        return self.largest <= self.limit
+
+
+def groups_of(df: DataFrame, by, limit: int = MAX_GROUP_ROWS) -> Groups:
+    """Counted once, for a stack of windows. It stays right while steps add columns or drop rows."""
+    return Groups(tuple(as_names(by)), largest_group(df, by), limit)
+
+
+def is_small(df: DataFrame, keys, limit: int | Groups | None) -> bool:
+    if isinstance(limit, Groups):
+        return limit.holds(keys)
     return limit is None or largest_group(df, keys) <= limit
 
 
@@ -75,8 +100,8 @@ def running(df: DataFrame, by, order_by, sums: dict[str, Column], limit, slices=
     return _running_in_slices(df, by, order_by, sums, slices, unique)
 
 
-def _running_in_slices(df, by, order_by, sums, slices, unique=False) -> DataFrame:
-    columns, order = df.columns, as_names(order_by)
+def _sliced(df, by, order, slices, unique) -> tuple[DataFrame, list[str]]:
+    """Rows range-partitioned by group and order, with the number of their slice; and the order within it."""
     if not unique:
         # Copies of one row would all fall into one slice. A number of their own, written
         # down so that it is the same on every attempt, lets borders run between them.
@@ -84,10 +109,15 @@ def _running_in_slices(df, by, order_by, sums, slices, unique=False) -> DataFram
         order = [*order, _COPY]
     slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     borders = [F.col(c) for c in by] + _order_columns(order)
-    inputs = {f"_in_{name}": value for name, value in sums.items()}
-    marked = df.repartitionByRange(slices, *borders).withColumns({_SLICE: F.spark_partition_id(), **inputs})
+    marked = df.repartitionByRange(slices, *borders).withColumn(_SLICE, F.spark_partition_id())
     # One task per slice; hashing the slice numbers would put several into some tasks.
-    marked = marked.repartitionById(slices, F.col(_SLICE))
+    return marked.repartitionById(slices, F.col(_SLICE)), order
+
+
+def _running_in_slices(df, by, order_by, sums, slices, unique=False) -> DataFrame:
+    columns = df.columns
+    inputs = {f"_in_{name}": value for name, value in sums.items()}
+    marked, order = _sliced(df.withColumns(inputs), by, as_names(order_by), slices, unique)
     inside = _so_far(_window([_SLICE, *by], order))
     # Written once: a range exchange that runs again may draw other borders.
     rows = stash(marked.withColumns({name: F.sum(f"_in_{name}").over(inside) for name in sums}), "slices")
@@ -119,27 +149,117 @@ def _number_in_slices(df, by, order_by, name, slices) -> DataFrame:
 
 
 def number_rows(df: DataFrame, by, order_by, name: str = "row_number", *,
-                limit: int | None = MAX_GROUP_ROWS, slices: int | None = None) -> DataFrame:
+                limit: int | Groups | None = MAX_GROUP_ROWS, slices: int | None = None) -> DataFrame:
     """ROW_NUMBER; rows of equal order are numbered in any order."""
     return running(df, by, order_by, {name: F.lit(1).cast("bigint")}, limit, slices)
 
 
-def rank_rows(df: DataFrame, by, order_by, *, rank: str | None = None, dense_rank: str | None = None,
-              limit: int | None = MAX_GROUP_ROWS, slices: int | None = None) -> DataFrame:
-    """RANK and DENSE_RANK. In large groups the distinct order values are ranked, each
-    with its row count, so a value shared by many rows is no burden either."""
-    by, wanted = as_names(by), [n for n in (rank, dense_rank) if n]
+def place_rows(df: DataFrame, by, order_by, *, row_number: str | None = None, rank: str | None = None,
+               dense_rank: str | None = None, through: str | None = None, size: str | None = None, ties=None,
+               limit: int | Groups | None = MAX_GROUP_ROWS, slices: int | None = None) -> DataFrame:
+    """Every place of a row in its group, from one count and one exchange.
+
+    ROW_NUMBER by ``order_by``; RANK and DENSE_RANK by ``ties``, the leading part of ``order_by`` whose equal
+    rows are peers (default: all of it); ``through``, the rows up to the last peer; ``size``, the rows
+    of the group. All other rankings follow from these (``ntile_of``, ``percent_rank_of``).
+    """
+    by, order = as_names(by), as_names(order_by)
+    peers = order if ties is None else as_names(ties)
+    if order[: len(peers)] != peers:
+        raise ValueError("ties are told by the leading part of the order")
+    wanted = {"row_number": row_number, "rank": rank, "dense_rank": dense_rank, "through": through, "size": size}
+    wanted = {kind: name for kind, name in wanted.items() if name}
     if is_small(df, by, limit):
-        window = _window(by, order_by)
-        kinds = {rank: F.rank, dense_rank: F.dense_rank}
-        return df.withColumns({n: kinds[n]().over(window).cast("bigint") for n in wanted})
-    keys = [*by, *[n for n in _order_names(order_by) if n not in by]]
-    values = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
-    counts = {"_through": F.col("_rows"), "_place": F.lit(1).cast("bigint")}
-    places = running(stash(values, "values"), by, order_by, counts, limit, slices, unique=True)
-    formulas = {rank: F.col("_through") - F.col("_rows") + 1, dense_rank: F.col("_place")}
-    places = places.select(*keys, *[formulas[n].alias(n) for n in wanted])
-    return join_dimension(df, places, keys, null_safe=True)
+        found = _places(by, order, peers)
+        return df.withColumns({name: found[kind] for kind, name in wanted.items()})
+    columns = df.columns
+    marked, order = _sliced(df, by, order, slices, False)
+    local = _places([_SLICE, *by], order, peers)
+    value = F.struct(*_order_names(peers))
+    # Written once: a range exchange that runs again may draw other borders.
+    rows = stash(marked.withColumns({f"_own_{kind}": column for kind, column in local.items()}), "slices")
+    carried = _carried_places(rows, by, value)
+    joined = equi_join(rows, F.broadcast(carried), [_SLICE, *by], "left", null_safe=True)
+    before = F.coalesce("_before", F.lit(0))
+    opened = F.col("_own_rank") == 1
+    closing = F.col("_own_dense_rank") == F.col("_values")
+    places = {
+        "row_number": F.col("_own_row_number") + before,
+        "rank": F.when(opened & F.col("_joined"), F.col("_start")).otherwise(F.col("_own_rank") + before),
+        "dense_rank": F.col("_own_dense_rank") + F.coalesce("_values_before", F.lit(0)),
+        "through": F.when(closing & F.col("_continued"), F.col("_end")).otherwise(F.col("_own_through") + before),
+        "size": F.coalesce("_size", "_own_size"),
+    }
+    return joined.withColumns({name: places[kind] for kind, name in wanted.items()}).select(*columns, *wanted.values())
+
+
+def _places(by, order, peers) -> dict[str, Column]:
+    window, tied = _window(by, order), _window(by, peers)
+    to_last_peer = tied.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    return {
+        "row_number": F.row_number().over(window).cast("bigint"),
+        "rank": F.rank().over(tied).cast("bigint"),
+        "dense_rank": F.dense_rank().over(tied).cast("bigint"),
+        "through": F.count("*").over(to_last_peer),
+        "size": F.count("*").over(Window.partitionBy(*by)),
+    }
+
+
+def _carried_places(rows: DataFrame, by, value: Column) -> DataFrame:
+    """What each slice of a group that has several must know of the others, at most two rows for each slice.
+
+    Peers may run on over any number of slices: they begin where the last slice with a beginning of
+    peers says, and end where the next slice with an end of peers says.
+    """
+    parts = rows.groupBy(_SLICE, *by).agg(
+        F.count("*").alias("_rows"),
+        F.max("_own_dense_rank").alias("_values"),
+        F.min_by(value, "_own_row_number").alias("_first"),
+        F.max_by(value, "_own_row_number").alias("_last"),
+        F.max("_own_rank").alias("_last_start"),
+        F.min("_own_through").alias("_first_end"),
+    )
+    along = Window.partitionBy(*by).orderBy(_SLICE)
+    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
+    later = along.rowsBetween(1, Window.unboundedFollowing)
+    whole = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    parts = parts.withColumns(
+        {
+            "_parts": F.count("*").over(whole),
+            "_size": F.sum("_rows").over(whole),
+            "_before": F.coalesce(F.sum("_rows").over(earlier), F.lit(0)),
+            "_joined": F.col("_first").eqNullSafe(F.lag("_last").over(along)),
+        }
+    ).filter("_parts > 1")
+    parts = parts.withColumn("_continued", F.coalesce(F.lead("_joined").over(along), F.lit(False)))
+    several = F.col("_values") > 1
+    starts = F.when(several | ~F.col("_joined"), F.col("_before") + F.col("_last_start"))
+    ends = F.when(several | ~F.col("_continued"), F.col("_before") + F.col("_first_end"))
+    merged = F.sum(F.col("_joined").cast("bigint")).over(_so_far(along))
+    return parts.select(
+        _SLICE, *by, "_size", "_before", "_joined", "_continued", "_values",
+        (F.coalesce(F.sum("_values").over(earlier), F.lit(0)) - merged).alias("_values_before"),
+        F.last(starts, ignorenulls=True).over(earlier).alias("_start"),
+        F.first(ends, ignorenulls=True).over(later).alias("_end"),
+    )
+
+
+def ntile_of(row_number: Column, size: Column, tiles: int) -> Column:
+    """NTILE: the first ``size mod tiles`` tiles are one row longer."""
+    short, long_tiles = F.floor(size / tiles), size % tiles
+    in_long = F.floor((row_number - 1) / (short + 1)) + 1
+    in_short = long_tiles + F.floor((row_number - 1 - long_tiles * (short + 1)) / F.greatest(short, F.lit(1))) + 1
+    return F.when(row_number <= long_tiles * (short + 1), in_long).otherwise(in_short).cast("bigint")
+
+
+def percent_rank_of(rank: Column, size: Column) -> Column:
+    return F.coalesce(F.try_divide(rank - 1, size - 1), F.lit(0.0))
+
+
+def rank_rows(df: DataFrame, by, order_by, *, rank: str | None = None, dense_rank: str | None = None,
+              limit: int | Groups | None = MAX_GROUP_ROWS, slices: int | None = None) -> DataFrame:
+    """RANK and DENSE_RANK. A value shared by very many rows is spread like any others."""
+    return place_rows(df, by, order_by, rank=rank, dense_rank=dense_rank, limit=limit, slices=slices)
 
 
 def with_group_stats(df: DataFrame, by, stats: dict[str, Column]) -> DataFrame:
@@ -156,28 +276,15 @@ def with_group_stats(df: DataFrame, by, stats: dict[str, Column]) -> DataFrame:
 
 
 def percent_rank(df: DataFrame, by, order_by, name: str = "percent_rank", *,
-                 limit: int | None = MAX_GROUP_ROWS, slices: int | None = None) -> DataFrame:
-    if is_small(df, by, limit):
-        return df.withColumn(name, F.percent_rank().over(_window(by, order_by)))
-    ranked = rank_rows(df, by, order_by, rank="_rank", limit=limit, slices=slices)
-    sized = with_group_stats(ranked, by, {"_size": F.count("*")})
-    share = F.try_divide(F.col("_rank") - 1, F.col("_size") - 1)
-    return sized.withColumn(name, F.coalesce(share, F.lit(0.0))).select(*df.columns, name)
+                 limit: int | Groups | None = MAX_GROUP_ROWS, slices: int | None = None) -> DataFrame:
+    placed = place_rows(df, by, order_by, rank="_rank", size="_size", limit=limit, slices=slices)
+    return placed.withColumn(name, percent_rank_of(F.col("_rank"), F.col("_size"))).select(*df.columns, name)
 
 
 def ntile(df: DataFrame, by, order_by, tiles: int, name: str = "ntile", *,
-          limit: int | None = MAX_GROUP_ROWS, slices: int | None = None) -> DataFrame:
-    """NTILE: the first ``size mod tiles`` tiles are one row longer."""
-    if is_small(df, by, limit):
-        return df.withColumn(name, F.ntile(tiles).over(_window(by, order_by)).cast("bigint"))
-    numbered = _number_in_slices(df, as_names(by), order_by, "_rn", slices)
-    sized = with_group_stats(numbered, by, {"_size": F.count("*")})
-    sized = sized.withColumns({"_short": F.expr(f"_size div {tiles}"), "_long_tiles": F.expr(f"_size % {tiles}")})
-    tile = F.expr(
-        "CASE WHEN _rn <= _long_tiles * (_short + 1) THEN (_rn - 1) div (_short + 1) + 1 "
-        "ELSE _long_tiles + (_rn - 1 - _long_tiles * (_short + 1)) div greatest(_short, 1) + 1 END"
-    )
-    return sized.withColumn(name, tile.cast("bigint")).select(*df.columns, name)
+          limit: int | Groups | None = MAX_GROUP_ROWS, slices: int | None = None) -> DataFrame:
+    placed = place_rows(df, by, order_by, row_number="_rn", size="_size", limit=limit, slices=slices)
+    return placed.withColumn(name, ntile_of(F.col("_rn"), F.col("_size"), tiles)).select(*df.columns, name)
 
 
 # --- the first rows of a group ---------------------------------------------------
@@ -188,7 +295,7 @@ GROUP_LIMIT = 1000
 
 
 def top_n(df: DataFrame, by, order_by, n: int, name: str = "rank", method: str = "row_number", *,
-          limit: int | None = MAX_GROUP_ROWS) -> DataFrame:
+          limit: int | Groups | None = MAX_GROUP_ROWS) -> DataFrame:
     """Rows whose place in their group is at most ``n``.
 
     The rank filter sits on the window, so every map task keeps ``n`` rows per group
@@ -226,7 +333,7 @@ def latest_per_key(df: DataFrame, keys, order_by) -> DataFrame:
 
 
 def running_total(df: DataFrame, by, order_by, value: Column, name: str, *, ties: str = "rows",
-                  limit: int | None = MAX_GROUP_ROWS, slices: int | None = None) -> DataFrame:
+                  limit: int | Groups | None = MAX_GROUP_ROWS, slices: int | None = None) -> DataFrame:
     """Running sum with an explicit frame.
 
     ``ties="rows"`` adds row by row; ``ties="range"`` gives rows of equal order the same
@@ -245,53 +352,60 @@ def running_total(df: DataFrame, by, order_by, value: Column, name: str, *, ties
     return join_dimension(df, totals, keys, null_safe=True)
 
 
-def _with_neighbours(df, by, order_by, before: int, after: int, columns, limit, slices) -> DataFrame:
-    """Evaluate bounded-frame window columns; ``columns`` maps a window to named columns."""
-    by = as_names(by)
-    if is_small(df, by, limit):
-        return df.withColumns(columns(_window(by, order_by)))
-    # A block holds the widest frame, so a row never needs more than its neighbour blocks.
-    limit = max(limit, before + 1, after + 1)
-    # Cut each group into blocks of exactly `limit` rows and lend every block the last
-    # `before` rows of the one ahead of it and the first `after` of the one behind it.
-    numbered = _number_in_slices(df, by, order_by, "_rn", slices)
-    numbered = numbered.withColumns({"_block": F.expr(f"(_rn - 1) div {limit}"), "_at": F.expr(f"(_rn - 1) % {limit}")})
-    seats = F.array_compact(
-        F.array(
-            F.col("_block"),
-            F.when(F.col("_at") >= limit - before, F.col("_block") + 1),
-            F.when((F.col("_at") < after) & (F.col("_block") > 0), F.col("_block") - 1),
-        )
-    )
-    seated = numbered.withColumn("_seat", F.explode(seats))
-    results = columns(Window.partitionBy(*by, "_seat").orderBy("_rn"))
-    return seated.withColumns(results).filter("_seat = _block").select(*df.columns, *results)
-
-
 def neighbours(df: DataFrame, by, order_by, fetch: dict[str, tuple[str, int]], *,
-               limit: int | None = MAX_GROUP_ROWS, slices: int | None = None) -> DataFrame:
-    """LAG and LEAD: ``{"previous": ("amount", -1), "next": ("amount", 1)}``."""
-    steps = [step for _, step in fetch.values()]
-
-    def columns(window):
-        return {name: F.lag(c, -step).over(window) for name, (c, step) in fetch.items()}
+               limit: int | Groups | None = MAX_GROUP_ROWS, slices: int | None = None) -> DataFrame:
+    """LAG and LEAD: ``{"previous": ("amount", -1), "next": ("amount", 1)}``.
 
-    return _with_neighbours(df, by, order_by, max(0, -min(steps)), max(0, max(steps)), columns, limit, slices)
+    In large groups a row finds its neighbour by row number. A number occurs once in a group, so
+    the join is even whatever the groups are, and no offset makes a task larger.
+    """
+    by = as_names(by)
+    if is_small(df, by, limit):
+        window = _window(by, order_by)
+        return df.withColumns({name: F.lag(c, -step).over(window) for name, (c, step) in fetch.items()})
+    rows = _number_in_slices(df, by, order_by, "_rn", slices)
+    result = rows
+    for step in sorted({step for _, step in fetch.values()}):
+        found = [F.col(c).alias(name) for name, (c, s) in fetch.items() if s == step]
+        at_step = rows.select(*by, (F.col("_rn") - step).alias("_rn"), *found)
+        result = equi_join(result, at_step, [*by, "_rn"], "left", null_safe=True)
+    return result.select(*df.columns, *fetch)
 
 
 def rolling_mean(df: DataFrame, by, order_by, value: Column, rows: int, name: str, *,
-                 limit: int | None = MAX_GROUP_ROWS, slices: int | None = None) -> DataFrame:
-    """Mean over the last ``rows`` rows; null until that many exist."""
-
-    def columns(window):
-        frame = window.rowsBetween(1 - rows, Window.currentRow)
-        return {name: F.when(F.count(value).over(frame) == rows, F.avg(value).over(frame))}
+                 limit: int | Groups | None = MAX_GROUP_ROWS, slices: int | None = None) -> DataFrame:
+    """Mean over the last ``rows`` rows; null until that many exist.
 
-    return _with_neighbours(df, by, order_by, rows - 1, 0, columns, limit, slices)
+    Large groups are cut into blocks of ``rows`` rows. A frame is the end of one block and the beginning of
+    the next, so its sum is a running sum from a block's end plus one from a block's start: nothing is
+    subtracted, and infinite values or rounding of other frames never enter. Blocks larger
+    than a task should sort are themselves summed in slices.
+    """
+    by = as_names(by)
+    if is_small(df, by, limit):
+        frame = _window(by, order_by).rowsBetween(1 - rows, Window.currentRow)
+        return df.withColumn(name, F.when(F.count(value).over(frame) == rows, F.avg(value).over(frame)))
+    most = limit.limit if isinstance(limit, Groups) else limit
+    mean = df.select(F.avg(value).alias("m")).schema["m"].dataType
+    exact = mean.typeName() == "decimal"
+    numbered = _number_in_slices(df.withColumn("_value", value if exact else value.cast("double")), by, order_by, "_rn", slices)
+    numbered = numbered.withColumn("_block", F.expr(f"(_rn - 1) div {rows}"))
+    blocks, single = [*by, "_block"], None if rows <= most else most
+    sums = [F.col("_value"), F.col("_value").isNotNull().cast("bigint")]
+    heads = running(numbered, blocks, "_rn", dict(zip(("_head", "_head_n"), sums, strict=True)), single, slices, unique=True)
+    slim = numbered.select(*blocks, "_rn", "_value")
+    tails = running(slim, blocks, "_rn desc", dict(zip(("_tail", "_tail_n"), sums, strict=True)), single, slices, unique=True)
+    # The tail that begins where the frame of row _rn does, unless that frame is just one block.
+    tails = tails.filter(f"(_rn - 1) % {rows} > 0").select(*by, (F.col("_rn") + rows - 1).alias("_rn"), "_tail", "_tail_n")
+    joined = equi_join(heads, tails, [*by, "_rn"], "left", null_safe=True)
+    full = F.coalesce("_head_n", F.lit(0)) + F.coalesce("_tail_n", F.lit(0)) == rows
+    total = F.when(F.col("_tail").isNull(), F.col("_head")).otherwise(F.col("_head") + F.col("_tail"))
+    count = F.lit(rows).cast("decimal(20,0)") if exact else F.lit(float(rows))
+    return joined.withColumn(name, F.when(full, (total / count).cast(mean))).select(*df.columns, name)
 
 
 def change_from_previous(df: DataFrame, by, order_by, value: str, name: str, *, digits: int = 2,
-                         limit: int | None = MAX_GROUP_ROWS) -> DataFrame:
+                         limit: int | Groups | None = MAX_GROUP_ROWS) -> DataFrame:
     """Difference to the row before; 0 for the first row of a group."""
     shifted = neighbours(df, by, order_by, {"_previous": (value, -1)}, limit=limit)
     change = F.col(value) - F.coalesce(F.col("_previous"), F.col(value))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..fixed_values import PRICE_STEPS, RATING_REST
 from ..functions.columns import log_score, money_sum
-from ..operators.windows import neighbours, rank_rows
+from ..operators.windows import groups_of, neighbours, rank_rows
 from ..pandas_api import (
     assemble_features, cached, from_local, gather, join_local, merge, natively, read_json_lines, spread, to_local,
     to_native, to_pandas_api,
@@ -76,13 +76,13 @@ def ps_merge_rank_shift(spark, sf_dir):
     """Merge, rank and shift as native steps: the pandas forms sort whole groups in one task."""
     places = to_pandas_api(restaurants(spark, sf_dir))[["restaurant_id", "name", "cuisine_type", "monthly_orders"]]
     counts = to_pandas_api(tickets(spark, sf_dir)).groupby("restaurant_id").size().reset_index(name="orders")
-    frame = natively(
-        merge(counts, places, "restaurant_id"),
-        stash,
-        lambda df: rank_rows(df, "cuisine_type", "orders desc", rank="orders_rank"),
-        lambda df: neighbours(df, "cuisine_type", ["orders desc", "restaurant_id"], {"shifted": ("orders", -1)}),
-    )
-    return to_native(frame)
+
+    def ranked_and_shifted(df):
+        groups, order = groups_of(df, "cuisine_type"), ["orders desc", "restaurant_id"]
+        ranked = rank_rows(df, "cuisine_type", "orders desc", rank="orders_rank", limit=groups)
+        return neighbours(ranked, "cuisine_type", order, {"shifted": ("orders", -1)}, limit=groups)
+
+    return to_native(natively(merge(counts, places, "restaurant_id"), stash, ranked_and_shifted))
 
 
 @query("ps_apply", f"""

@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import money, money_sum, money_total
 from ..operators.windows import (
-    change_from_previous, latest_per_key, neighbours, ntile, number_rows, percent_rank, rank_rows, rolling_mean,
-    running_total, top_n, with_group_stats,
+    change_from_previous, latest_per_key, neighbours, ntile_of, percent_rank_of, place_rows, rolling_mean, running_total,
+    top_n, with_group_stats,
 )
 from .registry import RESTAURANTS, TICKETS, query, restaurants, sql_money, table, tickets
 
@@ -22,8 +22,10 @@ SELECT restaurant_id, cuisine_type, monthly_orders,
        DENSE_RANK() OVER ({_CUISINE} monthly_orders DESC) AS dense_rank FROM restaurants""")
 def ranks(spark, sf_dir):
     places = restaurants(spark, sf_dir).select("restaurant_id", "cuisine_type", "monthly_orders")
-    numbered = number_rows(places, "cuisine_type", ["monthly_orders desc", "restaurant_id"])
-    return rank_rows(numbered, "cuisine_type", "monthly_orders desc", rank="rank", dense_rank="dense_rank")
+    return place_rows(
+        places, "cuisine_type", ["monthly_orders desc", "restaurant_id"], ties="monthly_orders desc",
+        row_number="row_number", rank="rank", dense_rank="dense_rank",
+    )
 
 
 @query("lag_lead_diff", f"""
@@ -72,9 +74,12 @@ SELECT restaurant_id, average_rating, NTILE(4) OVER (ORDER BY average_rating DES
        ROUND(PERCENT_RANK() OVER (ORDER BY average_rating), 6) AS pct_rank FROM restaurants""")
 def ntile_percent_rank(spark, sf_dir):
     places = restaurants(spark, sf_dir).select("restaurant_id", "average_rating")
-    tiled = ntile(places, [], ["average_rating desc", "restaurant_id"], 4, "quartile")
-    ranked = percent_rank(tiled, [], "average_rating", "pct_rank")
-    return ranked.withColumn("pct_rank", F.round("pct_rank", 6))
+    order = ["average_rating desc", "restaurant_id"]
+    placed = place_rows(places, [], order, ties=order[:1], row_number="rn", through="through", size="size")
+    # The rank from below counts the rows behind the last peer.
+    from_below = F.col("size") - F.col("through") + 1
+    quartile, share = ntile_of(F.col("rn"), F.col("size"), 4), percent_rank_of(from_below, F.col("size"))
+    return placed.select(*places.columns, quartile.alias("quartile"), F.round(share, 6).alias("pct_rank"))
 
 
 @query("group_avg_diff", f"""

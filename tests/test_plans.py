@@ -89,3 +89,13 @@ def test_salting_adds_no_shuffle_over_a_merge_join(spark, middle_dir):
     assert plain.count("Exchange hashpartitioning") == 2
     # Two for the join at most, one for the grouping that follows.
     assert salted.count("Exchange hashpartitioning") <= 3
+
+
+@pytest.mark.parametrize("name", ["ranks", "ntile_percent_rank"])
+def test_all_ranks_of_a_query_come_from_one_exchange(spark, middle_dir, monkeypatch, name):
+    from larder.operators import windows
+
+    counted, largest = [], windows.largest_group
+    monkeypatch.setattr(windows, "largest_group", lambda df, keys: counted.append(keys) or largest(df, keys))
+    assert plan_of(spark, name, middle_dir).count("ENSURE_REQUIREMENTS") == 1
+    assert len(counted) == 1

@@ -95,6 +95,102 @@ def test_rolling_mean(data, rows_in_frame):
     assert rows(hot) == rows(w.rolling_mean(data, "g", ["v", "id"], F.col("id"), rows_in_frame, "m", limit=None))
 
 
+PLACES = {"row_number": "rn", "rank": "r", "dense_rank": "d", "through": "t", "size": "s"}
+
+
+@pytest.mark.parametrize("by", [["g"], []])
+@pytest.mark.parametrize("order", ORDERS)
+@pytest.mark.parametrize("slices", [3, 40])
+def test_all_places_at_once(data, by, order, slices):
+    """Peers that run over several slices, slices inside one value, nulls, and groups of one row."""
+    peers = order[:1]
+    hot = w.place_rows(data, by, order, ties=peers, limit=3, slices=slices, **PLACES)
+    plain = w.place_rows(data, by, order, ties=peers, limit=None, **PLACES)
+    assert hot.columns == plain.columns and hot.dtypes == plain.dtypes
+    assert rows(hot) == rows(plain)
+    tied = Window.partitionBy(*by).orderBy(*w._order_columns(peers))
+    checked = plain.withColumns({"r2": F.rank().over(tied), "d2": F.dense_rank().over(tied), "n2": F.percent_rank().over(tied)})
+    assert checked.filter("r <> r2 or d <> d2").isEmpty()
+    assert checked.filter(w.percent_rank_of(F.col("r"), F.col("s")) != F.col("n2")).isEmpty()
+    above = Window.partitionBy(*by).orderBy("v") if peers == ["v desc"] else None
+    if above is not None:  # the rank from the other end
+        assert plain.withColumn("up", F.rank().over(above)).filter("up <> s - t + 1").isEmpty()
+
+
+def test_a_group_of_one_value_over_all_slices(spark):
+    df = spark.createDataFrame([("a", 1, i) for i in range(500)] + [("b", i // 100, i) for i in range(300)], "g string, v int, id int")
+    hot = w.place_rows(df, "g", ["v", "id"], ties="v", limit=10, slices=13, **PLACES)
+    assert rows(hot) == rows(w.place_rows(df, "g", ["v", "id"], ties="v", limit=None, **PLACES))
+    with pytest.raises(ValueError):
+        w.place_rows(df, "g", ["v", "id"], ties="id", rank="r")
+
+
+def test_places_need_one_count_and_one_range_exchange(data, monkeypatch):
+    counted, plans = [], []
+    largest, stash = w.largest_group, w.stash
+    monkeypatch.setattr(w, "largest_group", lambda df, keys: counted.append(keys) or largest(df, keys))
+    monkeypatch.setattr(w, "stash", lambda df, name: plans.append(executed_plan(df)) or stash(df, name))
+    w.place_rows(data, "g", ["v", "id"], ties="v", **PLACES, **HOT).count()
+    assert len(counted) == 1 and sum(plan.count("rangepartitioning") for plan in plans) == 1
+    small = executed_plan(w.place_rows(data, "g", ["v", "id"], ties="v", **PLACES))
+    assert small.count("ENSURE_REQUIREMENTS") == 1
+
+
+def test_one_count_serves_a_stack_of_windows(data, monkeypatch):
+    counted, largest = [], w.largest_group
+    monkeypatch.setattr(w, "largest_group", lambda df, keys: counted.append(keys) or largest(df, keys))
+    for limit in (20, 1000):
+        groups = w.groups_of(data, "g", limit)
+        stacked = w.rank_rows(data, "g", "v", rank="r", limit=groups, slices=5)
+        stacked = w.neighbours(stacked, "g", ["v", "id"], {"p": ("x", -1)}, limit=groups, slices=5)
+        stacked = w.rolling_mean(stacked, "g", ["v", "id"], F.col("id"), 3, "m", limit=groups, slices=5)
+        stacked = w.running_total(stacked, ["g", "v"], "id", F.col("x"), "t", limit=groups, slices=5)
+        plain = w.rank_rows(data, "g", "v", rank="r", limit=None)
+        plain = w.neighbours(plain, "g", ["v", "id"], {"p": ("x", -1)}, limit=None)
+        plain = w.rolling_mean(plain, "g", ["v", "id"], F.col("id"), 3, "m", limit=None)
+        plain = w.running_total(plain, ["g", "v"], "id", F.col("x"), "t", limit=None)
+        assert rows(stacked) == rows(plain)
+    assert [list(k) if not isinstance(k, str) else [k] for k in counted if k] == [["g"]] * 2
+    with pytest.raises(ValueError):
+        w.number_rows(data, [], "id", limit=groups)
+
+
+def test_an_offset_far_beyond_the_limit(spark, monkeypatch):
+    """An offset of 5,000 and a frame of 5,000 rows where a task may sort 100."""
+    made = [("a" if i % 12 else "b", (i * 7919) % 12007, float(i % 97)) for i in range(12_000)]
+    df = spark.createDataFrame(made, "g string, t int, x double").repartition(5)
+    sorted_rows, stash = [], w.stash
+
+    def spy(frame, name):
+        kept = stash(frame, name)
+        if "_slice" in kept.columns:
+            sorted_rows.append(kept.groupBy("_slice").count().agg(F.max("count")).first()[0])
+        return kept
+
+    monkeypatch.setattr(w, "stash", spy)
+    fetch = {"p": ("t", -5000), "n": ("t", 5000)}
+    far = w.neighbours(df, "g", "t", fetch, limit=100, slices=300)
+    assert "Window" not in executed_plan(far) or max(sorted_rows) <= 100
+    assert max(sorted_rows) <= 100
+    assert rows(far) == rows(w.neighbours(df, "g", "t", fetch, limit=None))
+    mean = w.rolling_mean(df, "g", "t", F.col("x"), 5000, "m", limit=100, slices=300)
+    assert rows(mean) == rows(w.rolling_mean(df, "g", "t", F.col("x"), 5000, "m", limit=None))
+    assert max(sorted_rows) <= 100
+
+
+@pytest.mark.parametrize("kind", ["double", "decimal(12,2)", "int"])
+def test_rolling_means_of_every_kind(spark, kind):
+    odd = {30: float("inf"), 60: float("nan"), 90: None, 91: -float("inf")} if kind == "double" else {30: None}
+    made = [(i, odd.get(i, float(i * i % 37))) for i in range(150)]
+    df = spark.createDataFrame(made, "t int, x double").repartition(3)
+    value = F.col("x").cast(kind)
+    for size in (1, 4, 25):
+        hot = w.rolling_mean(df, [], "t", value, size, "m", limit=10, slices=8)
+        plain = w.rolling_mean(df, [], "t", value, size, "m", limit=None)
+        assert hot.dtypes == plain.dtypes
+        assert [str(r) for r in rows(hot)] == [str(r) for r in rows(plain)]
+
+
 def test_rolling_mean_waits_for_enough_rows(spark):
     df = spark.createDataFrame([(i, float(i)) for i in range(1, 5)], "t int, x double")
     rolled = w.rolling_mean(df, [], "t", F.col("x"), 3, "m").orderBy("t")
