@@ -107,15 +107,25 @@ def money_avg(value: Column, digits: int = 2) -> Column:
     return F.round(money_sum(value) / F.nullif(F.count(value), F.lit(0)), digits)
 
 
+# The wide decimal of a steady mean holds numbers below this.
+STEADY_BOUND = 1e18
+
+
 def steady_avg(value: Column, digits: int = 2) -> Column:
     """Rounded mean that does not depend on the order of the rows, of values with up to ten decimals.
 
-    The sum is a wide decimal; a NaN makes the mean NaN, as in a plain mean.
+    Finite values are summed as a wide decimal. Others act as in a plain mean: a NaN, or infinities of both signs,
+    make it NaN, and infinities of one sign make it that infinity. If a finite value is too large
+    for the decimal (``STEADY_BOUND``), the plain mean is given.
     """
     number = value.cast("double")
-    total = F.sum(F.when(~F.isnan(number), number.cast("decimal(28,10)"))).cast("double")
+    size, nan, endless = F.abs(number), F.lit(float("nan")), F.lit(float("inf"))
+    total = F.sum(F.when(size < STEADY_BOUND, number).try_cast("decimal(28,10)")).cast("double")
     mean = F.round(total / F.nullif(F.count(value), F.lit(0)), digits)
-    return F.when(F.bool_or(F.isnan(number)), F.lit(float("nan"))).otherwise(mean)
+    up, down = F.bool_or(number == endless), F.bool_or(number == -endless)
+    odd = F.when(F.bool_or(F.isnan(number)) | (up & down), nan).when(up, endless).when(down, -endless)
+    plain = F.when(F.bool_or((size >= STEADY_BOUND) & (size < endless)), F.round(F.avg(number), digits))
+    return F.coalesce(odd, plain, mean)
 
 
 # --- dates --------------------------------------------------------------------

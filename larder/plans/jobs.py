@@ -1,7 +1,8 @@
 """Batch jobs: extract, validate, transform, load.
 
 Every job reads its inputs once per output, checks all rules on an input in a single
-aggregate, and overwrites its outputs, so it can simply be run again.
+aggregate, and replaces its outputs in one step, so it can simply be run again and a run that fails
+half-way leaves the results of the last one.
 """
 
 from __future__ import annotations
@@ -20,8 +21,9 @@ from ..operators.joins import equi_join, fits_broadcast
 from ..operators.quality import counting, enforce, min_rows, no_nulls, required_columns, split_null_keys
 from ..operators.windows import with_group_stats
 from ..sources.catalog import create_database, create_table
+from ..sources.publish import publish, publish_frames
 from ..sources.readers import read_source
-from ..sources.writers import deliver_formats, deliver_frames, write_sink
+from ..sources.writers import deliver_formats, write_sink
 
 # --- steps shared by the jobs ----------------------------------------------------
 
@@ -90,25 +92,26 @@ def rating_job(restaurants: DataFrame, steps=RATING_STEPS) -> DataFrame:
 
 
 def kpi_job(restaurants: DataFrame, location: str) -> str:
-    """KPI per cuisine, written as Parquet."""
+    """KPI per cuisine, published as Parquet; returns the folder of the new rows."""
+    folders = []
     run_job(
         restaurants,
         [lambda df: kpi_by(df, "cuisine_type", F.col("average_rating"))],
-        lambda df: write_sink(df, "parquet", location),
+        lambda df: folders.append(publish(df, location)),
         "kpi",
     )
-    return location
+    return folders[0]
 
 
 def end_to_end_job(users: DataFrame, restaurants: DataFrame, orders: DataFrame, base: str,
                    steps=RATING_STEPS) -> dict[str, str]:
-    """Three inputs: validate, clean and label, measure, deliver one output each."""
+    """Three inputs: validate, clean and label, measure, publish one output each, all three at once."""
     enforce(users, required_columns(users, "user_id", "email", "phone_number") + no_nulls("user_id", "email"), "users")
     enforce(restaurants, required_columns(restaurants, "restaurant_id", "cuisine_type") + min_rows(1), "restaurants")
     enforce(orders, required_columns(orders, "order_id", "restaurant_id", "amount"), "orders")
     clean_users = users.withColumn("phone_number", clean_phone(F.col("phone_number")))
     clean_restaurants = rate(normalise_cuisine(restaurants), steps)
-    return deliver_frames(
+    return publish_frames(
         {
             "users": clean_users,
             "restaurants": clean_restaurants,
@@ -119,14 +122,14 @@ def end_to_end_job(users: DataFrame, restaurants: DataFrame, orders: DataFrame,
 
 
 def guarded_job(restaurants: DataFrame, location: str, *, steps=RATING_STEPS, least: int = 5) -> str:
-    """Validated read, cleaning, KPI per cuisine, repeatable save."""
+    """Validated read, cleaning, KPI per cuisine, a save that can be repeated; returns the folder of the new rows."""
     needed = ("restaurant_id", "name", "cuisine_type", "average_rating", "phone")
     rules = required_columns(restaurants, *needed) + min_rows(least) + no_nulls("restaurant_id")
     enforce(restaurants, rules, "restaurants")
     cleaned = rate(
         restaurants.withColumn("phone", clean_phone(F.col("phone"), keep_spaces=False)).fillna(FILL_DEFAULTS), steps
     )
-    return write_sink(kpi_by(cleaned, "cuisine_type", F.col("average_rating")), "parquet", location)
+    return publish(kpi_by(cleaned, "cuisine_type", F.col("average_rating")), location)
 
 
 def medallion_by_path(restaurants: DataFrame, base: str, steps=RATING_STEPS) -> DataFrame:

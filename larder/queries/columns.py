@@ -14,6 +14,7 @@ from ..functions.columns import (
 )
 from ..operators.joins import equi_join, join_dimension
 from ..plans.jobs import rating_job
+from ..sources.catalog import views_of
 from .registry import (
     PRICE_LABEL, RESTAURANTS, TICKETS, USERS, query, restaurants, sql_money, sql_money_avg, table, tickets, users,
 )
@@ -367,13 +368,13 @@ FROM tiers GROUP BY performance_tier, cuisine_type""")
 def view_report(spark, sf_dir):
     """Columns built in Python, handed to SQL as a view."""
     tier = ladder(F.col("average_rating"), [(975.0, "Tier 1 - Star"), (950.0, "Tier 2 - Good")], TIER_REST)
-    restaurants(spark, sf_dir).withColumn("performance_tier", tier).createOrReplaceTempView("enriched_restaurants")
-    return spark.sql(
-        """SELECT performance_tier, cuisine_type, COUNT(*) AS restaurant_count,
-                  ROUND(CAST(SUM(CAST(average_rating AS DECIMAL(12,2))) AS DOUBLE) / COUNT(*), 2) AS avg_rating
-           FROM enriched_restaurants GROUP BY performance_tier, cuisine_type
-           ORDER BY performance_tier, cuisine_type"""
-    )
+    with views_of(spark, enriched_restaurants=restaurants(spark, sf_dir).withColumn("performance_tier", tier)):
+        return spark.sql(
+            """SELECT performance_tier, cuisine_type, COUNT(*) AS restaurant_count,
+                      ROUND(CAST(SUM(CAST(average_rating AS DECIMAL(12,2))) AS DOUBLE) / COUNT(*), 2) AS avg_rating
+               FROM enriched_restaurants GROUP BY performance_tier, cuisine_type
+               ORDER BY performance_tier, cuisine_type"""
+        )
 
 
 @query("hybrid_equivalence", f"""

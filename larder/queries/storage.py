@@ -7,18 +7,21 @@ from contextlib import contextmanager
 
 from pyspark.sql import functions as F
 
-from ..errors import WriteError
+from ..errors import QualityError, WriteError
 from ..functions.columns import money_sum
-from ..operators.joins import equi_join
-from ..operators.tuning import kept, spread_by
+from ..operators.joins import equi_join, join_dimension
+from ..operators.quality import enforce, min_rows, no_nulls
+from ..operators.tuning import fewer_partitions, kept, spread_by
+from ..operators.windows import with_group_stats
 from ..plans.jobs import kpi_job
 from ..session import scratch_path, stash, union_all
 from ..sources.catalog import (
     cached_table, create_bucketed_table, create_database, create_table, create_view, list_partitions, list_tables,
-    share_view,
+    shared_view, views_of,
 )
+from ..sources.publish import publish, publish_partitions, read_published
 from ..sources.readers import read_in_order, read_source
-from ..sources.writers import deliver_formats, deliver_frames, export_partitions, write_sink
+from ..sources.writers import deliver_formats, deliver_frames, export_partitions, write_sink, write_sized
 from .registry import RESTAURANTS, TICKETS, query, restaurants, sql_money, tickets
 
 
@@ -142,16 +145,23 @@ def multi_format_delivery(spark, sf_dir):
     )
 
 
-@query("multi_frame_delivery", """
-SELECT 'lineitem' AS name, COUNT(*) AS rows FROM lineitem UNION ALL SELECT 'part', COUNT(*) FROM part""")
+@query("multi_frame_delivery", f"""
+WITH {RESTAURANTS}, {TICKETS}
+SELECT 'restaurants' AS frame, restaurant_id AS id, name AS label, average_rating AS amount FROM restaurants UNION ALL
+SELECT 'tickets', order_id, CAST(line AS VARCHAR) || '/' || CAST(restaurant_id AS VARCHAR), amount FROM tickets""")
 def multi_frame_delivery(spark, sf_dir):
-    """Each frame keeps its own folder."""
-    frames = {"part": restaurants(spark, sf_dir), "lineitem": tickets(spark, sf_dir)}
+    """Each frame keeps its own folder; all their rows are read back."""
+    frames = {"restaurants": restaurants(spark, sf_dir), "tickets": tickets(spark, sf_dir)}
     paths = deliver_frames(frames, scratch_path(spark, "frames"))
+    read = {name: read_source(spark, "parquet", paths[name], schema=df.schema) for name, df in frames.items()}
+    labels = {
+        "restaurants": ("restaurant_id", F.col("name"), "average_rating"),
+        "tickets": ("order_id", F.concat_ws("/", F.col("line").cast("string"), F.col("restaurant_id").cast("string")), "amount"),
+    }
     return union_all(
         [
-            read_source(spark, "parquet", path).agg(F.lit(name).alias("name"), F.count("*").alias("rows"))
-            for name, path in paths.items()
+            read[name].select(F.lit(name).alias("frame"), F.col(key).alias("id"), label.alias("label"), F.col(amount).alias("amount"))
+            for name, (key, label, amount) in labels.items()
         ]
     )
 
@@ -176,6 +186,62 @@ def file_sizing(spark, sf_dir, share: int = 7):
     )
 
 
+@query("file_bytes", f"""
+WITH {TICKETS} SELECT COUNT(*) AS rows, {sql_money("amount")} AS revenue, true AS in_bounds FROM tickets""")
+def file_bytes(spark, sf_dir, least: int = 64 << 10, most: int = 1 << 20):
+    """Files between two sizes in bytes, whatever the number of rows."""
+    lines, path = tickets(spark, sf_dir), f"{scratch_path(spark, 'sized')}/tickets"
+    sizes = write_sized(lines, "parquet", path, least=least, most=most)
+    bounded = all(size <= most for size in sizes) and (len(sizes) == 1 or all(size >= least for size in sizes))
+    back = read_source(spark, "parquet", path, schema=lines.schema)
+    return back.agg(F.count("*").alias("rows"), money_sum(F.col("amount")).alias("revenue"), F.lit(bounded).alias("in_bounds"))
+
+
+@query("pruned_join", f"""
+WITH {TICKETS}, dated AS (SELECT *, CAST(100 * YEAR(order_date) + MONTH(order_date) AS INTEGER) AS month FROM tickets),
+months AS (SELECT month, COUNT(*) = MAX(COUNT(*)) OVER (PARTITION BY month // 100) AS busiest FROM dated GROUP BY month)
+SELECT month, COUNT(*) AS orders, {sql_money("amount")} AS revenue
+FROM dated JOIN months USING (month) WHERE busiest GROUP BY month""")
+def pruned_join(spark, sf_dir):
+    """The busiest month of each year, whose directories alone are read: which they are is known at run time only.
+
+    One partition column: of several, each would be pruned by its own values, not by their combinations.
+    """
+    month = (100 * F.year("order_date") + F.month("order_date")).alias("month")
+    dated = tickets(spark, sf_dir).select("order_id", "line", "amount", month)
+    path = write_sink(dated, "parquet", f"{scratch_path(spark, 'dated')}/tickets", partition_by=["month"])
+    lines = read_in_order(spark, path, dated.schema)
+    counts = lines.groupBy("month").agg(F.count("*").alias("n")).withColumn("year", F.expr("month div 100"))
+    # One row for each month.
+    months = stash(with_group_stats(counts, "year", {"most": F.max("n")}), "months")
+    grouped = join_dimension(lines, months.filter("n = most").select("month"), "month").groupBy("month")
+    return grouped.agg(F.count("*").alias("orders"), money_sum(F.col("amount")).alias("revenue"))
+
+
+@query("one_step_publication", f"""
+WITH {TICKETS}, years AS (SELECT CAST(YEAR(order_date) AS INTEGER) AS year, COUNT(*) AS orders, {sql_money("amount")} AS revenue
+                          FROM tickets GROUP BY 1), states AS (
+  SELECT 'first' AS state, * FROM years UNION ALL SELECT 'after a failed job', * FROM years UNION ALL
+  SELECT 'corrected year', year, orders, CASE WHEN year = 1999 THEN 2 * revenue ELSE revenue END FROM years)
+SELECT * FROM states""")
+def one_step_publication(spark, sf_dir):
+    """What readers see: after a first job, after one that fails its check, after one that replaces a partition."""
+    totals = tickets(spark, sf_dir).groupBy(F.year("order_date").alias("year")).agg(
+        F.count("*").alias("orders"), money_sum(F.col("amount")).alias("revenue")
+    )
+    path, seen = f"{scratch_path(spark, 'published')}/years", {}
+    publish(totals, path, partition_by=["year"], check=lambda df: enforce(df, min_rows(1), "years"))
+    seen["first"] = read_published(spark, path)
+    try:
+        publish(totals.withColumn("orders", F.lit(None).cast("bigint")), path, partition_by=["year"],
+                check=lambda df: enforce(df, no_nulls("orders"), "years"))
+    except QualityError:
+        seen["after a failed job"] = read_published(spark, path)
+    publish_partitions(totals.filter("year = 1999").withColumn("revenue", F.col("revenue") * 2), path, ["year"])
+    seen["corrected year"] = read_published(spark, path)
+    return union_all([df.select(F.lit(state).alias("state"), "year", "orders", "revenue") for state, df in seen.items()])
+
+
 @query("kpi_delivery", f"""
 WITH {RESTAURANTS}
 SELECT cuisine_type, COUNT(*) AS total, ROUND(CAST(SUM(CAST(average_rating AS DECIMAL(12,2))) AS DOUBLE) / COUNT(*), 2)
@@ -227,9 +293,9 @@ WITH {RESTAURANTS}
 SELECT city, COUNT(*) AS total FROM restaurants WHERE average_rating >= 950 GROUP BY city""")
 def views(spark, sf_dir):
     """A view on a view, both from SQL."""
-    restaurants(spark, sf_dir).createOrReplaceTempView("raw_places")
-    create_view(spark, "good_places", "SELECT * FROM raw_places WHERE average_rating >= 950")
-    return spark.sql("SELECT city, COUNT(*) AS total FROM good_places GROUP BY city")
+    good = "SELECT * FROM raw_places WHERE average_rating >= 950"
+    with views_of(spark, raw_places=restaurants(spark, sf_dir), good_places=good):
+        return spark.sql("SELECT city, COUNT(*) AS total FROM good_places GROUP BY city")
 
 
 @query("permanent_view", f"""
@@ -246,10 +312,8 @@ def permanent_view(spark, sf_dir):
 
 @query("global_view", f"WITH {RESTAURANTS} SELECT cuisine_type, COUNT(*) AS total FROM restaurants GROUP BY cuisine_type")
 def global_view(spark, sf_dir):
-    name = share_view(restaurants(spark, sf_dir), "shared_places")
-    other = spark.newSession()
-    counted = other.sql(f"SELECT cuisine_type, COUNT(*) AS total FROM {name} GROUP BY cuisine_type")
-    return counted
+    with shared_view(restaurants(spark, sf_dir), "shared_places") as name:
+        return spark.newSession().sql(f"SELECT cuisine_type, COUNT(*) AS total FROM {name} GROUP BY cuisine_type")
 
 
 @query("cache_sql", f"""
@@ -258,8 +322,7 @@ SELECT city, COUNT(*) AS total, MAX(average_rating) AS best,
        (SELECT COUNT(DISTINCT cuisine_type) FROM restaurants) AS cuisines FROM restaurants GROUP BY city""")
 def cache_sql(spark, sf_dir):
     """Two queries read the cached view before it is released."""
-    restaurants(spark, sf_dir).createOrReplaceTempView("cached_places")
-    with cached_table(spark, "cached_places"):
+    with views_of(spark, cached_places=restaurants(spark, sf_dir)), cached_table(spark, "cached_places"):
         cuisines = spark.sql("SELECT COUNT(DISTINCT cuisine_type) AS n FROM cached_places").first()["n"]
         by_city = stash(
             spark.sql("SELECT city, COUNT(*) AS total, MAX(average_rating) AS best FROM cached_places GROUP BY city")
@@ -297,3 +360,16 @@ def repartition_cache(spark, sf_dir):
         everything = held.agg(F.sum("orders").alias("n")).first()["n"]
         result = stash(held, "counted")
     return result.withColumn("all_orders", F.lit(everything).cast("bigint"))
+
+
+@query("few_partitions", f"""
+WITH {TICKETS}
+SELECT CAST(YEAR(order_date) AS INTEGER) AS year, CAST(MONTH(order_date) AS INTEGER) AS month, COUNT(*) AS orders, true AS few
+FROM tickets GROUP BY 1, 2""")
+def few_partitions_of_a_report(spark, sf_dir, partitions: int = 2):
+    """A small frame that is already computed is merged into few partitions without a shuffle."""
+    months = tickets(spark, sf_dir).groupBy(F.year("order_date").alias("year"), F.month("order_date").alias("month"))
+    computed = stash(months.agg(F.count("*").alias("orders")).repartition(8, "year", "month"), "months")
+    merged = fewer_partitions(computed, partitions).withColumn("part", F.spark_partition_id())
+    few = merged.agg(F.max("part")).first()[0]
+    return merged.withColumn("few", F.lit(few is None or few < partitions)).drop("part")

@@ -52,6 +52,33 @@ def share_view(df: DataFrame, name: str) -> str:
     return f"global_temp.{name}"
 
 
+@contextmanager
+def views_of(spark: SparkSession, **frames: DataFrame | str):
+    """Temporary views of frames or SQL, each on those before it, for as long as a block lasts.
+
+    Frames made from them stay valid afterwards.
+    """
+    try:
+        for name, given in frames.items():
+            if isinstance(given, str):
+                create_view(spark, name, given)
+            else:
+                given.createOrReplaceTempView(name)
+        yield
+    finally:
+        for name in reversed(frames):
+            spark.catalog.dropTempView(name)
+
+
+@contextmanager
+def shared_view(df: DataFrame, name: str):
+    """A view every session of the application sees while the block lasts."""
+    try:
+        yield share_view(df, name)
+    finally:
+        df.sparkSession.catalog.dropGlobalTempView(name)
+
+
 @contextmanager
 def cached_table(spark: SparkSession, name: str):
     spark.sql(f"CACHE TABLE {name}")

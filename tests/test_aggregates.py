@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from larder.functions.columns import money_avg
+from larder.functions.columns import money_avg, steady_avg
 from larder.operators import aggregates as a
 
 from .conftest import rows
@@ -103,3 +103,17 @@ def test_means_of_more_than_two_decimals(spark):
     df = spark.createDataFrame([("a", 0.004), ("a", 0.004), ("a", 0.014), ("b", float("nan")), ("c", None)], "g string, r double")
     out = {r["g"]: r["avg_rating"] for r in a.kpi_by(df, "g", F.col("r")).collect()}
     assert out["a"] == 0.01 and out["b"] != out["b"] and out["c"] is None
+
+
+def test_steady_mean_of_values_beyond_the_decimal(spark):
+    """Infinities and NaN act as in a plain mean, and a value too large for the decimal ends no job."""
+    inf, nan = float("inf"), float("nan")
+    given = {
+        "finite": [1.25, 2.5, None], "up": [inf, 1.0], "down": [-inf, 1.0, None], "both": [inf, -inf], "nan": [nan, inf],
+        "huge": [1e19, 3e19], "edge": [9.9e17, -9.9e17, 3.0], "none": [None], "huge and up": [1e300, inf],
+    }
+    df = spark.createDataFrame([(k, v) for k, values in given.items() for v in values], "k string, v double").repartition(3)
+    found = {r["k"]: r["m"] for r in df.groupBy("k").agg(steady_avg(F.col("v"), 3).alias("m")).collect()}
+    plain = {r["k"]: r["m"] for r in df.groupBy("k").agg(F.round(F.avg("v"), 3).alias("m")).collect()}
+    assert {k: str(v) for k, v in found.items()} == {k: str(v) for k, v in plain.items()}
+    assert found["up"] == inf and found["finite"] == 1.875 and found["huge"] == 2e19
