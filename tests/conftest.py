@@ -41,27 +41,23 @@ def folder(spark):
     return scratch_path(spark, "test")
 
 
-# A small seed with the edges that matter: equal group means, groups of two and of one, three
-# months.
+# One row for each edge; the comment says which. Groups have three, two and one members.
 RESTAURANTS = [
-    (1, "Olive Court", "Greek", "Porto", 4.6, 135, 1310.0),
-    (2, "Stack House", "Diner", "Porto", 3.6, 215, 905.0),
-    (3, "Koi Pond", "Thai", "Lagos", 4.8, 85, 1725.0),
-    (4, "Maize Corner", "Peruvian", "Lagos", 4.2, 160, 835.0),
-    (5, "Fig Garden", "Greek", "Oslo", 4.7, 95, 1290.0),
-    (6, "Smoke Shed", "Diner", "Oslo", 3.9, 310, 615.0),
-    (7, "Basil Lane", "Thai", "Porto", 4.4, 105, 1015.0),
-    (8, "Saffron Yard", "Persian", "Lagos", 4.65, 75, 1480.0),
+    (10, "ten", "grill", "Quito", 4.5, 40, 200.0),  # on the bound of the best label
+    (11, "eleven", "grill", "Quito", 4.49, 40, 0.0),  # just below it; as many monthly orders; never ordered from
+    (12, "twelve", "grill", "Turin", 1.0, 1, 15.5),  # the lowest rating; a second city in its group
+    (13, "thirteen", "vegan", "Turin", 4.0, 0, 99.99),  # on the bound of the second label; a weight of zero
+    (14, "fourteen", "vegan", "Turin", 5.0, 9900, 12345.67),  # the largest of every column
+    (15, "fifteen", "bakery", "Oulu", 3.99, 7, 70.0),  # alone in its group and city; never ordered from
 ]
 ORDERS = [
-    (1, 3, 61.2, "2023-01-09"), (2, 1, 38.4, "2023-01-12"),
-    (3, 5, 72.8, "2023-01-18"), (4, 2, 29.95, "2023-02-02"),
-    (5, 8, 84.15, "2023-01-27"), (6, 1, 93.6, "2023-02-14"),
-    (7, 4, 47.5, "2023-02-21"), (8, 7, 66.05, "2023-03-03"),
-    (9, 3, 88.7, "2023-03-09"), (10, 6, 35.2, "2023-02-25"),
-    (11, 2, 58.35, "2023-01-31"), (12, 5, 41.6, "2023-03-17"),
-    (13, 8, 77.9, "2023-02-08"), (14, 1, 52.45, "2023-03-22"),
-    (15, 4, 69.0, "2023-03-28"),
+    (100, 10, 10.1, "2021-12-31"),  # the last day of a year
+    (101, 10, 10.1, "2022-01-01"),  # the same amount a day and a year later
+    (102, 10, 0.01, "2022-01-01"),  # the least amount
+    (103, 14, 999.99, "2022-01-02"),  # a Sunday, the first weekday
+    (104, 14, 0.0, "2022-02-28"),  # nothing paid, yet an order
+    (105, 12, 55.55, "2021-12-31"),
+    (106, 13, 20.0, "2022-02-28"),  # the last day of a short month
 ]
 
 

@@ -1,3 +1,5 @@
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,21 +13,30 @@ def values(spark, kind, items, expression):
     return [r[0] for r in df.orderBy("id").select(expression(F.col("v"))).collect()]
 
 
-def test_phone_keeps_spaces(spark):
-    given = ["(20) 3127-5540", "+44 20 7946-0018", "20794600181", None]
-    assert values(spark, "string", given, c.clean_phone) == ["20 31275540", "44 20 79460018", "20794600181", None]
+SIGNS = "()-+"
+
+
+def with_signs():
+    """Every sign, and white space, at every place of a text; all of them at once; nothing but signs; empty; null."""
+    plain = "a1 b"
+    one = [plain[:i] + sign + plain[i:] for sign in SIGNS + "\t\n" for i in range(len(plain) + 1)]
+    return [*one, SIGNS.join(plain), SIGNS, "", None]
 
 
-def test_phone_without_spaces(spark):
-    given = ["(20) 3127-5540", "a\tb", None]
-    assert values(spark, "string", given, lambda v: c.clean_phone(v, keep_spaces=False)) == ["2031275540", "ab", None]
+@pytest.mark.parametrize("keep_spaces, gone", [(True, SIGNS), (False, "()- \t\n")])
+def test_phone_loses_its_signs_and_nothing_else(spark, keep_spaces, gone):
+    expected = [v and "".join(x for x in v if x not in gone) for v in with_signs()]
+    assert values(spark, "string", with_signs(), lambda v: c.clean_phone(v, keep_spaces=keep_spaces)) == expected
 
 
 def test_ladder_takes_the_first_bound_reached(spark):
+    """On each bound, just above and just below it."""
     label = lambda v: c.ladder(v, fixed.RATING_STEPS, fixed.RATING_REST)
-    assert values(spark, "double", [4.5, 4.0, 3.7, 1.0, None], label) == [
-        "Excellent", "Good", "Average", "Average", "Average",
-    ]
+    names = [name for _, name in fixed.RATING_STEPS] + [fixed.RATING_REST]
+    for i, (bound, name) in enumerate(fixed.RATING_STEPS):
+        near = [math.nextafter(bound, 9), bound, math.nextafter(bound, 0)]
+        assert values(spark, "double", near, label) == [name, name, names[i + 1]]
+    assert values(spark, "double", [math.inf, -math.inf, None], label) == [names[0], names[-1], names[-1]]
 
 
 def test_ladder_null_label_and_open_bounds(spark):
@@ -39,10 +50,12 @@ def test_float_ratings_are_cast_before_the_bounds(spark):
 
 
 def test_normalized(spark):
-    given = ["greek", "  thai ", None, "Peruvian"]
-    assert values(spark, "string", given, lambda v: c.normalized(v, fixed.CUISINE_DEFAULT)) == [
-        "GREEK", "THAI", "UNKNOWN", "PERUVIAN",
-    ]
+    """Any case and any blanks around a word come to one text; blanks inside stay; null has a default."""
+    given = [pad + word + end for word in ("x", "Xy Z", "\u00e9\u00df") for pad in ("", " ", "   ") for end in ("", "  ")]
+    expected = [word.strip().upper() for word in given]
+    normal = lambda v: c.normalized(v, fixed.CUISINE_DEFAULT)
+    assert values(spark, "string", given, normal) == expected
+    assert values(spark, "string", ["", "  ", None], normal) == ["", "", fixed.CUISINE_DEFAULT]
 
 
 def test_sentence_case_leaves_later_words_down(spark):

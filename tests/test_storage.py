@@ -29,11 +29,11 @@ def test_unknown_names_are_refused(spark, restaurants, folder):
 
 def test_partitioned_scan_prunes(spark, restaurants, folder):
     path = writers.write_sink(restaurants, "parquet", f"{folder}/by_city", partition_by=["city"])
-    scan = readers.read_source(spark, "parquet", path).filter("city = 'Lagos' AND average_rating > 4.5").select("name")
+    scan = readers.read_source(spark, "parquet", path).filter("city = 'Turin' AND average_rating > 4.5").select("name")
     plan = executed_plan(scan)
     assert "PartitionFilters: [isnotnull(city" in plan and "PushedFilters: [IsNotNull(average_rating)" in plan
     assert "ReadSchema: struct<name:string,average_rating:double>" in plan
-    assert rows(scan) == [("Koi Pond",), ("Saffron Yard",)]
+    assert rows(scan) == [("fourteen",)]
 
 
 def test_partition_values_keep_their_type(spark, folder):
@@ -64,7 +64,7 @@ def test_deliveries(spark, restaurants, folder):
     formats = writers.deliver_formats(restaurants, f"{folder}/formats", ("json", "parquet"))
     frames = writers.deliver_frames({"a": restaurants, "b": restaurants.limit(1)}, f"{folder}/frames")
     assert set(formats) == {"json", "parquet"} and spark.read.parquet(frames["b"]).count() == 1
-    assert spark.read.parquet(frames["a"]).count() == 8
+    assert spark.read.parquet(frames["a"]).count() == 6
 
 
 def test_compression_is_in_the_file_names(spark, restaurants, folder):
@@ -75,15 +75,15 @@ def test_compression_is_in_the_file_names(spark, restaurants, folder):
 def test_catalog(spark, restaurants, folder):
     database = catalog.create_database(spark, "larder_unit", folder)
     table = catalog.create_table(restaurants, database, "places", partition_by=["city"])
-    assert rows(catalog.list_partitions(spark, table)) == [("city=Lagos",), ("city=Oslo",), ("city=Porto",)]
+    assert rows(catalog.list_partitions(spark, table)) == [("city=Oulu",), ("city=Quito",), ("city=Turin",)]
     restaurants.limit(1).createOrReplaceTempView("places")  # must not shadow the table
-    assert readers.read_source(spark, "table", table).count() == 8
-    view = catalog.create_view(spark, f"{database}.good", f"SELECT * FROM {table} WHERE average_rating > 4.5", temporary=False)
-    assert spark.table(view).count() == 4
+    assert readers.read_source(spark, "table", table).count() == 6
+    view = catalog.create_view(spark, f"{database}.good", f"SELECT * FROM {table} WHERE average_rating >= 4.5", temporary=False)
+    assert spark.table(view).count() == 2
     with catalog.cached_table(spark, "places") as cached:
         assert spark.catalog.isCached("places") and cached.count() == 1
     assert not spark.catalog.isCached("places")
-    assert spark.newSession().table(catalog.share_view(restaurants, "unit_shared")).count() == 8
+    assert spark.newSession().table(catalog.share_view(restaurants, "unit_shared")).count() == 6
 
 
 def test_bucketed_tables_join_without_a_shuffle(spark, restaurants, orders, folder):
@@ -91,7 +91,7 @@ def test_bucketed_tables_join_without_a_shuffle(spark, restaurants, orders, fold
     left = catalog.create_bucketed_table(orders, database, "orders", "restaurant_id", 4)
     right = catalog.create_bucketed_table(restaurants, database, "places", "restaurant_id", 4)
     joined = spark.table(left).join(spark.table(right).hint("merge"), "restaurant_id")
-    assert "Exchange" not in executed_plan(joined) and joined.count() == 15
+    assert "Exchange" not in executed_plan(joined) and joined.count() == 7
 
 
 def test_kept_releases(spark):
