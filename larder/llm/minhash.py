@@ -12,15 +12,17 @@ shingle; without words the set is empty and linked with nothing). Documents are
 2. Equal sets collapse to one representative before anything is grouped.
 3. ``bands`` bands of ``rows`` coordinates make buckets. At similarity 0.8 and 32 bands of 4 a
    pair shares no bucket with probability 5e-8.
-4. Pairs of small buckets are verified on the full sets. In a bucket of over ``small`` members
-   each member first meets one random member (another one in each band), which joins nearly all
-   of a group of copies into one component. Members of such buckets that stay outside the
-   largest component of their family are then compared with the whole family in blocks of
-   bounded size, so no link is lost and no pairs are written out.
+4. Buckets are verified on the full sets in rounds that grow (``ROUNDS``). In each, every member of
+   a bucket meets one random member of it, unless the rounds before joined the two already; then the
+   components found are contracted. Last come the pairs of small buckets that are still apart. So
+   edges stay near the number of documents, however large and dense a group of copies is.
+5. Members of buckets of over ``small`` members that stay outside the largest component of their
+   family are compared with the whole family in blocks of bounded size, so no link is lost and no
+   pairs are written out.
 
 Elements are 64-bit hashes of shingles. Rows without a doc_id are linked with nothing and kept.
-Repeated rows get the same answer each; rows with equal ids and different texts are each judged
-by their own text.
+Repeated rows get the same answer each. Nodes are sets, not ids: rows with equal ids and different
+texts are each judged by their own text, and a component has the smallest doc_id of its rows as its name.
 """
 
 from __future__ import annotations
@@ -118,7 +120,14 @@ def band_keys(coordinates: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return folded.view(np.int64)
 
 
-SIGNED = "doc_id bigint, n_shingles bigint, set_key binary, elements binary, bands array<bigint>"
+SIGNED = "doc_id bigint, k1 bigint, k2 bigint, n_shingles bigint, set_key binary, elements binary, bands array<bigint>"
+# 128 bits of a text, as Spark computes them; with the doc_id they tell rows apart.
+TEXT_KEY = ["k1", "k2"]
+
+
+def with_text_key(docs: DataFrame) -> DataFrame:
+    text = text_of()
+    return docs.withColumns({"k1": F.xxhash64(text), "k2": F.xxhash64(F.lit(1), text)})
 
 
 def signed(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
@@ -135,17 +144,17 @@ def signed(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
             offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id"),
+                    *(batch.column(name) for name in ("doc_id", *TEXT_KEY)),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([d and xxhash.xxh3_128_digest(d) for d in data], pa.binary()),
                     pa.array(data, pa.binary()),
                     pa.ListArray.from_arrays(offsets, pa.array(keys.ravel(), pa.int64())),
                 ],
-                names=["doc_id", "n_shingles", "set_key", "elements", "bands"],
+                names=["doc_id", *TEXT_KEY, "n_shingles", "set_key", "elements", "bands"],
             )
 
     picked = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of().alias("text"))
-    return picked.mapInArrow(work, SIGNED)
+    return with_text_key(picked).select("doc_id", "text", *TEXT_KEY).mapInArrow(work, SIGNED)
 
 
 def linked(one: np.ndarray, two: np.ndarray, percent: int) -> bool:
@@ -156,7 +165,7 @@ def linked(one: np.ndarray, two: np.ndarray, percent: int) -> bool:
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` whose full sets are similar enough."""
+    """The pairs ``(a, b, ...)`` whose full sets are similar enough; ``sets`` has one row for each node, its doc_id."""
 
     @F.pandas_udf("boolean")
     def similar(one: pd.Series, two: pd.Series) -> pd.Series:
@@ -164,7 +173,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     first = sets.select(F.col("doc_id").alias("a"), F.col("elements").alias("elements_a"))
     second = sets.select(F.col("doc_id").alias("b"), F.col("elements").alias("elements_b"))
-    return pairs.join(first, "a").join(second, "b").where(similar("elements_a", "elements_b")).select("a", "b")
+    return pairs.join(first, "a").join(second, "b").where(similar("elements_a", "elements_b")).select(*pairs.columns)
 
 
 def components(edges: DataFrame, name: str) -> DataFrame:
@@ -196,6 +205,65 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     return now.frame.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(own)
 
 
+# Buckets are dealt to this many parts; each round takes so many more of them than the one before.
+PARTS = 32
+ROUNDS = ((0, 1), (1, 4), (4, PARTS))
+
+
+def with_component(frame: DataFrame, known: DataFrame | None, node: str, name: str) -> DataFrame:
+    """Add the component of a node; a node that no round has linked is its own."""
+    if known is None:
+        return frame.withColumn(name, F.col(node))
+    joined = frame.join(known.select(F.col("node").alias(node), F.col("component").alias(name)), node, "left")
+    return joined.withColumn(name, F.coalesce(name, node))
+
+
+def grown(known: DataFrame | None, pairs: DataFrame, verify: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
+    """``known (node, component)`` after the links among ``pairs (a, b, component_a, component_b)``."""
+    links = verify(pairs).select(F.col("component_a").alias("a"), F.col("component_b").alias("b")).distinct()
+    step = components(written(links, f"{name}-links"), name)
+    if known is None:
+        return written(step, f"{name}-known")
+    to = step.select(F.col("node").alias("component"), F.col("component").alias("to"))
+    moved = known.join(to, "component", "left").select("node", F.coalesce("to", "component").alias("component"))
+    new = step.join(known, "node", "left_anti").select("node", "component")
+    return written(moved.unionByName(new), f"{name}-known")
+
+
+def star_rounds(shared: DataFrame, verify: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
+    """``(node, component)`` by links of members of buckets with their pivots.
+
+    ``shared``: ``node, bucket, members, pivot``. Rounds take more and more buckets, and only members that
+    are not in the component of their pivot yet.
+    """
+    known, part = None, F.pmod(F.xxhash64("bucket"), F.lit(PARTS))
+    for first, last in ROUNDS:
+        stars = shared.where((F.col("node") != F.col("pivot")) & part.between(first, last - 1))
+        stars = stars.select(F.col("node").alias("a"), F.col("pivot").alias("b"))
+        stars = with_component(with_component(stars, known, "a", "component_a"), known, "b", "component_b")
+        stars = stars.where("component_a != component_b").distinct()
+        known = grown(known, written(stars, f"{name}-stars"), verify, name)
+    return known
+
+
+def bucket_links(
+    shared: DataFrame, small: int, alike: str, verify: Callable[[DataFrame], DataFrame], name: str
+) -> DataFrame:
+    """``(node, component)`` by all links of members with pivots, and of members of small buckets with each other.
+
+    ``alike`` is a condition on the columns of ``shared`` of both sides, the second's ending in ``_b``.
+    """
+    known = star_rounds(shared, verify, name)
+    few = with_component(shared.where(f"members between 3 and {small}"), known, "node", "component")
+    other = few.toDF(*[f"{c}_b" for c in few.columns])
+    met = few.join(other, F.expr(f"bucket = bucket_b and node < node_b and component != component_b and ({alike})"))
+    pairs = met.select(
+        F.col("node").alias("a"), F.col("node_b").alias("b"),
+        F.col("component").alias("component_a"), F.col("component_b"),
+    ).distinct()
+    return grown(known, written(pairs, f"{name}-pairs"), verify, name)
+
+
 BLOCK_MEMBERS, BLOCK_RESTS, VOCABULARY_SLICE = 512, 128, 8192
 
 
@@ -225,14 +293,14 @@ def block_links(rest: list[np.ndarray], members: list[np.ndarray], percent: int)
 
 
 def family_links(
-    crowds: DataFrame, component: DataFrame, items: DataFrame, compare_blocks: Callable[[list, list], np.ndarray]
+    many: DataFrame, component: DataFrame, items: DataFrame, compare_blocks: Callable[[list, list], np.ndarray]
 ) -> DataFrame:
     """Links of members of large buckets that lie outside their family's largest component.
 
-    ``crowds``: edges ``(a, b)`` from each member of a large bucket to the bucket's pivot. ``items
+    ``many``: the members of large buckets with their pivots; buckets with a common member are a family. ``items
     (doc_id, elements)`` holds what ``compare_blocks`` judges: all of one list against all of another.
     """
-    family = components(crowds, "families").select("node", F.col("component").alias("family"))
+    family = star_rounds(many, lambda pairs: pairs, "families").select("node", F.col("component").alias("family"))
     placed = written(
         family.join(component, "node", "left").select(
             "node", "family", F.coalesce("component", "node").alias("component")
@@ -290,15 +358,18 @@ def only_of(sets: DataFrame, pairs: DataFrame, most: int = MOST_COPIED_IDS) -> D
 def near_duplicates(
     docs: DataFrame, words: int = 5, percent: int = 80, bands: int = 32, rows: int = 4, small: int = 32
 ) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` for each row of ``docs (doc_id, text)``."""
-    base = Written(signed(docs, words, bands, rows), "sets")
+    """``doc_id, k1, k2, n_shingles, component_id, kept`` for each row of ``docs (doc_id, text)``; k1 and k2 are
+    a key of the text."""
+    base = Written(signed(docs, words, bands, rows).withColumn("row", F.monotonically_increasing_id()), "sets")
     sets = base.frame.where("doc_id is not null and set_key is not null")
+    # The node of a set is the number, as written, of one row that holds it.
+    first = F.min(F.struct("doc_id", "row"))
     own = written(
         sets.groupBy("set_key").agg(
-            F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")
-        ),
+            first.alias("first"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")
+        ).select("set_key", F.col("first.row").alias("node"), F.col("first.doc_id").alias("name"), "n", "bands"),
         "representatives",
-    )
+    )
     entries = own.select("node", "n", F.explode("bands").alias("bucket")).repartition("bucket")
     # XOR with the bucket's key makes the minimum a random member, another one in each band.
     buckets = entries.groupBy("bucket").agg(
@@ -306,30 +377,32 @@ def near_duplicates(
     )
     buckets = buckets.where("members > 1").select("bucket", "members", F.expr("pivot ^ bucket").alias("pivot"))
     shared = Written(entries.join(buckets, "bucket"), "buckets")
-    few, many = shared.frame.where(F.col("members") <= small), shared.frame.where(F.col("members") > small)
-    other = few.select("bucket", F.col("node").alias("b"), F.col("n").alias("n_b"))
-    pairs = few.select("bucket", F.col("node").alias("a"), F.col("n").alias("n_a")).join(other, "bucket")
-    pairs = pairs.where(f"a < b and {percent} * greatest(n_a, n_b) <= 100 * least(n_a, n_b)").select("a", "b")
-    crowds = many.where("node != pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
-    stars = crowds.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    pairs = written(pairs.unionByName(stars).distinct(), "pairs")
-    sets = only_of(sets, pairs)
-    links = written(verified(pairs, sets, percent), "links")
-    first = components(links, "components")
-
-    def compare_sets(left: list, right: list) -> np.ndarray:
-        return block_links(list(map(unpacked, left)), list(map(unpacked, right)), percent)
-
-    more = written(family_links(crowds, first, sets, compare_sets), "family-links")
-    stars = first.select(F.col("node").alias("a"), F.col("component").alias("b"))
-    final = components(stars.unionByName(more), "components")
-    named = own.select("set_key", "node").join(final, "node", "left")
-    named = named.select("set_key", F.coalesce("component", "node").alias("component"))
-    own_rows = base.frame.select("doc_id", "n_shingles", "set_key")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
+    items = sets.select(F.col("row").alias("doc_id"), "elements")
+
+    def verify(pairs: DataFrame) -> DataFrame:
+        return verified(pairs, only_of(items, pairs), percent)
+
+    alike = f"{percent} * greatest(n, n_b) <= 100 * least(n, n_b)"
+    final = bucket_links(shared.frame, small, alike, verify, "components")
+    many = shared.frame.where(F.col("members") > small)
+    if not many.isEmpty():
+
+        def compare_sets(left: list, right: list) -> np.ndarray:
+            return block_links(list(map(unpacked, left)), list(map(unpacked, right)), percent)
+
+        more = written(family_links(many, final, items, compare_sets), "family-links")
+        stars = final.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        final = components(stars.unionByName(more), "components")
+    named = own.select("set_key", "node", "name").join(final, "node", "left")
+    named = written(named.select("set_key", "name", F.coalesce("component", "node").alias("component")), "named-sets")
+    names = named.groupBy("component").agg(F.min("name").alias("component_id"))
+    named = named.join(names, "component").select("set_key", "component_id")
+    own_rows = base.frame.select("doc_id", *TEXT_KEY, "n_shingles", "set_key")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     result = written(
         own_rows.join(named, "set_key", "left").select(
             "doc_id",
+            *TEXT_KEY,
             "n_shingles",
             component.alias("component_id"),
             F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
@@ -342,7 +415,13 @@ def near_duplicates(
 
 
 def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """The documents that stay: of each group the one with the smallest doc_id, repeated rows once."""
-    gone = near_duplicates(docs, words, percent).where("not kept").select(F.col("doc_id").alias("gone_id")).distinct()
-    left = docs.join(gone, F.col("doc_id") == F.col("gone_id"), "left_anti")
-    return left.dropDuplicates()
+    """The documents that stay: of each group the one with the smallest doc_id, repeated rows once.
+
+    Of rows with one id and different texts each stays or goes by its own text.
+    """
+    gone = near_duplicates(docs, words, percent).where("not kept").select(
+        F.col("doc_id").alias("gone_id"), *[F.col(k).alias(f"gone_{k}") for k in TEXT_KEY]
+    ).distinct()
+    keyed = docs.withColumn("gone_key", F.struct(F.xxhash64(text_of()).alias("k1"), F.xxhash64(F.lit(1), text_of()).alias("k2")))
+    same = (F.col("doc_id") == F.col("gone_id")) & (F.col("gone_key.k1") == F.col("gone_k1")) & (F.col("gone_key.k2") == F.col("gone_k2"))
+    return keyed.join(gone, same, "left_anti").drop("gone_key").dropDuplicates()

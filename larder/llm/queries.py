@@ -51,7 +51,8 @@ SQL_LOWER = "translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdef
 )
 def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents by two-word shingles."""
-    return minhash.near_duplicates(read(spark, sf_dir, "documents"), words=2, percent=80)
+    found = minhash.near_duplicates(read(spark, sf_dir, "documents"), words=2, percent=80)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 @query("op2_toxicity")

@@ -99,6 +99,48 @@ def test_odd_documents(odd_documents, no_documents):
     assert sorted(r.doc_id or 0 for r in stay.collect()) == [0, 1, 2, 3, 4, 5, 6]
 
 
+def test_one_id_with_two_texts(spark):
+    """Links follow texts: a row is not dragged along by another row of its id."""
+    text = " ".join(f"w{i}" for i in range(40))
+    given = [(1, text), (5, text + " more"), (5, "a text of its own entirely"), (7, "a text of its own entirely"), (9, text)]
+    docs = spark.createDataFrame(given, "doc_id bigint, text string")
+    found = {(r.doc_id, r.n_shingles): r.component_id for r in m.near_duplicates(docs, words=5).collect()}
+    assert found == {(1, 36): 1, (5, 37): 1, (5, 2): 5, (7, 2): 5, (9, 36): 1}
+    assert sorted(tuple(r) for r in m.one_of_each(docs).collect()) == [(1, text), (5, "a text of its own entirely")]
+
+
+def test_copies_are_verified_once(spark, monkeypatch):
+    """400 rows of each of two linked texts: one pair of sets is compared."""
+    text = " ".join(f"w{i}" for i in range(60))
+    given = [(i, text) for i in range(400)] + [(400 + i, text + " end") for i in range(400)] + [(7, text)] * 5
+    compared, verified = [], m.verified
+
+    def spy(pairs, sets, percent):
+        found = verified(pairs, sets, percent)
+        compared.append((pairs.count(), found.count()))
+        return found
+
+    monkeypatch.setattr(m, "verified", spy)
+    rows = m.near_duplicates(spark.createDataFrame(given, "doc_id bigint, text string"), words=2).collect()
+    assert len(rows) == 805 and {r.component_id for r in rows} == {0}
+    assert sum(p for p, _ in compared) == sum(f for _, f in compared) == 1
+
+
+def test_edges_stay_near_the_number_of_documents(spark, monkeypatch):
+    """A dense group gives one edge a document and round, not one a band or pair."""
+    texts = dict(enumerate(family(9, 400, 3), start=1))
+    edges, real = [], m.components
+
+    def spy(frame, name):
+        edges.append(frame.count())
+        return real(frame, name)
+
+    monkeypatch.setattr(m, "components", spy)
+    found = m.near_duplicates(spark.createDataFrame(list(texts.items()), "doc_id bigint, text string"), words=2, small=8)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found.collect()} == brute(texts, 2)
+    assert max(edges) <= 2 * len(texts)
+
+
 def test_query(spark, small_dir, documents):
     texts = {r.doc_id: r.text for r in documents.collect()}
     found = {r.doc_id: (r.n_shingles, r.component_id) for r in queries.QUERIES["op3_near_duplicates"](spark, small_dir).collect()}
