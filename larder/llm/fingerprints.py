@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Written, strings, text_of, written
-from .minhash import ODD, components, family_links, mixed
+from .minhash import ODD, bucket_links, components, family_links, mixed
 
 SAMPLES = 128
 LETTERS = 1024
@@ -216,12 +216,13 @@ def with_next(docs: DataFrame) -> DataFrame:
     picked = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of().alias("text"))
     ordered = picked.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     base = written(ordered.mapInArrow(work, f"{RESULT}, part int, head string, tail string"), "fingerprints")
-    # One row for each partition.
-    parts = Window.orderBy("part")
-    first = F.first("head").over(parts.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    edges = base.where("part is not null").select(
-        "doc_id", F.col("tail").alias("text"), F.coalesce(F.lead("head").over(parts), first).alias("following")
-    )
+    # Only the numbers of the partitions meet in one task; the texts are joined by number.
+    borders, order = base.where("part is not null"), Window.orderBy("part")
+    first = F.first("part").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    chain = borders.select("part", F.coalesce(F.lead("part").over(order), first).alias("next"))
+    heads = borders.select(F.col("part").alias("next"), F.col("head").alias("following"))
+    edges = borders.select("doc_id", "part", F.col("tail").alias("text")).join(chain, "part").join(heads, "next")
+    edges = edges.select("doc_id", "text", "following")
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -258,12 +259,19 @@ def places(count: int, least: float, bands: int, width: int) -> tuple[np.ndarray
     return np.concatenate(salts).astype(np.uint64), np.concatenate(rows)
 
 
-def bucket_keys(fingerprint: str, least: float, bands: int, width: int) -> np.ndarray:
-    """The keys of a fingerprint's bands.
+# Samples that a short signature holds, and how many of its bits may differ: a pair at the bound of 0.8 differs in a tenth
+# of them, and passes with a probability above 0.9999; unrelated texts differ in over two fifths.
+SHORT = 128
+MOST_DIFFERING, SLACK = 0.22, 2
+
+
+def bucket_keys(fingerprint: str, least: float, bands: int, width: int) -> list[tuple[int, int, int, int]]:
+    """The keys of a fingerprint's bands, each with the short signature of the samples it was drawn from.
 
     They are drawn at the coarsest level at which ``SAMPLES // 2`` samples are left, whatever the
     fingerprint's own level; and at the next coarser one too, if a text that is ``least`` alike
-    could have as many samples there.
+    could have as many samples there. A signature is a bit of each of the first ``SHORT`` samples, as two
+    numbers, and how many there are.
     """
     level = int(fingerprint.partition(":")[0])
     values, found = at_level(fingerprint, level), []
@@ -277,56 +285,136 @@ def bucket_keys(fingerprint: str, least: float, bands: int, width: int) -> np.nd
         keys = mixed(salts * ODD + np.uint64(at))
         for column in letters[spots].T:
             keys = mixed(keys * ODD + column)
-        found.append(keys)
-    return np.concatenate(found).view(np.int64) if found else np.zeros(0, np.int64)
+        low, high, count = signature(seen)
+        found += [(key, low, high, count) for key in keys.view(np.int64).tolist()]
+    return found
+
 
+def signature(samples: np.ndarray) -> tuple[int, int, int]:
+    """One hashed bit of each sample, so that unlike letters agree in half of the cases."""
+    samples = samples[:SHORT]
+    bits = np.zeros(SHORT, np.uint8)
+    bits[: len(samples)] = sample_bits()[samples]
+    low, high = np.packbits(bits, bitorder="little").view("<i8").tolist()
+    return low, high, len(samples)
 
-def near_groups(prints: DataFrame, least: float = 0.8, bands: int = 32, width: int = 7, small: int = 32) -> DataFrame:
+
+@lru_cache(1)
+def sample_bits() -> np.ndarray:
+    """A bit for each of the sixteen digits, as many of either kind."""
+    bits = np.zeros(256, np.uint8)
+    bits[np.frombuffer(b"0123456789abcdef", np.uint8)] = np.random.default_rng(23).permutation(np.arange(16) % 2)
+    return bits
+
+
+def signatures_alike(one: str, two: str) -> str:
+    """The condition, in Spark's terms, that two short signatures differ in few of the bits that both have."""
+    shared = f"least(count{one}, count{two})"
+    mask = "CASE WHEN {n} >= 64 THEN -1L ELSE shiftleft(1L, cast(greatest({n}, 0) as int)) - 1L END"
+    low = f"bit_count((low{one} ^ low{two}) & ({mask.format(n=shared)}))"
+    high = f"bit_count((high{one} ^ high{two}) & ({mask.format(n=f'({shared} - 64)')}))"
+    return f"{low} + {high} <= {MOST_DIFFERING} * {shared} + {SLACK}"
+
+
+# Prints up to which the narrowest bands are wide enough; a further sample in a band parts chance pairs about this many times.
+FEW_PRINTS, PARTED = 250_000, 7
+BAND_MISSED = 5e-4
+
+
+def banding(prints: int, least: float) -> tuple[int, int]:
+    """Bands and their width: wide enough that chance pairs of a print stay few however many prints there are, and so many
+    that a pair at the bound shares none with probability ``BAND_MISSED``."""
+    width = 7 + max(0, math.ceil(math.log(max(prints, 1) / FEW_PRINTS, PARTED)))
+    return math.ceil(math.log(BAND_MISSED) / math.log1p(-(least**width))), width
+
+
+def like_blocks(left: list[str], right: list[str], least: float) -> np.ndarray:
+    """Which of ``left`` (rows) are like which of ``right`` (columns); a row of pairs at a time."""
+    own = [np.array([int(p.partition(":")[0]) for p in group]) for group in (left, right)]
+    grids = {}
+    for level in np.unique(np.concatenate(own)).tolist():
+        for side, group in enumerate((left, right)):
+            rows = np.flatnonzero(own[side] <= level)
+            samples = [at_level(group[i], level) for i in rows]
+            sizes = np.array([len(s) for s in samples], np.int64)
+            # Different filling, so that what is missing never agrees.
+            grid = np.full((len(rows), max(sizes, default=0)), side, np.uint8)
+            for row, values in enumerate(samples):
+                grid[row, : len(values)] = values
+            grids[level, side] = {int(i): k for k, i in enumerate(rows)}, grid, sizes
+    hits = np.zeros((len(left), len(right)), bool)
+    for i, fingerprint in enumerate(left):
+        for level in np.unique(np.maximum(own[1], own[0][i])).tolist():
+            columns = np.flatnonzero(np.maximum(own[1], own[0][i]) == level)
+            at, grid, sizes = grids[level, 0]
+            place, others, lengths = grids[level, 1]
+            rows = np.array([place[int(j)] for j in columns])
+            wide = min(grid.shape[1], others.shape[1])
+            agree = (others[rows, :wide] == grid[at[i], :wide]).sum(axis=1)
+            most = np.maximum(lengths[rows], sizes[at[i]])
+            hits[i, columns] = agree >= least * np.maximum(most, 1)
+        hits[i] |= np.array([fingerprint == other for other in right])
+    return hits
+
+
+def near_groups(
+    prints: DataFrame, least: float = 0.8, bands: int | None = None, width: int | None = None, small: int = 32
+) -> DataFrame:
     """``prints (doc_id, fingerprint, ...)`` with ``group_id``: the smallest doc_id reached by links.
 
     Equal fingerprints collapse first. Candidates agree on one of ``bands`` or more bands of ``width``
-    samples, which are drawn from the whole of a fingerprint and at a level that does not end at a
-    length (``bucket_keys``), so neither one edit nor a length boundary spoils them all.
-    Candidates are verified by the likeness of the whole fingerprints: all pairs of a bucket of up to
-    ``small``; in a larger one each member and the bucket's pivot, and what stays outside the
-    largest component against its whole family in blocks. Rows without a doc_id are in no group.
+    samples (``banding``), which are drawn from the whole of a fingerprint and at a level that does not end at a
+    length (``bucket_keys``), so neither one edit nor a length boundary spoils them all; and their short
+    signatures differ little, so that chance pairs end before any print is fetched.
+    Candidates are verified by the likeness of the whole fingerprints, in rounds (``bucket_links``); what stays
+    outside the largest component of a family of large buckets is compared with the whole family in blocks.
+    Rows without a doc_id are in no group.
     """
-    own = Written(prints.where("doc_id is not null").groupBy("fingerprint").agg(F.min("doc_id").alias("node")), "prints")
+    own = Written(prints.where("doc_id is not null").groupBy("fingerprint").agg(F.min("doc_id").alias("name")).withColumn(
+        "node", F.monotonically_increasing_id()
+    ), "prints")
+    if bands is None or width is None:
+        bands, width = banding(own.frame.count(), least)
 
-    @F.pandas_udf("array<bigint>")
+    @F.pandas_udf("array<struct<bucket bigint, low bigint, high bigint, count bigint>>")
     def drawn(values: pd.Series) -> pd.Series:
         return pd.Series([bucket_keys(v, least, bands, width) for v in values], dtype=object)
 
-    entries = own.frame.select("node", F.explode(drawn("fingerprint")).alias("bucket"))
+    entries = own.frame.select("node", F.explode(drawn("fingerprint")).alias("entry")).select("node", "entry.*")
     entries = entries.repartition("bucket")
     buckets = entries.groupBy("bucket").agg(
         F.count("*").alias("members"), F.min(F.expr("node ^ bucket")).alias("pivot")
     )
     buckets = buckets.where("members > 1").select("bucket", "members", F.expr("pivot ^ bucket").alias("pivot"))
     shared = Written(entries.join(buckets, "bucket"), "print-buckets")
-    few, many = shared.frame.where(F.col("members") <= small), shared.frame.where(F.col("members") > small)
-    other = few.select("bucket", F.col("node").alias("b"))
-    pairs = few.select("bucket", F.col("node").alias("a")).join(other, "bucket").where("a < b").select("a", "b")
-    crowds = many.where("node != pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
-    stars = crowds.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    items = own.frame.select(F.col("node").alias("doc_id"), F.col("fingerprint").alias("elements"))
 
     @F.pandas_udf("boolean")
     def like(one: pd.Series, two: pd.Series) -> pd.Series:
         return pd.Series([likeness(a, b) >= least for a, b in zip(one, two, strict=True)], dtype=bool)
 
-    def compare(left: list, right: list) -> np.ndarray:
-        return np.array([[likeness(a, b) >= least for b in right] for a in left])
+    def verify(pairs: DataFrame) -> DataFrame:
+        one = items.select(F.col("doc_id").alias("a"), F.col("elements").alias("print_a"))
+        two = items.select(F.col("doc_id").alias("b"), F.col("elements").alias("print_b"))
+        return pairs.join(one, "a").join(two, "b").where(like("print_a", "print_b")).select(*pairs.columns)
 
-    items = own.frame.select(F.col("node").alias("doc_id"), F.col("fingerprint").alias("elements"))
-    one = items.select(F.col("doc_id").alias("a"), F.col("elements").alias("print_a"))
-    two = items.select(F.col("doc_id").alias("b"), F.col("elements").alias("print_b"))
-    met = pairs.unionByName(stars).distinct().join(one, "a").join(two, "b")
-    first = components(written(met.where(like("print_a", "print_b")).select("a", "b"), "print-links"), "print-groups")
-    more = written(family_links(crowds, first, items, compare), "print-family-links")
-    final = components(first.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more), "print-groups")
+    final = bucket_links(shared.frame, small, signatures_alike("", "_b"), verify, "print-groups")
+    many = shared.frame.where(F.col("members") > small)
+    if not many.isEmpty():
+
+        def compare(left: list, right: list) -> np.ndarray:
+            return like_blocks(left, right, least)
+
+        more = written(family_links(many, final, items, compare), "print-family-links")
+        final = components(final.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more), "print-groups")
     # A print of its own that is linked with nothing is its own group.
-    joined = own.frame.join(final, "node", "left").select("fingerprint", "node", F.coalesce("component", "node").alias("group_id"))
-    groups = written(joined, "print-group-ids")
-    found = prints.join(groups.select("fingerprint", "group_id"), "fingerprint", "left")
+    joined = own.frame.join(final, "node", "left").withColumn("group", F.coalesce("component", "node"))
+    joined = written(joined.select("fingerprint", "name", "group"), "print-group-ids")
+    names = joined.groupBy("group").agg(F.min("name").alias("group_id"))
+    groups = joined.join(names, "group").select("fingerprint", "group_id")
+    found = prints.drop("group_id").join(groups, "fingerprint", "left")
     group = F.when(F.col("doc_id").isNotNull(), F.col("group_id")).alias("group_id")
-    return found.select(*[c for c in prints.columns if c != "group_id"], group)
+    result = written(found.select(*[c for c in prints.columns if c != "group_id"], group), "near-prints")
+    own.drop()
+    shared.drop()
+    return result
