@@ -10,6 +10,11 @@ every document. Surrogates that two entities share, or that equal an original en
 again with the next attempt for all but the smallest, until none is left, so distinct entities stay
 distinct.
 
+Numbers with the same kept digits and length share one space. Where entities fill over a ``CROWDED``-th of theirs,
+draws would meet each other too often (or for ever), so a keyed permutation of the whole space takes their
+place: distinct by construction, in one step, and never the number itself, but a surrogate there may
+be another entity's original.
+
 Texts without entities are not shuffled. Others meet their surrogates by ``(doc_id, hash of text)``.
 
 Defined cases: null texts stay null and empty texts empty; repeated rows are changed alike; null ids
@@ -124,6 +129,65 @@ def surrogate(key: str, kind: Column, canonical: Column, gender: Column, attempt
     )
 
 
+# Entities times this above the numbers there are: the space is crowded.
+CROWDED = 4
+TURNS = 8
+
+
+def kept_digits(kind: Column, canonical: Column) -> Column:
+    """How many leading digits of a number its surrogate keeps; null for entities that are not numbers."""
+    size = F.length(canonical)
+    return (
+        F.when(kind == "phone", F.greatest(F.lit(1), size - 7)).when(kind == "card", 1).when(kind == "social", 0)
+    )
+
+
+def permuted(key: str, kind: Column, canonical: Column, kept: Column) -> Column:
+    """Another number with the same leading digits, by a keyed permutation without fixed points.
+
+    A Feistel network over the two halves of the changed digits permutes them; one step on in its order, and
+    back, is a permutation that leaves nothing where it was.
+    """
+    size = F.length(canonical)
+    changed, prefix = size - kept, F.substr(canonical, F.lit(1), kept)
+    high, low = (F.pow(F.lit(10), d).cast("bigint") for d in (F.floor(changed / 2), changed - F.floor(changed / 2)))
+    number = F.substr(canonical, kept + 1, changed).cast("bigint")
+
+    def mixed(turn: Column, half: Column) -> Column:
+        parts = [F.lit(key), kind, prefix, size.cast("string"), turn.cast("string"), half.cast("string")]
+        return F.conv(F.substring(F.sha2(F.concat_ws("\x1f", *parts), 256), 1, 14), 16, 10).cast("bigint")
+
+    def turned(sign: int):
+        def turn(halves: Column, i: Column) -> Column:
+            upper = i % 2 == 0
+            a = F.when(upper, F.pmod(halves["a"] + sign * mixed(i, halves["b"]), high)).otherwise(halves["a"])
+            b = F.when(upper, halves["b"]).otherwise(F.pmod(halves["b"] + sign * mixed(i, halves["a"]), low))
+            return F.struct(a.alias("a"), b.alias("b"))
+
+        return turn
+
+    def halves_of(value: Column) -> Column:
+        return F.struct(F.floor(value / low).cast("bigint").alias("a"), (value % low).alias("b"))
+
+    there = F.aggregate(F.sequence(F.lit(0), F.lit(TURNS - 1)), halves_of(number), turned(1), lambda h: h["a"] * low + h["b"])
+    back = F.aggregate(
+        F.sequence(F.lit(TURNS - 1), F.lit(0)), halves_of((there + 1) % (high * low)), turned(-1), lambda h: h["a"] * low + h["b"]
+    )
+    return F.concat(prefix, F.lpad(back.cast("string"), changed, "0"))
+
+
+def in_crowds(entities: DataFrame, key: str) -> DataFrame:
+    """``kind, canonical, new`` of the entities whose space is crowded."""
+    kept = kept_digits(F.col("kind"), F.col("canonical"))
+    numbers = entities.withColumn("kept", kept).where("kept is not null and length(canonical) - kept between 1 and 15")
+    numbers = numbers.withColumns({"size": F.length("canonical"), "prefix": F.expr("substr(canonical, 1, kept)")})
+    space = ["kind", "size", "prefix"]
+    crowds = numbers.groupBy(*space).agg(F.count("*").alias("n"), F.first("kept").alias("k"))
+    crowds = crowds.where(F.col("n") * CROWDED > F.pow(F.lit(10), F.col("size") - F.col("k"))).select(*space)
+    new = permuted(key, F.col("kind"), F.col("canonical"), F.col("kept"))
+    return numbers.join(crowds, space).select("kind", "canonical", new.alias("new"))
+
+
 def shown(kind: Column, value: Column, new: Column) -> Column:
     """A surrogate in the original's format."""
 
@@ -147,8 +211,9 @@ def surrogates(values: DataFrame, key: str) -> DataFrame:
     entities = named.groupBy("kind", "canonical").agg(F.min("gender").alias("gender"))
     own = written(entities, "entities")
     columns = ["kind", "canonical", "gender"]
-    open_, settled, attempt = own, None, 0
-    while True:
+    settled, attempt = written(in_crowds(own, key), "surrogates"), 0
+    open_ = own.join(settled, ["kind", "canonical"], "left_anti").select(*columns)
+    while not open_.isEmpty():
         drawn = open_.withColumn(
             "new", surrogate(key, F.col("kind"), F.col("canonical"), F.col("gender"), F.lit(attempt))
         )
@@ -157,13 +222,10 @@ def surrogates(values: DataFrame, key: str) -> DataFrame:
         winners = drawn.groupBy("kind", "new").agg(F.min("canonical").alias("canonical"))
         originals = own.select("kind", F.col("canonical").alias("new"))
         winners = winners.join(originals, ["kind", "new"], "left_anti")
-        if settled is not None:
-            winners = winners.join(settled.select("kind", "new"), ["kind", "new"], "left_anti")
+        winners = winners.join(settled.select("kind", "new"), ["kind", "new"], "left_anti")
         now = written(winners.select("kind", "canonical", "new"), "surrogates")
-        settled = now if settled is None else settled.unionByName(now)
+        settled = settled.unionByName(now)
         open_ = written(open_.join(now, ["kind", "canonical"], "left_anti").select(*columns), "open-entities")
-        if open_.isEmpty():
-            break
         attempt += 1
     found = named.join(settled, ["kind", "canonical"])
     return found.select("value", shown(F.col("kind"), F.col("value"), F.col("new")).alias("replacement"))

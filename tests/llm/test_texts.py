@@ -215,6 +215,32 @@ def test_surrogates_of_distinct_entities_are_distinct(spark):
     assert not {r.replacement for r in rows} & set(values + phones)
 
 
+def test_surrogates_in_a_crowded_space(spark):
+    """6,000 of the 10,000 numbers there are, all 1,000 of another length, and one digit to change."""
+    crowd = [f"+1{i:04d}" for i in range(6000)]
+    frame = spark.createDataFrame([(v, "phone", v[1:]) for v in crowd], "value string, kind string, canonical string")
+    found = {r.canonical: r.new for r in pii.in_crowds(frame, "k").collect()}
+    assert len(found) == len(set(found.values())) == 6000
+    assert all(new != old and new[0] == "1" and len(new) == 5 for old, new in found.items())
+    assert len({abs(int(new) - int(old)) for old, new in found.items()}) > 2000  # no mere shift
+    whole = [f"7{i:03d}" for i in range(1000)] + [f"9{i}" for i in range(10)]
+    frame = spark.createDataFrame([("phone", v) for v in whole], "kind string, canonical string")
+    every = {r.canonical: r.new for r in pii.in_crowds(frame, "k").collect()}
+    assert sorted(every) == sorted(every.values()) == sorted(whole) and all(a != b for a, b in every.items())
+    other = {r.canonical: r.new for r in pii.in_crowds(frame, "another key").collect()}
+    assert other != every and sorted(other.values()) == sorted(whole)
+    sparse = spark.createDataFrame([("phone", f"7{i:03d}") for i in range(200)], "kind string, canonical string")
+    assert pii.in_crowds(sparse, "k").isEmpty()
+
+
+def test_crowds_and_draws_together(spark):
+    """The whole mapping ends, and is distinct, with crowded and roomy spaces side by side."""
+    values = [f"+1 {i:03d} {j:03d}" for i in range(1) for j in range(900)] + [f"+49 30 5550{i:03d}" for i in range(50)]
+    rows = pii.surrogates(spark.createDataFrame([(v,) for v in values], "value string"), "k").collect()
+    assert len(rows) == len(values) == len({r.replacement for r in rows})
+    assert all(r.value != r.replacement and len(r.value) == len(r.replacement) for r in rows)
+
+
 def test_surrogates_run_no_python(odd_documents):
     plan = pii.anonymized(odd_documents, "k")._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
