@@ -180,7 +180,67 @@ def pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.anonymized(read(spark, sf_dir, "documents"), key="larder")
 
 
-@query("op11_conversation_repair")
+@query(
+    "op11_conversation_repair",
+    r"""
+    WITH RECURSIVE given AS (SELECT conv_id, turn, COALESCE(role, ' ') AS role, COALESCE(text, ' ') AS text,
+               string_split(COALESCE(CAST(conv_id AS VARCHAR), ' ') || ':' || COALESCE(CAST(turn AS VARCHAR), ' '), '') AS key
+             FROM conversations),
+    dealt AS (SELECT *, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+                 flatten(list_transform(key, lambda c: [CAST(ascii(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+                 lambda crc, x: CASE WHEN x >= 0 THEN xor(crc, x)
+                   ELSE xor(crc >> 1, CASE WHEN crc % 2 = 1 THEN CAST(3988292384 AS BIGINT) ELSE 0 END) END),
+                 CAST(4294967295 AS BIGINT)) % 20 AS kind FROM given),
+    damaged AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+                  CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+                  unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy FROM dealt WHERE kind <> 0),
+    placed AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+                 COUNT(*) OVER (PARTITION BY conv_id) AS n FROM damaged),
+    ended AS (SELECT *, right(regexp_replace(text, '[\x20\x09-\x0D]+$', ''), 1) AS last, left(role, 1) AS r,
+                ROW_NUMBER() OVER (PARTITION BY conv_id, role, text ORDER BY i) AS nth FROM placed),
+    faults AS (SELECT *, CASE WHEN last = '' THEN 'blank' WHEN nth > 1 THEN 'duplicate'
+                 WHEN last NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault FROM ended),
+    priced AS (SELECT *, fault IN ('blank', 'duplicate') AS gone, CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END AS more FROM faults),
+    costs(conv_id, i, v) AS (
+      SELECT DISTINCT conv_id, n, [0, 10, 5, 0] FROM priced UNION ALL
+      SELECT conv_id, i, [LEAST(v[1], 5 + v[3], 10 + v[4]), LEAST(v[2], 5 + v[3], 10 + v[4]), LEAST(v[3], 5 + v[4]), LEAST(v[4], 5 + v[3])]
+      FROM (SELECT c.conv_id, c.i - 1 AS i,
+              [LEAST(2 + v[1], CASE WHEN NOT gone THEN more + CASE r WHEN 's' THEN LEAST(v[2], 1 + v[3]) WHEN 'u' THEN v[3] ELSE 1 + v[3] END END),
+               LEAST(2 + v[2], CASE WHEN NOT gone THEN more + CASE r WHEN 'u' THEN v[3] ELSE 1 + v[3] END END),
+               LEAST(2 + v[3], CASE WHEN NOT gone THEN more + CASE r WHEN 'a' THEN v[4] ELSE 1 + v[4] END END),
+               LEAST(2 + v[4], CASE WHEN NOT gone THEN more + CASE r WHEN 'u' THEN v[3] ELSE 1 + v[3] END END)] AS v
+            FROM costs c JOIN priced p ON p.conv_id IS NOT DISTINCT FROM c.conv_id AND p.i = c.i)),
+    walk(conv_id, i, q, audit, lines) AS (
+      SELECT DISTINCT conv_id, CAST(0 AS BIGINT), 1, '', CAST([] AS VARCHAR[]) FROM priced UNION ALL
+      SELECT conv_id, CASE WHEN edit = 'I' THEN i ELSE i + 1 END,
+        CASE edit WHEN 'D' THEN q WHEN 'K' THEN kept ELSE due END, audit || edit,
+        CASE edit WHEN 'D' THEN lines WHEN 'K' THEN list_append(lines, role || ':' || text)
+          ELSE list_append(lines, CASE WHEN due = 3 THEN 'user:' ELSE 'assistant:' END || CASE WHEN edit = 'R' THEN text ELSE '' END) END
+      FROM (SELECT w.*, due, kept, role, text,
+              CASE WHEN p.i IS NOT NULL AND 2 + b.v[q] = a.v[q] THEN 'D' WHEN 5 + a.v[due] = a.v[q] THEN 'I'
+                WHEN NOT gone AND more + b.v[kept] = a.v[q] THEN 'K' ELSE 'R' END AS edit
+            FROM (SELECT *, CASE WHEN q = 3 THEN 4 ELSE 3 END AS due FROM walk) w
+            JOIN costs a ON a.conv_id IS NOT DISTINCT FROM w.conv_id AND a.i = w.i
+            LEFT JOIN costs b ON b.conv_id IS NOT DISTINCT FROM w.conv_id AND b.i = w.i + 1
+            LEFT JOIN (SELECT *, CASE r WHEN 's' THEN [2, NULL, NULL, NULL] WHEN 'u' THEN [3, 3, NULL, 3]
+                         WHEN 'a' THEN [NULL, NULL, 4, NULL] ELSE [NULL, NULL, NULL, NULL] END AS keeps FROM priced) p
+              ON p.conv_id IS NOT DISTINCT FROM w.conv_id AND p.i = w.i + 1,
+            LATERAL (SELECT keeps[q] AS kept)
+            WHERE p.i IS NOT NULL OR q IN (2, 3))),
+    best AS (SELECT w.conv_id, audit, array_to_string(lines, chr(10)) AS repaired, f.v[1] AS cost
+             FROM walk w JOIN costs e ON e.conv_id IS NOT DISTINCT FROM w.conv_id AND e.i = w.i
+             JOIN (SELECT DISTINCT conv_id, n FROM priced) s ON s.conv_id IS NOT DISTINCT FROM w.conv_id AND s.n = w.i
+             JOIN costs f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.i = 0 WHERE q IN (1, 4)),
+    pairs AS (SELECT *, LAG(r) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM priced),
+    counted AS (SELECT conv_id, COALESCE(MAX(turn) - MIN(turn) + 1 - COUNT(DISTINCT turn), 0) AS gaps, COUNT(*) FILTER (fault = 'blank') AS blank,
+                  COUNT(*) FILTER (fault = 'duplicate') AS duplicate, COUNT(*) FILTER (fault = 'truncated') AS truncated,
+                  COUNT(*) FILTER (before || r NOT IN ('su', 'ua', 'au')) AS illegal FROM pairs GROUP BY conv_id)
+    SELECT g.conv_id, COALESCE(gaps, 0) AS gaps, COALESCE(blank, 0) AS blank, COALESCE(duplicate, 0) AS duplicate,
+      COALESCE(truncated, 0) AS truncated, COALESCE(illegal, 0) AS illegal, CAST(COALESCE(cost, 0) AS BIGINT) AS cost,
+      COALESCE(audit, '') AS audit, sha256(COALESCE(repaired, '')) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id FROM conversations) g
+    LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM g.conv_id LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM g.conv_id""",
+)
 def conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations damaged by a fixed rule and repaired at least cost."""
     return repair.damaged_and_repaired(read(spark, sf_dir, "conversations"))

@@ -4,6 +4,7 @@ import re
 import zlib
 from functools import lru_cache
 
+import duckdb
 import pytest
 
 from larder.llm import queries
@@ -149,6 +150,16 @@ def test_a_conversation_that_loses_all_rows(spark):
     assert [tuple(f) for f in found] == [(conv, 0, 0, 0, 0, 0, 0, "", hashlib.sha256().hexdigest())]
 
 
+def test_sql_equals_brute_force():
+    """The checking SQL on rows with nulls, ties and repeats."""
+    given = made(3, 80, 8) + [(None, 1, "user", "Hi."), (None, 2, None, None)]
+    connection = duckdb.connect()
+    connection.execute("CREATE TABLE conversations(conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    connection.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", given)
+    rows = connection.execute(queries.CHECKS["op11_conversation_repair"]).fetchall()
+    assert {row[0]: row[1:] for row in rows} == brute(given) and len(rows) == 81
+
+
 def test_query(spark, small_dir):
     given = [tuple(x) for x in spark.read.parquet(f"{small_dir}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
     assert rows_of(queries.QUERIES["op11_conversation_repair"](spark, small_dir)) == brute(given)
