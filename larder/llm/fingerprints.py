@@ -310,7 +310,7 @@ def sample_bits() -> np.ndarray:
 def signatures_alike(one: str, two: str) -> str:
     """The condition, in Spark's terms, that two short signatures differ in few of the bits that both have."""
     shared = f"least(count{one}, count{two})"
-    mask = "CASE WHEN {n} >= 64 THEN -1L ELSE shiftleft(1L, cast(greatest({n}, 0) as int)) - 1L END"
+    mask = "CASE WHEN {n} >= 64 THEN -1L WHEN {n} <= 0 THEN 0L ELSE shiftrightunsigned(-1L, cast(64 - {n} AS int)) END"
     low = f"bit_count((low{one} ^ low{two}) & ({mask.format(n=shared)}))"
     high = f"bit_count((high{one} ^ high{two}) & ({mask.format(n=f'({shared} - 64)')}))"
     return f"{low} + {high} <= {MOST_DIFFERING} * {shared} + {SLACK}"

@@ -282,6 +282,62 @@ def test_near_groups_see_edits_anywhere_and_across_levels(spark):
     assert {r.doc_id: r.group_id for r in fingerprints.near_groups(frame).collect()} == expected
 
 
+def edited_texts(seed, count):
+    """Prose-like texts of many lengths, each followed by copies with more and more edits."""
+    draw, out = random.Random(seed), []
+    words = ["".join(draw.choice("etaoinshrdlu") for _ in range(draw.randrange(2, 9))) for _ in range(900)]
+    for _ in range(count):
+        text = " ".join(draw.choice(words) for _ in range(draw.choice([3, 12, 60, 300, 900])))
+        out.append(text)
+        for share in (0.002, 0.01, 0.02, 0.04):
+            letters = list(text)
+            for _ in range(max(1, int(share * len(letters)))):
+                letters[draw.randrange(len(letters))] = draw.choice(["", "xx", "q"])
+            out.append("".join(letters))
+    return out
+
+
+def test_blocks_of_prints_equal_single_comparisons():
+    prints = [*fingerprints.fingerprints(edited_texts(2, 12)), "0:", "0:", "3:ab"]
+    left, right = prints[::3], prints[1::2] + ["0:"]
+    found = fingerprints.like_blocks(left, right, 0.8)
+    assert found.tolist() == [[fingerprints.likeness(a, b) >= 0.8 for b in right] for a in left]
+
+
+def test_short_signatures_lose_no_near_pair():
+    """Near pairs agree in some band, and whatever does passes the signatures."""
+    prints = fingerprints.fingerprints(edited_texts(4, 40))
+    bands, width = fingerprints.banding(len(prints), 0.8)
+    assert (bands, width) == (33, 7) and fingerprints.banding(10**9, 0.8)[1] == 12
+    keys = [{k[0]: k[1:] for k in fingerprints.bucket_keys(p, 0.8, bands, width)} for p in prints]
+    near = [(a, b) for a in range(len(prints)) for b in range(a) if fingerprints.likeness(prints[a], prints[b]) >= 0.8]
+
+    def differing(one, two):
+        n = min(one[2], two[2])
+        mask = (1 << n) - 1
+        values = [(low % 2**64) | (high % 2**64) << 64 for low, high, _ in (one, two)]
+        return ((values[0] ^ values[1]) & mask).bit_count() <= fingerprints.MOST_DIFFERING * n + fingerprints.SLACK
+
+    met = [(a, b) for a, b in near if keys[a].keys() & keys[b].keys() or prints[a] == prints[b]]
+    assert len(near) > 60 and len(met) >= 0.98 * len(near)
+    for a, b in met:
+        common = keys[a].keys() & keys[b].keys()
+        assert prints[a] == prints[b] or any(differing(keys[a][k], keys[b][k]) for k in common)
+
+
+def test_signatures_in_spark_terms(spark):
+    draw = random.Random(5)
+    rows = [tuple(draw.getrandbits(64) - 2**63 for _ in range(4)) + (draw.randrange(1, 129), draw.randrange(1, 129)) for _ in range(300)]
+    rows += [(a, b, a ^ (1 << draw.randrange(62)), b, n, m) for a, b, _, _, n, m in rows]
+    frame = spark.createDataFrame(rows, "low bigint, high bigint, low_b bigint, high_b bigint, count bigint, count_b bigint")
+    found = [r[0] for r in frame.selectExpr(fingerprints.signatures_alike("", "_b")).collect()]
+    for (low, high, low_b, high_b, n, m), alike in zip(rows, found, strict=True):
+        count = min(n, m)
+        one, two = (x % 2**64 | (y % 2**64) << 64 for x, y in ((low, high), (low_b, high_b)))
+        differing = ((one ^ two) & ((1 << count) - 1)).bit_count()
+        assert alike == (differing <= fingerprints.MOST_DIFFERING * count + fingerprints.SLACK)
+
+
 def test_fingerprint_query_has_near_groups(spark, small_dir):
     rows = queries.QUERIES["op10_fingerprints"](spark, small_dir).collect()
     assert {r.doc_id: r.group_id for r in rows} == grouped_by_all_pairs({r.doc_id: r.fingerprint for r in rows})
