@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Written, strings, text_of, written
-from .minhash import ODD, bucket_links, components, family_links, mixed
+from .minhash import ODD, between_components, bucket_links, family_links, grown, mixed
 
 SAMPLES = 128
 LETTERS = 1024
@@ -405,8 +405,8 @@ def near_groups(
         def compare(left: list, right: list) -> np.ndarray:
             return like_blocks(left, right, least)
 
-        more = written(family_links(many, final, items, compare), "print-family-links")
-        final = components(final.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more), "print-groups")
+        more = family_links(many, final, items, compare)
+        final = grown(final, between_components(more), lambda pairs: pairs, "print-groups")
     # A print of its own that is linked with nothing is its own group.
     joined = own.frame.join(final, "node", "left").withColumn("group", F.coalesce("component", "node"))
     joined = written(joined.select("fingerprint", "name", "group"), "print-group-ids")

@@ -176,6 +176,12 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(first, "a").join(second, "b").where(similar("elements_a", "elements_b")).select(*pairs.columns)
 
 
+def is_star_forest(edges: DataFrame) -> bool:
+    """Whether every ``u`` has one ``v`` only, and no ``v`` is a ``u``: then each ``v`` is the name of its component."""
+    rows, ends = edges.agg(F.count("*"), F.count_distinct("u")).first()
+    return rows == ends and edges.join(edges.select(F.col("u").alias("v")), "v", "left_semi").isEmpty()
+
+
 def components(edges: DataFrame, name: str) -> DataFrame:
     """``(node, component)`` of every node on an edge ``(a, b)``; the smallest node names a component.
 
@@ -185,12 +191,7 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     now = Written(
         edges.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), name
     )
-    before = None
-    while True:
-        state = now.frame.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == before or not state[0]:
-            break
-        before = state
+    while not is_star_forest(now.frame):
         both = now.frame.unionByName(now.frame.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
@@ -205,11 +206,6 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     return now.frame.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(own)
 
 
-# Buckets are dealt to this many parts; each round takes so many more of them than the one before.
-PARTS = 32
-ROUNDS = ((0, 1), (1, 4), (4, PARTS))
-
-
 def with_component(frame: DataFrame, known: DataFrame | None, node: str, name: str) -> DataFrame:
     """Add the component of a node; a node that no round has linked is its own."""
     if known is None:
@@ -230,19 +226,34 @@ def grown(known: DataFrame | None, pairs: DataFrame, verify: Callable[[DataFrame
     return written(moved.unionByName(new), f"{name}-known")
 
 
-def star_rounds(shared: DataFrame, verify: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
-    """``(node, component)`` by links of members of buckets with their pivots.
+def between_components(links: DataFrame) -> DataFrame:
+    """Links ``(a, b)`` whose ends are components already."""
+    return links.select("a", "b", F.col("a").alias("component_a"), F.col("b").alias("component_b"))
 
-    ``shared``: ``node, bucket, members, pivot``. Rounds take more and more buckets, and only members that
-    are not in the component of their pivot yet.
-    """
-    known, part = None, F.pmod(F.xxhash64("bucket"), F.lit(PARTS))
-    for first, last in ROUNDS:
-        stars = shared.where((F.col("node") != F.col("pivot")) & part.between(first, last - 1))
-        stars = stars.select(F.col("node").alias("a"), F.col("pivot").alias("b"))
-        stars = with_component(with_component(stars, known, "a", "component_a"), known, "b", "component_b")
-        stars = stars.where("component_a != component_b").distinct()
-        known = grown(known, written(stars, f"{name}-stars"), verify, name)
+
+# Buckets are dealt to this many parts; each round takes more of them than the one before.
+PARTS = 32
+ROUNDS = ((0, 1), (1, 6), (6, PARTS))
+
+
+def stars_grown(
+    known: DataFrame | None, stars: DataFrame, verify: Callable[[DataFrame], DataFrame], name: str
+) -> DataFrame:
+    """``known`` after the links among ``stars (node, pivot)`` whose ends it does not join yet."""
+    met = stars.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
+    met = with_component(with_component(met, known, "a", "component_a"), known, "b", "component_b")
+    met = met.where("component_a != component_b").distinct()
+    return grown(known, written(met, f"{name}-stars"), verify, name)
+
+
+def families_of(many: DataFrame) -> DataFrame:
+    """``(node, component)`` of buckets that share members, unverified: by the pivot of each node's largest bucket
+    first, which joins nearly all, then by the others."""
+    stars = many.where("node != pivot")
+    largest = F.max_by("pivot", F.struct("members", "bucket")).alias("pivot")
+    known = None
+    for some in (stars.groupBy("node").agg(largest), stars):
+        known = stars_grown(known, some, lambda pairs: pairs, "families")
     return known
 
 
@@ -253,7 +264,9 @@ def bucket_links(
 
     ``alike`` is a condition on the columns of ``shared`` of both sides, the second's ending in ``_b``.
     """
-    known = star_rounds(shared, verify, name)
+    known, part = None, F.pmod(F.xxhash64("bucket"), F.lit(PARTS))
+    for first, last in ROUNDS:
+        known = stars_grown(known, shared.where((F.col("node") != F.col("pivot")) & part.between(first, last - 1)), verify, name)
     few = with_component(shared.where(f"members between 3 and {small}"), known, "node", "component")
     other = few.toDF(*[f"{c}_b" for c in few.columns])
     met = few.join(other, F.expr(f"bucket = bucket_b and node < node_b and component != component_b and ({alike})"))
@@ -300,7 +313,7 @@ def family_links(
     ``many``: the members of large buckets with their pivots; buckets with a common member are a family. ``items
     (doc_id, elements)`` holds what ``compare_blocks`` judges: all of one list against all of another.
     """
-    family = star_rounds(many, lambda pairs: pairs, "families").select("node", F.col("component").alias("family"))
+    family = families_of(many).select("node", F.col("component").alias("family"))
     placed = written(
         family.join(component, "node", "left").select(
             "node", "family", F.coalesce("component", "node").alias("component")
@@ -390,9 +403,8 @@ def near_duplicates(
         def compare_sets(left: list, right: list) -> np.ndarray:
             return block_links(list(map(unpacked, left)), list(map(unpacked, right)), percent)
 
-        more = written(family_links(many, final, items, compare_sets), "family-links")
-        stars = final.select(F.col("node").alias("a"), F.col("component").alias("b"))
-        final = components(stars.unionByName(more), "components")
+        more = family_links(many, final, items, compare_sets)
+        final = grown(final, between_components(more), lambda pairs: pairs, "components")
     named = own.select("set_key", "node", "name").join(final, "node", "left")
     named = written(named.select("set_key", "name", F.coalesce("component", "node").alias("component")), "named-sets")
     names = named.groupBy("component").agg(F.min("name").alias("component_id"))
