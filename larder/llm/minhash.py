@@ -182,15 +182,48 @@ def is_star_forest(edges: DataFrame) -> bool:
     return rows == ends and edges.join(edges.select(F.col("u").alias("v")), "v", "left_semi").isEmpty()
 
 
-def components(edges: DataFrame, name: str) -> DataFrame:
+# Edges up to this number, some megabytes whatever the table, are joined by one task instead of in many small steps.
+FEW_EDGES = 200_000
+
+
+def joined(edges: DataFrame) -> DataFrame:
+    """``(node, component)`` of a counted, small number of edges ``(u, v)``, by union-find in one task."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        root: dict[int, int] = {}
+
+        def find(node: int) -> int:
+            path = []
+            while (up := root.setdefault(node, node)) != node:
+                path.append(node)
+                node = up
+            for below in path:
+                root[below] = node
+            return node
+
+        for batch in batches:
+            for u, v in zip(batch.column("u").to_pylist(), batch.column("v").to_pylist(), strict=True):
+                one, two = find(u), find(v)
+                root[max(one, two)] = min(one, two)
+        nodes = list(root)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(nodes, pa.int64()), pa.array([find(n) for n in nodes], pa.int64())], names=["node", "component"]
+        )
+
+    return edges.select("u", "v").coalesce(1).mapInArrow(work, "node bigint, component bigint")
+
+
+def components(edges: DataFrame, name: str, few: int = FEW_EDGES) -> DataFrame:
     """``(node, component)`` of every node on an edge ``(a, b)``; the smallest node names a component.
 
     Alternates large-star and small-star steps: each is a minimum per node and a join back, so
-    no neighbourhood is ever gathered.
+    no neighbourhood is ever gathered. Up to ``few`` edges, counted before, are joined in one step.
     """
     now = Written(
         edges.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), name
     )
+    if now.frame.count() <= few:
+        return written(joined(now.frame), name)
     while not is_star_forest(now.frame):
         both = now.frame.unionByName(now.frame.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))

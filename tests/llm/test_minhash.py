@@ -99,6 +99,27 @@ def test_odd_documents(odd_documents, no_documents):
     assert sorted(r.doc_id or 0 for r in stay.collect()) == [0, 1, 2, 3, 4, 5, 6]
 
 
+def test_components_of_many_and_few_edges(spark):
+    """The steps for many edges and the single task for few give the same components."""
+    draw = random.Random(12)
+    edges = [(draw.randrange(300), draw.randrange(300)) for _ in range(170)] + [(1000 + i, 1001 + i) for i in range(40)] + [(5, 5)]
+    root = list(range(1100))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a, b in edges:
+        root[max(find(a), find(b))] = min(find(a), find(b))
+    nodes = {n for a, b in edges if a != b for n in (a, b)}
+    frame = spark.createDataFrame(edges, "a bigint, b bigint")
+    for few in (0, 10**6):
+        found = {(r.node, r.component) for r in m.components(frame, "test", few).collect()}
+        assert found == {(n, find(n)) for n in nodes}
+        assert m.components(frame.limit(0), "test", few).collect() == []
+
+
 def test_one_id_with_two_texts(spark):
     """Links follow texts: a row is not dragged along by another row of its id."""
     text = " ".join(f"w{i}" for i in range(40))
@@ -133,7 +154,7 @@ def test_edges_stay_near_the_number_of_documents(spark, monkeypatch):
 
     def spy(frame, name):
         edges.append(frame.count())
-        return real(frame, name)
+        return real(frame, name, few=0)
 
     monkeypatch.setattr(m, "components", spy)
     found = m.near_duplicates(spark.createDataFrame(list(texts.items()), "doc_id bigint, text string"), words=2, small=8)
