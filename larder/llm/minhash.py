@@ -183,7 +183,7 @@ def is_star_forest(edges: DataFrame) -> bool:
 
 
 # Edges up to this number, some megabytes whatever the table, are joined by one task instead of in many small steps.
-FEW_EDGES = 200_000
+FEW_EDGES = 100_000
 
 
 def joined(edges: DataFrame) -> DataFrame:
