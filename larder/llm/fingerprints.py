@@ -265,29 +265,40 @@ SHORT = 128
 MOST_DIFFERING, SLACK = 0.22, 2
 
 
-def bucket_keys(fingerprint: str, least: float, bands: int, width: int) -> list[tuple[int, int, int, int]]:
-    """The keys of a fingerprint's bands, each with the short signature of the samples it was drawn from.
+def banded(fingerprint: str, least: float) -> list[tuple[int, np.ndarray]]:
+    """The levels, with their samples, at which bands of a fingerprint are drawn.
 
-    They are drawn at the coarsest level at which ``SAMPLES // 2`` samples are left, whatever the
-    fingerprint's own level; and at the next coarser one too, if a text that is ``least`` alike
-    could have as many samples there. A signature is a bit of each of the first ``SHORT`` samples, as two
-    numbers, and how many there are.
+    The coarsest level at which ``SAMPLES // 2`` samples are left, whatever the fingerprint's own level; and the
+    next coarser one too, if a text that is ``least`` alike could have as many samples there.
     """
     level = int(fingerprint.partition(":")[0])
-    values, found = at_level(fingerprint, level), []
+    values = at_level(fingerprint, level)
     while len(coarser := at_level(fingerprint, level + 1)) >= SAMPLES // 2:
         level, values = level + 1, coarser
-    for at, seen in ((level, values), (level + 1, coarser)):
-        if not len(seen) or at > level and len(seen) < 0.9 * least * (SAMPLES // 2):
-            continue
+    found = [(level, values)] if len(values) else []
+    return found + ([(level + 1, coarser)] if len(coarser) and len(coarser) >= 0.9 * least * (SAMPLES // 2) else [])
+
+
+# The last bits of a key tell the level that it was drawn at.
+LEVEL_BITS = 5
+
+
+def bucket_keys(fingerprint: str, least: float, bands: int, width: int) -> np.ndarray:
+    """The keys of a fingerprint's bands."""
+    found = []
+    for at, seen in banded(fingerprint, least):
         salts, spots = places(len(seen), least, bands, width)
         letters = np.append(seen, 0).astype(np.uint64)
         keys = mixed(salts * ODD + np.uint64(at))
         for column in letters[spots].T:
             keys = mixed(keys * ODD + column)
-        low, high, count = signature(seen)
-        found += [(key, low, high, count) for key in keys.view(np.int64).tolist()]
-    return found
+        found.append((keys >> np.uint64(LEVEL_BITS) << np.uint64(LEVEL_BITS)) | np.uint64(at % (1 << LEVEL_BITS)))
+    return np.concatenate(found).view(np.int64) if found else np.zeros(0, np.int64)
+
+
+def signatures(fingerprint: str, least: float) -> list[tuple[int, int, int, int]]:
+    """For each level of the bands: its number, and the bits of its first ``SHORT`` samples and how many there are."""
+    return [(at % (1 << LEVEL_BITS), *signature(seen)) for at, seen in banded(fingerprint, least)]
 
 
 def signature(samples: np.ndarray) -> tuple[int, int, int]:
@@ -364,7 +375,7 @@ def near_groups(
 
     Equal fingerprints collapse first. Candidates agree on one of ``bands`` or more bands of ``width``
     samples (``banding``), which are drawn from the whole of a fingerprint and at a level that does not end at a
-    length (``bucket_keys``), so neither one edit nor a length boundary spoils them all; and their short
+    length (``banded``), so neither one edit nor a length boundary spoils them all; and their short
     signatures differ little, so that chance pairs end before any print is fetched.
     Candidates are verified by the likeness of the whole fingerprints, in rounds (``bucket_links``); what stays
     outside the largest component of a family of large buckets is compared with the whole family in blocks.
@@ -376,17 +387,23 @@ def near_groups(
     if bands is None or width is None:
         bands, width = banding(own.frame.count(), least)
 
-    @F.pandas_udf("array<struct<bucket bigint, low bigint, high bigint, count bigint>>")
+    @F.pandas_udf("array<bigint>")
     def drawn(values: pd.Series) -> pd.Series:
         return pd.Series([bucket_keys(v, least, bands, width) for v in values], dtype=object)
 
-    entries = own.frame.select("node", F.explode(drawn("fingerprint")).alias("entry")).select("node", "entry.*")
-    entries = entries.repartition("bucket")
+    @F.pandas_udf("array<struct<at int, low bigint, high bigint, count bigint>>")
+    def short(values: pd.Series) -> pd.Series:
+        return pd.Series([signatures(v, least) for v in values], dtype=object)
+
+    # Two numbers an entry, in one shuffle; signatures come to the few entries that share a bucket.
+    entries = own.frame.select("node", F.explode(drawn("fingerprint")).alias("bucket")).repartition("bucket")
+    signed = own.frame.select("node", F.explode(short("fingerprint")).alias("s")).select("node", "s.*")
     buckets = entries.groupBy("bucket").agg(
         F.count("*").alias("members"), F.min(F.expr("node ^ bucket")).alias("pivot")
     )
     buckets = buckets.where("members > 1").select("bucket", "members", F.expr("pivot ^ bucket").alias("pivot"))
-    shared = Written(entries.join(buckets, "bucket"), "print-buckets")
+    met = entries.join(buckets, "bucket").withColumn("at", F.col("bucket").bitwiseAND(F.lit((1 << LEVEL_BITS) - 1)).cast("int"))
+    shared = Written(met.join(signed, ["node", "at"]).drop("at"), "print-buckets")
     items = own.frame.select(F.col("node").alias("doc_id"), F.col("fingerprint").alias("elements"))
 
     @F.pandas_udf("boolean")
