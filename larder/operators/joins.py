@@ -223,10 +223,13 @@ def salted_join(fact: DataFrame, dim: DataFrame, on, how: str = "inner", *, salt
 
 
 def salted_join_all(fact: DataFrame, dim: DataFrame, on, *, salts: int = 8, spread_by=None) -> DataFrame:
-    """The textbook salted join: every key is spread, every dimension row copied ``salts`` times."""
+    """The textbook salted join: every key is spread, every dimension row copied ``salts`` times.
+
+    Always a shuffle join: Catalyst's estimate of ``dim`` leaves the copies out, so it would collect all of them in the driver.
+    """
     keys = [on] if isinstance(on, str) else list(on)
     left = fact.withColumn("_salt", stable_salt(salts, *(spread_by or fact.columns)))
-    right = dim.withColumn("_salt", every_salt(salts))
+    right = dim.withColumn("_salt", every_salt(salts)).hint("merge")
     return left.join(right, [*keys, "_salt"]).drop("_salt")
 
 

@@ -42,6 +42,16 @@ def test_every_key_salted(skewed, dims):
     assert rows(salted) == rows(skewed.join(dims, "k"))
 
 
+def test_copies_of_the_dimension_are_never_broadcast(spark):
+    """The estimate of a small side does not count its copies, which the driver would hold."""
+    fact = spark.range(4000).selectExpr("id", "id % 50 as k")
+    dim = spark.range(50).selectExpr("id as k", "id * 2 as w")
+    salted = j.salted_join_all(fact, dim, "k", salts=8)
+    plan = executed_plan(salted)
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert rows(salted) == rows(fact.join(dim, "k").select(*salted.columns))
+
+
 def test_salting_spreads_the_hot_key(skewed):
     from larder.functions.columns import stable_salt
 
