@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from larder import fixed_values as fixed
 from larder.functions import columns as c
 from larder.functions import udfs
+from larder.operators.tuning import executed_plan
 
 
 def values(spark, kind, items, expression):
@@ -124,3 +125,21 @@ def test_pandas_udf_equals_builtin(spark):
     df = spark.createDataFrame([(4.5, 120.0), (1.0, 0.0)], "r double, n double")
     both = df.select(udfs.log_score_batches()("r", "n"), c.log_score(F.col("r"), F.col("n"))).collect()
     assert all(abs(a - b) < 1e-9 for a, b in both)
+
+
+def test_salted_counts_hold_no_copies_in_a_task(spark, folder):
+    """Also with a key that has no place, a place without orders and a null key."""
+    from larder.queries import QUERIES
+
+    lines = [(i, 1, (i * i) % 40 if i % 9 else None, i % 7) for i in range(2000)]
+    made = spark.createDataFrame(lines, "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_suppkey bigint")
+    made.selectExpr("*", "1.0D as l_extendedprice", "date'2020-01-01' as l_shipdate").write.parquet(f"{folder}/lineitem.parquet")
+    parts = spark.range(1, 60).selectExpr("id as p_partkey", "'n' as p_name", "'b' as p_brand", "'t' as p_type", "1 as p_size", "2.0D as p_retailprice")
+    parts.write.parquet(f"{folder}/part.parquet")
+    counted = QUERIES["salted_counts"](spark, folder)
+    assert "Broadcast" not in executed_plan(counted)
+    want = {}
+    for line in lines:
+        if line[2]:
+            want[line[2]] = want.get(line[2], 0) + 1
+    assert {r["restaurant_id"]: r["orders"] for r in counted.collect()} == want
