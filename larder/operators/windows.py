@@ -5,7 +5,8 @@ group holds a third of a large table. Every function here first counts the rows
 group (an aggregate with map-side combine). If the largest group is small, it uses the
 plain window. If not, it range-partitions the rows by group *and* order, so a large
 group is spread over many slices, computes inside the slices, and adds what the earlier
-slices of the same group contribute. That table has at most one row per slice.
+slices of the same group contribute. That table has at most one row per slice. Running totals whose
+first order column has few values are spread by that column instead, in one plain shuffle.
 
 ``order_by`` holds column names, each optionally followed by ``desc`` or ``asc``.
 ``limit`` is the largest group one task may sort; ``None`` means the caller knows the
@@ -25,6 +26,8 @@ from ..session import stash
 from .joins import equi_join, join_dimension
 
 MAX_GROUP_ROWS = 1_000_000
+# Running totals are spread by the first order column where it has at most so many values: their totals are copied.
+MOST_LEADS = 100_000
 
 _SLICE = "_slice"
 _COPY = "_copy"
@@ -132,13 +135,44 @@ def _running_in_slices(df, by, order_by, sums, slices, unique=False) -> DataFram
     # one row per slice at most is left to copy.
     carried = carried.select(_SLICE, *by, *[f"_carry_{name}" for name in sums])
     joined = equi_join(rows, F.broadcast(carried), [_SLICE, *by], "left", null_safe=True)
+    return _with_carry(joined, sums, dict(rows.dtypes)).select(*columns, *sums)
 
-    types = dict(rows.dtypes)
+
+def _with_carry(joined: DataFrame, sums, types: dict[str, str]) -> DataFrame:
     totals = {}
     for name in sums:
         inner, carry = F.col(name), F.col(f"_carry_{name}")
         totals[name] = F.coalesce(inner + carry, inner, carry).cast(types[name])
-    return joined.withColumns(totals).select(*columns, *sums)
+    return joined.withColumns(totals)
+
+
+def _lead_totals(df: DataFrame, keys: list[str], sums: dict[str, Column], most: int) -> DataFrame | None:
+    """Sums per value of ``keys``; none if these are many, or if one has too many rows for a task."""
+    found = df.agg(F.approx_count_distinct(F.xxhash64(*keys)).alias("n")).first()["n"]
+    if found > min(MOST_LEADS, most):
+        return None
+    steps = {f"_step_{name}": F.sum(value) for name, value in sums.items()}
+    leads = df.groupBy(*keys).agg(F.count("*").alias("_rows"), *[step.alias(name) for name, step in steps.items()])
+    leads = stash(leads, "leads")
+    return leads if leads.agg(F.coalesce(F.max("_rows"), F.lit(0)).alias("n")).first()["n"] <= most else None
+
+
+def _running_by_lead(df: DataFrame, by, order_by, sums: dict[str, Column], most: int) -> DataFrame | None:
+    """Running sums in one shuffle: inside the rows of one value of the first order column, plus the
+    totals of the values before it, which are few. None where that column does not serve (``_lead_totals``)."""
+    lead = next((spec for spec in as_names(order_by) if spec.split()[0] not in by), None)
+    if lead is None:
+        return None
+    keys = [*by, lead.split()[0]]
+    leads = _lead_totals(df, keys, sums, most)
+    if leads is None:
+        return None
+    inside = _so_far(_window(keys, order_by))
+    rows = df.withColumns({name: F.sum(value).over(inside) for name, value in sums.items()})
+    earlier = _window(by, lead).rowsBetween(Window.unboundedPreceding, -1)
+    carried = leads.select(*keys, *[F.sum(f"_step_{name}").over(earlier).alias(f"_carry_{name}") for name in sums])
+    joined = join_dimension(rows, carried, keys, "left", null_safe=True)
+    return _with_carry(joined, sums, dict(rows.dtypes)).select(*df.columns, *sums)
 
 
 def _number_in_slices(df, by, order_by, name, slices) -> DataFrame:
@@ -339,9 +373,13 @@ def running_total(df: DataFrame, by, order_by, value: Column, name: str, *, ties
     ``ties="rows"`` adds row by row; ``ties="range"`` gives rows of equal order the same
     total, which is SQL's default frame.
     """
-    if ties == "rows":
-        return running(df, by, order_by, {name: value}, limit, slices)
     by = as_names(by)
+    if ties == "rows":
+        if is_small(df, by, limit):
+            return running(df, by, order_by, {name: value}, None)
+        most = limit.limit if isinstance(limit, Groups) else limit
+        led = _running_by_lead(df, by, order_by, {name: value}, most)
+        return led if led is not None else _running_in_slices(df, by, order_by, {name: value}, slices)
     if is_small(df, by, limit):
         window = _window(by, order_by).rangeBetween(Window.unboundedPreceding, Window.currentRow)
         return df.withColumn(name, F.sum(value).over(window))

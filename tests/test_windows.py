@@ -67,6 +67,24 @@ def test_running_total_by_rows(data, by, order):
     assert rows(hot) == rows(w.running_total(data, by, order, F.col("x"), "t", limit=None))
 
 
+@pytest.mark.parametrize("by", [["g"], []])
+@pytest.mark.parametrize("order", [["d", "id"], ["d desc", "id desc"], ["g", "d desc", "id"]])
+@pytest.mark.parametrize("kind", ["decimal(12,2)", "double", "bigint"])
+def test_running_totals_of_few_days_need_one_shuffle(spark, monkeypatch, by, order, kind):
+    """Large groups of few days: rows travel once and are never written, whatever is null or a copy of another row."""
+    made = [("a" if i % 3 else None, i % 11 or None, i // 2, None if i % 7 == 0 or i % 11 == 1 else i % 50) for i in range(600)]
+    df = spark.createDataFrame(made + made[:40], "g string, d int, id int, x bigint").withColumn("x", F.col("x").cast(kind))
+    written, stash = [], w.stash
+    monkeypatch.setattr(w, "stash", lambda df, name: written.append(name) or stash(df, name))
+    hot = w.running_total(df, by, order, F.col("x"), "t", limit=150, slices=5)
+    small = by == [] and order[0] == "g"
+    assert written == (["leads"] if not small else ["leads", "numbered", "slices"])
+    assert small or executed_plan(hot).count("hashpartitioning") <= 2 and "rangepartitioning" not in executed_plan(hot)
+    plain = w.running_total(df, by, order, F.col("x"), "t", limit=None)
+    assert hot.dtypes == plain.dtypes
+    assert rows(hot) == rows(plain)
+
+
 @pytest.mark.parametrize("by", [["g"], []])
 def test_running_total_by_range(data, by):
     hot = w.running_total(data, by, "v desc", F.col("x"), "t", ties="range", limit=3, slices=5)
