@@ -367,11 +367,11 @@ def family_links(
     met = placed.join(largest, "family").join(own, "node")
     place = F.abs(F.xxhash64("node"))
     members = met.select(
-        "family", "node", "component", "elements", F.pmod(place, "blocks").alias("block"),
+        "family", "node", "component", "elements", F.pmod(place, "blocks").cast("int").alias("block"),
         F.explode(F.sequence(F.lit(0), F.col("rests") - 1)).alias("rest"),
     )
     rests = met.where("component != largest").select(
-        "family", "node", "component", "elements", F.pmod(place, "rests").alias("rest"),
+        "family", "node", "component", "elements", F.pmod(place, "rests").cast("int").alias("rest"),
         F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
     )
 

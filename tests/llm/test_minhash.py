@@ -162,6 +162,34 @@ def test_edges_stay_near_the_number_of_documents(spark, monkeypatch):
     assert max(edges) <= 2 * len(texts)
 
 
+def test_family_blocks_meet_in_every_partition(spark, monkeypatch):
+    """Both sides of a block are dealt alike, however many partitions there are."""
+    monkeypatch.setattr(m, "BLOCK_MEMBERS", 16)
+    monkeypatch.setattr(m, "BLOCK_RESTS", 16)
+    texts = dict(enumerate(family(21, 60, 9), start=1))
+    expected = brute(texts, 2)
+    assert 1 < len({c for _, c in expected.values()}) < 60
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    many = spark.createDataFrame([(i, 1, 1, 60) for i in texts], "node bigint, bucket bigint, pivot bigint, members bigint")
+    alone = spark.createDataFrame([(i, i) for i in texts], "node bigint, component bigint")
+    items = m.signed(docs, 2, 32, 4).select("doc_id", "elements")
+
+    def compare(left, right):
+        return m.block_links(list(map(m.unpacked, left)), list(map(m.unpacked, right)), 80)
+
+    settings = {"spark.sql.shuffle.partitions": "7", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        links = m.components(m.family_links(many, alone, items, compare), "test")
+        found = {r.node: r.component for r in links.collect()}
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert {i: found.get(i, i) for i in texts} == {i: c for i, (_, c) in expected.items()}
+
+
 def test_query(spark, small_dir, documents):
     texts = {r.doc_id: r.text for r in documents.collect()}
     found = {r.doc_id: (r.n_shingles, r.component_id) for r in queries.QUERIES["op3_near_duplicates"](spark, small_dir).collect()}
